@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from weekwise.config import FIXTURE, ReportConfig
 from weekwise.functions.canonical import canonical
-from weekwise.plans import growth, report, retention
+from weekwise.config import DEPOSIT_TASK, TRADING_TASK
+from weekwise.plans import clicks, groups, growth, report, retention
 from weekwise.plans.retention import Base
 from weekwise.sources.fixture import fixture_tables
 
@@ -50,13 +51,38 @@ WEEKLY: dict[str, Callable[[Base], DataFrame]] = {
 }
 
 
+CLICKS: dict[str, Callable[[Base], DataFrame]] = {
+    "click_task1_assigned": lambda b: clicks.assigned_clicks(b, TRADING_TASK),
+    "click_task1_non_assigned": lambda b: clicks.non_assigned_clicks(b, TRADING_TASK),
+    "click_task2_assigned": lambda b: clicks.assigned_clicks(b, DEPOSIT_TASK),
+    "click_task2_non_assigned": lambda b: clicks.non_assigned_clicks(b, DEPOSIT_TASK),
+    "click_task1_new_this_week": lambda b: clicks.new_this_week_clicks(b, TRADING_TASK),
+    "click_task1_completion": lambda b: clicks.completion_clicks(b, TRADING_TASK),
+    "click_task2_new_this_week": lambda b: clicks.new_this_week_clicks(b, DEPOSIT_TASK),
+    "click_task2_completion": lambda b: clicks.completion_clicks(b, DEPOSIT_TASK),
+    "click_report": clicks.click_report,
+    "click_report_derived": clicks.click_report_derived,
+}
+
+GROUPS: dict[str, Callable[[Base], DataFrame]] = {
+    "task_group_base": groups.task_group_base,
+    "task_group_clicks": groups.task_group_clicks,
+    "task_group_clicks_derived": groups.task_group_clicks_derived,
+}
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out = {}
-    for name, fn in WEEKLY.items():
-        out[name] = _q(fn)
+    for table in (WEEKLY, CLICKS, GROUPS):
+        for name, fn in table.items():
+            out[name] = _q(fn)
     return out
 
 
 def oracle_sql() -> dict[str, str]:
+    from weekwise.oracle.click_sql import CLICK_QUERIES, GROUP_QUERIES, click_oracle, group_oracle
     from weekwise.oracle.weekly_sql import WEEKLY_QUERIES, weekly_oracle
-    return {name: weekly_oracle(name) for name in WEEKLY_QUERIES}
+    out = {name: weekly_oracle(name) for name in WEEKLY_QUERIES}
+    out.update({name: click_oracle(name) for name in CLICK_QUERIES})
+    out.update({name: group_oracle(name) for name in GROUP_QUERIES})
+    return out
