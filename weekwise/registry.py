@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from weekwise.config import FIXTURE, ReportConfig
 from weekwise.functions.canonical import canonical
 from weekwise.config import DEPOSIT_TASK, TRADING_TASK
-from weekwise.plans import clicks, groups, growth, report, retention
+from weekwise.plans import clicks, groups, growth, present, report, retention
 from weekwise.plans.retention import Base
 from weekwise.sources.fixture import fixture_tables
 
@@ -71,9 +71,24 @@ GROUPS: dict[str, Callable[[Base], DataFrame]] = {
 }
 
 
+PRESENT: dict[str, Callable[[Base], DataFrame]] = {
+    "indicator_long": lambda b: present.indicator_long(report.weekly_report_derived(b, sort=False), b.cfg.weeks),
+    "indicator_pivot": lambda b: present.indicator_pivot(report.weekly_report_derived(b, sort=False), b.cfg.weeks),
+    "latest_period": lambda b: present.latest_period(report.weekly_report(b, sort=False)),
+    "click_indicator_long": lambda b: present.click_indicator_long(
+        clicks.click_report_derived(b, sort=False), b.cfg.weeks),
+    "click_indicator_pivot": lambda b: present.click_indicator_pivot(
+        clicks.click_report_derived(b, sort=False), b.cfg.weeks),
+    "task_group_long": lambda b: present.task_group_long(
+        groups.task_group_clicks_derived(b, sort=False), b.cfg.weeks),
+    "task_group_pivot": lambda b: present.task_group_pivot(
+        groups.task_group_clicks_derived(b, sort=False), b.cfg.weeks),
+}
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out = {}
-    for table in (WEEKLY, CLICKS, GROUPS):
+    for table in (WEEKLY, CLICKS, GROUPS, PRESENT):
         for name, fn in table.items():
             out[name] = _q(fn)
     return out
@@ -85,4 +100,6 @@ def oracle_sql() -> dict[str, str]:
     out = {name: weekly_oracle(name) for name in WEEKLY_QUERIES}
     out.update({name: click_oracle(name) for name in CLICK_QUERIES})
     out.update({name: group_oracle(name) for name in GROUP_QUERIES})
+    from weekwise.oracle.present_sql import PIVOT_QUERIES, PRESENT_QUERIES, present_oracle
+    out.update({name: present_oracle(name) for name in [*PRESENT_QUERIES, *PIVOT_QUERIES]})
     return out
