@@ -20,10 +20,8 @@ from weekwise.plans.retention import Base, assigned_tasks
 
 
 def click_sums(b: Base) -> DataFrame:
-    """Total clicks per (user, award week); NULL when every click count
-    is NULL.  Combined map-side, so one very active user does not skew."""
-    return (b.t.smart_reward_client_event.groupBy("user_id", "week_group")
-            .agg(F.sum("click_count").alias("click_count")))
+    """Total clicks per (user, award week) (shared by all populations)."""
+    return b.click_sums
 
 
 def click_cohort(b: Base, pop: DataFrame, key: str, period: str, ref_date: Column,

@@ -14,11 +14,39 @@ from weekwise.sources.tables import Tables
 
 
 class Base:
-    """The three shared relations of one report run, built once per run."""
+    """The shared relations of one report run, built once per run.
+
+    ``persist()`` keeps them for the run: ``"cache"`` (executor memory and
+    disk; lost blocks are recomputed from lineage) or ``"checkpoint"``
+    (written to the cluster's ``spark.checkpoint.dir``, lineage cut, so a
+    lost executor costs no recomputation of the source scans).
+    """
 
     def __init__(self, t: Tables, cfg: ReportConfig):
         self.t, self.cfg = t, cfg
-        self._fa = self._aw = self._tw = None
+        self._fa = self._aw = self._tw = self._cs = None
+
+    def persist(self, mode: str = "cache") -> "Base":
+        from pyspark import StorageLevel
+        for attr in ("first_active", "award_weeks", "trading_weeks", "click_sums"):
+            df = getattr(self, attr)
+            if mode == "checkpoint":
+                df = df.checkpoint(eager=True)
+            else:
+                df = df.persist(StorageLevel.MEMORY_AND_DISK)
+            setattr(self, "_" + {"first_active": "fa", "award_weeks": "aw",
+                                 "trading_weeks": "tw", "click_sums": "cs"}[attr], df)
+        return self
+
+    @property
+    def click_sums(self) -> DataFrame:
+        """Total clicks per (user, award week); NULL when every click
+        count is NULL.  Combined map-side, so one very active user does not
+        skew the shuffle."""
+        if self._cs is None:
+            self._cs = (self.t.smart_reward_client_event.groupBy("user_id", "week_group")
+                        .agg(F.sum("click_count").alias("click_count")))
+        return self._cs
 
     @property
     def first_active(self) -> DataFrame:

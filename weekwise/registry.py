@@ -19,8 +19,20 @@ from weekwise.plans.retention import Base
 from weekwise.sources.fixture import fixture_tables
 
 
+_BASES: dict[tuple, Base] = {}
+
+
 def fixture_base(spark: SparkSession, sf_dir: str, cfg: ReportConfig = FIXTURE) -> Base:
-    return Base(fixture_tables(spark, sf_dir), cfg)
+    """One persisted ``Base`` per (session, folder, config): the source tables
+    of a folder are a daily snapshot, so every report query of the session
+    shares the award weeks, first-active dates, trading weeks and click
+    totals instead of recomputing them per branch."""
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir, cfg)
+    base = _BASES.get(key)
+    if base is None:
+        base = Base(fixture_tables(spark, sf_dir), cfg).persist("cache")
+        _BASES[key] = base
+    return base
 
 
 def _q(fn: Callable[[Base], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
