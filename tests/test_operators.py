@@ -73,3 +73,11 @@ def test_display_text(spark):
 def test_period_label(spark):
     r = spark.createDataFrame([("20251213",), ("2025-12",)], "p string").select(S.period_label("p").alias("x"))
     assert [x.x for x in r.collect()] == ["2025-12-13", "2025-12"]
+
+
+def test_documented_formats(spark):
+    r = spark.createDataFrame([(1234567.0, 0.125, dt.date(2026, 5, 22))], "v double, p double, d date").select(
+        S.rupiah_text("v").alias("rp"), S.pct_text_comma("p").alias("pc"), S.date_text_id("d").alias("di"),
+        S.date_text_slash("d").alias("ds"), S.compact_text("v").alias("ci"),
+        S.compact_text("v", "en").alias("ce"), S.compact_text(F.lit(999.0)).alias("small")).first()
+    assert tuple(r) == ("Rp 1.234.567", "+12,5%", "22 Mei 2026", "22/05/2026", "1,2 Jt", "1.2M", "999")

@@ -134,3 +134,42 @@ def format_by(c, fmt_col) -> Column:
     for name in ("growth", "lot", "amount"):
         expr = expr.when(f == name, FORMATTERS[name](v))
     return F.coalesce(expr.otherwise(count_text(v)), F.lit(NULL_TEXT))
+
+
+# formats the design notes document for the dashboard (no reference
+# code).  Fixed values: Indonesian short month names, January first.
+ID_MONTHS = ["Jan", "Feb", "Mar", "Apr", "Mei", "Jun", "Jul", "Agu", "Sep", "Okt", "Nov", "Des"]
+
+
+def rupiah_text(c) -> Column:
+    """``Rp 1.234.567``."""
+    return F.when(_c(c).isNotNull(), F.concat(F.lit("Rp "), amount_text(c)))
+
+
+def pct_text_comma(c) -> Column:
+    """``+12,5%``: signed percent with a decimal comma."""
+    v = _c(c).cast("double")
+    return F.when(v.isNotNull(), F.translate(growth_text(v), ".", ","))
+
+
+def date_text_id(c) -> Column:
+    """``22 Mei 2026``."""
+    d = F.to_date(_c(c))
+    months = F.array(*[F.lit(m) for m in ID_MONTHS])
+    return F.concat_ws(" ", F.dayofmonth(d).cast("string"),
+                       F.element_at(months, F.month(d)), F.year(d).cast("string"))
+
+
+def date_text_slash(c) -> Column:
+    """``22/05/2026``."""
+    return F.date_format(F.to_date(_c(c)), "dd/MM/yyyy")
+
+
+def compact_text(c, style: str = "id") -> Column:
+    """Numbers of a million or more shortened: ``1,2 Jt`` (id) or ``1.2M``
+    (en); smaller numbers as ``amount_text``."""
+    v = _c(c).cast("double")
+    millions = _signed(v / 1_000_000, 1)
+    short = (F.concat(F.translate(millions, ".", ","), F.lit(" Jt")) if style == "id"
+             else F.concat(millions, F.lit("M")))
+    return F.when(F.abs(v) >= 1_000_000, short).otherwise(amount_text(v))

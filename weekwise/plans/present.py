@@ -176,20 +176,22 @@ def pivot_by_period(long: DataFrame, keys: list[str], texts: dict[str, str]) ->
 
 def indicator_pivot(report_derived: DataFrame, weeks: int) -> DataFrame:
     keys = ["row_order", "section", "metric", "comparison", "group_label", "code"]
-    return pivot_by_period(indicator_long(report_derived, weeks), keys, {"text": "text"})
+    return pivot_by_period(indicator_long(report_derived, weeks), keys, {"text": "text"}).orderBy("row_order")
 
 
 def click_indicator_pivot(click_derived: DataFrame, weeks: int) -> DataFrame:
     keys = ["row_order", "section", "metric", "comparison", "group_label", "code"]
     return pivot_by_period(click_indicator_long(click_derived, weeks), keys,
-                           {"rate": "rate_text", "clickers": "clickers_text", "clicks": "clicks_text"})
+                           {"rate": "rate_text", "clickers": "clickers_text", "clicks": "clicks_text"}
+                           ).orderBy("row_order")
 
 
 def task_group_pivot(group_derived: DataFrame, weeks: int) -> DataFrame:
     keys = ["group_name", "sub_order", "sub_label"]
     return pivot_by_period(task_group_long(group_derived, weeks), keys,
                            {"participants": "participants_text", "rate": "rate_text",
-                            "clickers": "clickers_text", "clicks": "clicks_text"})
+                            "clickers": "clickers_text", "clicks": "clicks_text"}
+                           ).orderBy("group_name", "sub_order")
 
 
 def latest_period(report: DataFrame) -> DataFrame:

@@ -1 +1,6 @@
+"""No streaming operators.
 
+The reports are a once-a-day batch over a daily snapshot: no watermark,
+event-time window, late data or state occurs in them.  A daily rerun is an
+idempotent overwrite (``weekwise.sources.sinks``).
+"""
