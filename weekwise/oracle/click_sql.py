@@ -28,7 +28,7 @@ def _assigned(n: int) -> str:
     SELECT award_period AS period, customer_type,
            count(DISTINCT client_id) AS task{n}_assigned,
            count(DISTINCT CASE WHEN click_count IS NOT NULL THEN client_id END) AS task{n}_assigned_click,
-           sum(click_count) AS task{n}_assigned_click_count
+           CAST(sum(click_count) AS BIGINT) AS task{n}_assigned_click_count
     FROM o_as{n}_l GROUP BY 1, 2
 )"""
 
@@ -52,7 +52,7 @@ def _non_assigned(n: int, table: str, measure: str) -> str:
     SELECT period, customer_type,
            count(DISTINCT customer_id) AS task{n}_non_assigned,
            count(DISTINCT CASE WHEN click_count IS NOT NULL THEN customer_id END) AS task{n}_non_assigned_click,
-           sum(click_count) AS task{n}_non_assigned_click_count
+           CAST(sum(click_count) AS BIGINT) AS task{n}_non_assigned_click_count
     FROM o_na{n}_l GROUP BY 1, 2
 )"""
 
@@ -74,7 +74,7 @@ def _new_this_week(n: int) -> str:
     SELECT award_period AS period, customer_type,
            count(DISTINCT client_id) AS task{n}_non_assigned_last_week,
            count(DISTINCT CASE WHEN click_count IS NOT NULL THEN client_id END) AS task{n}_non_assigned_last_week_click,
-           sum(click_count) AS task{n}_non_assigned_last_week_click_count
+           CAST(sum(click_count) AS BIGINT) AS task{n}_non_assigned_last_week_click_count
     FROM o_nw{n}_l GROUP BY 1, 2
 )"""
 
@@ -95,11 +95,11 @@ def _completion(n: int) -> str:
            count(DISTINCT CASE WHEN task_status IN (1, 2) THEN client_id END) AS task{n}_completed,
            count(DISTINCT CASE WHEN click_count IS NOT NULL AND task_status IN (1, 2) THEN client_id END)
                AS task{n}_completed_click,
-           sum(CASE WHEN task_status IN (1, 2) THEN click_count ELSE 0 END) AS task{n}_completed_click_count,
+           CAST(sum(CASE WHEN task_status IN (1, 2) THEN click_count ELSE 0 END) AS BIGINT) AS task{n}_completed_click_count,
            count(DISTINCT CASE WHEN task_status NOT IN (1, 2) THEN client_id END) AS task{n}_non_completed,
            count(DISTINCT CASE WHEN click_count IS NOT NULL AND task_status NOT IN (1, 2) THEN client_id END)
                AS task{n}_non_completed_click,
-           sum(CASE WHEN task_status NOT IN (1, 2) THEN click_count ELSE 0 END) AS task{n}_non_completed_click_count
+           CAST(sum(CASE WHEN task_status NOT IN (1, 2) THEN click_count ELSE 0 END) AS BIGINT) AS task{n}_non_completed_click_count
     FROM o_cp{n}_l GROUP BY 1, 2
 )"""
 
@@ -147,7 +147,7 @@ GROUP_CTES = f"""
     SELECT g.*,
            (SELECT min(make_timestamp(nullif(c.first_deposit_time, 0) * 1000)) FROM crm_customer_base c
              WHERE c.client_id = g.client_id) AS first_deposit_time,
-           (SELECT count(*) FROM smart_reward_client_event e
+           (SELECT CAST(count(*) AS BIGINT) FROM smart_reward_client_event e
              WHERE TRY_CAST(e.user_id AS BIGINT) = g.client_id AND e.week_group = g.award_period) AS click_c
     FROM o_grp g
 )
@@ -157,13 +157,13 @@ GROUP_CTES = f"""
                AS active_this_week,
            count(DISTINCT CASE WHEN first_deposit_time BETWEEN start_date AND end_date AND click_c > 0 THEN client_id END)
                AS active_click_this_week_user,
-           sum(CASE WHEN first_deposit_time BETWEEN start_date AND end_date THEN click_c END)
+           CAST(sum(CASE WHEN first_deposit_time BETWEEN start_date AND end_date THEN click_c END) AS BIGINT)
                AS active_click_this_week_count,
            count(DISTINCT CASE WHEN first_deposit_time NOT BETWEEN start_date AND end_date THEN client_id END)
                AS non_active_this_week,
            count(DISTINCT CASE WHEN first_deposit_time NOT BETWEEN start_date AND end_date AND click_c > 0 THEN client_id END)
                AS non_active_click_this_week_user,
-           sum(CASE WHEN first_deposit_time NOT BETWEEN start_date AND end_date THEN click_c END)
+           CAST(sum(CASE WHEN first_deposit_time NOT BETWEEN start_date AND end_date THEN click_c END) AS BIGINT)
                AS non_active_click_this_week_count
     FROM o_grp_b GROUP BY award_period, group_name
 )
