@@ -54,16 +54,18 @@ def day_buckets(intervals: DataFrame, lo: str, hi: str, out: str = "_day") -> Da
 
 
 def range_join(points: DataFrame, ts: str, intervals: DataFrame, lo: str, hi: str,
-               max_rows: int) -> DataFrame:
+               max_rows: int, buckets: DataFrame | None = None) -> DataFrame:
     """Inner join of ``points`` with every interval where
     ``lo <= points.ts <= hi`` (closed on both ends).
 
     The interval side is small (calendar-sized): it is exploded to day
     buckets, size-checked and broadcast, and the big point side is streamed
     through a hash join on the day with the exact range as residual filter.
-    A point on a shared boundary matches both intervals.
+    A point on a shared boundary matches both intervals.  ``buckets`` may
+    pass an already checked ``day_buckets(intervals, lo, hi)`` side.
     """
-    buckets = bounded_broadcast(day_buckets(intervals, lo, hi), max_rows)
+    if buckets is None:
+        buckets = bounded_broadcast(day_buckets(intervals, lo, hi), max_rows)
     pts = points.withColumn("_day", F.to_date(F.col(ts)))
     joined = pts.join(buckets, "_day")
     return joined.where((F.col(ts) >= F.col(lo)) & (F.col(ts) <= F.col(hi))).drop("_day")
@@ -71,7 +73,7 @@ def range_join(points: DataFrame, ts: str, intervals: DataFrame, lo: str, hi: st
 
 def interval_sums(points: DataFrame, key: str, ts: str, value: str,
                   intervals: DataFrame, lo: str, hi: str, interval_keys: Sequence[str],
-                  out: str, max_rows: int) -> DataFrame:
+                  out: str, max_rows: int, buckets: DataFrame | None = None) -> DataFrame:
     """Per ``key`` and interval: ``sum(value)`` of the points in ``[lo, hi]``.
 
     Output: ``key, *interval_keys, out``; keys without points in an interval
@@ -79,5 +81,5 @@ def interval_sums(points: DataFrame, key: str, ts: str, value: str,
     so a key holding a large share of the points does not skew the shuffle.
     """
     hits = range_join(points.select(key, ts, value), ts,
-                      intervals.select(*interval_keys, lo, hi).distinct(), lo, hi, max_rows)
+                      intervals.select(*interval_keys, lo, hi).distinct(), lo, hi, max_rows, buckets)
     return hits.groupBy(key, *interval_keys).agg(F.sum(value).alias(out))

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from weekwise.config import DEPOSIT_TASK, SUCCESS_PROPOSAL_STATUS, TRADING_TASK
 from weekwise.functions.scalar import plus_days, plus_days_ts
 from weekwise.operators.cohort import label_customer, with_subtotal
-from weekwise.operators.temporal import interval_sums, prev_before
+from weekwise.operators.joins import bounded_broadcast
+from weekwise.operators.temporal import day_buckets, prev_before, range_join
 from weekwise.plans.base import cid
 from weekwise.plans.retention import Base
 
@@ -85,17 +86,20 @@ def deposit_growth_base(b: Base) -> DataFrame:
     deposits = (b.t.bo_client_deposit_proposal
                 .where(F.col("proposal_status") == SUCCESS_PROPOSAL_STATUS)
                 .select(cid().alias("cid"), "create_date", "amount_converted"))
-    this_week = interval_sums(
-        deposits, "cid", "create_date", "amount_converted",
-        weeks.select("start_date", "end_date", F.col("start_date").alias("_lo"), F.col("end_date").alias("_hi")),
-        "_lo", "_hi", ["start_date", "end_date"], "amount_this_week", cfg.broadcast_max_rows)
-    last_week = interval_sums(
-        deposits, "cid", "create_date", "amount_converted",
-        weeks.select("start_date", "end_date", plus_days_ts("start_date", -7).alias("_lo"),
-                     F.col("start_date").alias("_hi")),
-        "_lo", "_hi", ["start_date", "end_date"], "amount_last_week", cfg.broadcast_max_rows)
+    # Both windows of every award week in one day-bucketed, size-checked
+    # broadcast side: the deposits are scanned and joined once.
+    windows = weeks.select("start_date", "end_date", F.lit(True).alias("_this"),
+                           F.col("start_date").alias("_lo"), F.col("end_date").alias("_hi")).unionByName(
+        weeks.select("start_date", "end_date", F.lit(False).alias("_this"),
+                     plus_days_ts("start_date", -7).alias("_lo"), F.col("start_date").alias("_hi")))
+    buckets = b.memo("deposit_growth_buckets", lambda: bounded_broadcast(
+        day_buckets(windows, "_lo", "_hi"), cfg.broadcast_max_rows))
+    hits = range_join(deposits, "create_date", windows, "_lo", "_hi", cfg.broadcast_max_rows, buckets)
+    sums = (hits.groupBy("cid", "start_date", "end_date")
+            .agg(F.sum(F.when(F.col("_this"), F.col("amount_converted"))).alias("amount_this_week"),
+                 F.sum(F.when(~F.col("_this"), F.col("amount_converted"))).alias("amount_last_week")))
     keys = ["cid", "start_date", "end_date"]
-    with_amounts = (tasks.join(this_week, keys, "left").join(last_week, keys, "left")
+    with_amounts = (tasks.join(sums, keys, "left")
                     .withColumn("amount_this_week", F.coalesce("amount_this_week", F.lit(0).cast("decimal(28,2)")))
                     .withColumn("amount_last_week", F.coalesce("amount_last_week", F.lit(0).cast("decimal(28,2)"))))
     prev = prev_before(with_amounts, "cid", "start_date", "_prev")

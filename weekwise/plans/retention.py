@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from weekwise.config import SUCCESS_PROPOSAL_STATUS, TRADING_TASK, ReportConfig
 from weekwise.functions.scalar import plus_days, plus_days_ts
 from weekwise.operators.cohort import count_flags, entity_flags, label_customer, with_subtotal
-from weekwise.operators.temporal import next_after, range_join
+from weekwise.operators.joins import bounded_broadcast
+from weekwise.operators.temporal import day_buckets, next_after, range_join
 from weekwise.plans.base import award_weeks, cid, first_active, trading_weeks
 from weekwise.sources.tables import Tables
 
@@ -25,6 +26,22 @@ class Base:
     def __init__(self, t: Tables, cfg: ReportConfig):
         self.t, self.cfg = t, cfg
         self._fa = self._aw = self._tw = self._cs = None
+        self._memo: dict[str, DataFrame] = {}
+        self._persisted: list[DataFrame] = []
+
+    def memo(self, key: str, build) -> DataFrame:
+        """A relation built once per run (e.g. a size-checked broadcast side)."""
+        if key not in self._memo:
+            self._memo[key] = build()
+        return self._memo[key]
+
+    def unpersist(self) -> None:
+        for df in self._persisted:
+            df.unpersist()
+        for df in self._memo.values():
+            df.unpersist()
+        self._persisted.clear()
+        self._memo.clear()
 
     def persist(self, mode: str = "cache") -> "Base":
         from pyspark import StorageLevel
@@ -34,6 +51,7 @@ class Base:
                 df = df.checkpoint(eager=True)
             else:
                 df = df.persist(StorageLevel.MEMORY_AND_DISK)
+                self._persisted.append(df)
             setattr(self, "_" + {"first_active": "fa", "award_weeks": "aw",
                                  "trading_weeks": "tw", "click_sums": "cs"}[attr], df)
         return self
@@ -129,7 +147,10 @@ def deposit_week_events(b: Base) -> DataFrame:
                        & (F.col("create_date") >= F.lit(cfg.deposits_from)))
                 .select("create_date", "client_id"))
     windows = bounds.select("start_date", plus_days_ts("start_date", -7).alias("_lo"))
-    hits = (range_join(deposits, "create_date", windows, "_lo", "start_date", cfg.broadcast_max_rows)
+    buckets = b.memo("deposit_week_buckets", lambda: bounded_broadcast(
+        day_buckets(windows, "_lo", "start_date"), cfg.broadcast_max_rows))
+    hits = (range_join(deposits, "create_date", windows, "_lo", "start_date", cfg.broadcast_max_rows,
+                       buckets=buckets)
             .select("start_date", "client_id").distinct())
     hit_bounds = hits.select("start_date").distinct()
     empty = (bounds.join(hit_bounds, bounds["start_date"] == hit_bounds["start_date"], "left_anti")

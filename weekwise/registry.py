@@ -35,6 +35,13 @@ def fixture_base(spark: SparkSession, sf_dir: str, cfg: ReportConfig = FIXTURE)
     return base
 
 
+def reset() -> None:
+    """Drop the memoised bases (and their persisted relations)."""
+    for base in _BASES.values():
+        base.unpersist()
+    _BASES.clear()
+
+
 def _q(fn: Callable[[Base], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return canonical(fn(fixture_base(spark, sf_dir)))
