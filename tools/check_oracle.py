@@ -2,8 +2,12 @@
 
 usage: python tools/check_oracle.py [sf_dir] [name ...]
 """
-import json
+import os
 import sys
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+import json
 import time
 
 from weekwise.oracle.compare import compare, duckdb_with_views

@@ -1,5 +1,9 @@
 """Print fixture row counts from Spark and DuckDB for one scale factor."""
+import os
 import sys
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
 from weekwise.session import build_session
 from weekwise.sources.fixture import fixture_tables
 from weekwise.oracle.fixture_sql import FIXTURE_TABLES, with_fixture
