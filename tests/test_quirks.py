@@ -100,3 +100,14 @@ def test_missing_first_active_is_old_customer(spark):
               report_business=[(str(B), "daily", dt.date(2025, 12, 3), 1, 0)])
     r = clicks.assigned_clicks(b, 1).collect()
     assert [(x.customer_type, x.task1_assigned, x.task1_assigned_click) for x in r] == [("Old Customer", 1, 0)]
+
+
+def test_empty_tables_give_empty_reports(spark):
+    from weekwise.plans import present, report
+    b = _base(spark)
+    assert report.weekly_report_derived(b).count() == 0
+    assert clicks.click_report_derived(b).count() == 0
+    assert groups.task_group_clicks_derived(b).count() == 0
+    assert present.indicator_long(report.weekly_report_derived(b, sort=False), 8).count() == 0
+    # the synthetic boundary after the latest week is NULL and matches nothing
+    assert [tuple(r) for r in retention.deposit_week_events(b).collect()] == [(None, None, 1)]
