@@ -6,7 +6,6 @@ are for tests, the bench and command-line use.
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -55,7 +54,3 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="weekwise-ckpt-")
     spark.sparkContext.setCheckpointDir(configured)
     return spark.sparkContext.getCheckpointDir() or configured
-
-
-def local_path(path: str) -> str:
-    return os.path.abspath(path)
