@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weekwise.llm import block_dedup, decontaminate, overlap_join
+from weekwise.llm import block_dedup, decontaminate, overlap_join, toxicity, trie_bpe
 from weekwise.llm.common import table
 
 
@@ -15,6 +15,23 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return block_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def word_bpe_file() -> str:
+    """The tokenizer file of the queries."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of all documents' ids and decoded texts."""
+    return trie_bpe.round_trip(table(spark, sf_dir, "documents"), word_bpe_file())
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of all documents."""
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-copy components of all documents."""
     return overlap_join.near_duplicates(table(spark, sf_dir, "documents"))
@@ -26,7 +43,8 @@ def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_exact_dedup, op4_ngram_jaccard_join, op7_benchmark_decontamination)}
+    return {f.__name__: f for f in (
+        op1_exact_dedup, op2_bpe, op3_toxicity, op4_ngram_jaccard_join, op7_benchmark_decontamination)}
 
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"

@@ -106,19 +106,27 @@ class Words:
             after[cuts] = True
         self.ends = np.flatnonzero(mask & after) + 1
         self.word_offs = np.searchsorted(self.starts, self.offs)
-        self.hashes = self._hash()
+        self.hashes = self._hash(self.starts, self.ends)
 
-    def _hash(self) -> np.ndarray:
-        out = np.empty(len(self.starts), dtype=np.uint64)
-        i, n = 0, len(self.starts)
+    def heads(self, length: int) -> tuple[np.ndarray, np.ndarray]:
+        """Words of at least ``length`` bytes, and the hash of their first bytes.
+
+        It equals the hash of a word of those bytes.
+        """
+        long = np.flatnonzero(self.ends - self.starts >= length)
+        return long, self._hash(self.starts[long], self.starts[long] + length)
+
+    def _hash(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        out = np.empty(len(starts), dtype=np.uint64)
+        i, n = 0, len(starts)
         while i < n:
-            a = int(self.starts[i])
-            j = max(i + 1, int(np.searchsorted(self.ends, a + PIECE, "right")))
-            b = int(self.ends[j - 1])
+            a = int(starts[i])
+            j = max(i + 1, int(np.searchsorted(ends, a + PIECE, "right")))
+            b = int(ends[j - 1])
             if b - a <= PIECE:
                 sums = np.zeros(b - a + 1, dtype=np.uint64)
                 np.cumsum(_VALUE[self.buf[a:b]] * _POW[:b - a], out=sums[1:])
-                s, e = self.starts[i:j] - a, self.ends[i:j] - a
+                s, e = starts[i:j] - a, ends[i:j] - a
                 out[i:j] = mix((sums[e] - sums[s]) * _INV[s] + (e - s).astype(np.uint64))
             else:  # one word longer than a piece: by pieces, in the same polynomial
                 total, scale = np.uint64(0), np.uint64(1)
