@@ -25,17 +25,19 @@ def _smallest_gram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, scratch: Scratch,
-                    rows: int = FIT_ROWS) -> DataFrame:
-    """(text, label): at most ``rows`` documents of label 0 and of label 1.
+                    rows: int = FIT_ROWS) -> tuple[DataFrame, dict[int, float]]:
+    """(text, label, fold), and the weight of each label's rows: at most ``rows`` documents of label 0 and of label 1.
 
     They are chosen by a hash of doc_id among the rows that are not held out.
     Of documents whose smallest word 3-gram agrees, mostly copies of each
-    other, one is taken.  Ids with contradicting labels and null labels are
+    other, one is taken; by that gram they fall into folds 0 to 3.  With the weights the
+    labels stand to each other as among all labelled rows.  Ids with contradicting labels and null labels are
     left out.
     """
     known = (labels.filter(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
              .groupBy("doc_id").agg(F.min(label).alias("label"), F.max(label).alias("other"))
              .filter("label = other").select("doc_id", F.col("label").cast("int").alias("label")))
+    known = scratch.save(known, "known")
     order = F.xxhash64("doc_id")
     ids = None
     for value in (0, 1):
@@ -45,4 +47,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, scratch: Scr
     chosen = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(ids), "doc_id")
     grams = chosen.mapInArrow(
         _smallest_gram, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text string, label int, gram long")
-    return scratch.save(grams.dropDuplicates(["label", "gram"]).select("text", "label"), "sample")
+    sample = scratch.save(grams.dropDuplicates(["label", "gram"])
+                        .select("text", "label", F.pmod("gram", F.lit(4)).cast("int").alias("fold")), "sample")
+    there = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
+    taken = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
+    scale = sum(taken.values()) / max(1, sum(there.get(k, 0) for k in taken))
+    return sample, {k: there[k] / n * scale for k, n in taken.items()}

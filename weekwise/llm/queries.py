@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weekwise.llm import block_dedup, decontaminate, overlap_join, toxicity, trie_bpe
+from weekwise.llm import block_dedup, decontaminate, overlap_join, quality, toxicity, trie_bpe
 from weekwise.llm.common import table
 
 
@@ -42,9 +42,14 @@ def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of all documents."""
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_exact_dedup, op2_bpe, op3_toxicity, op4_ngram_jaccard_join, op7_benchmark_decontamination)}
+        op1_exact_dedup, op2_bpe, op3_toxicity, op4_ngram_jaccard_join, op7_benchmark_decontamination, op9_quality)}
 
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"

@@ -59,6 +59,13 @@ def alnum_words() -> np.ndarray:
     return word
 
 
+def any_tokens() -> np.ndarray:
+    """Kinds of bytes: runs of digits, letters and beyond are tokens, so are runs of signs."""
+    kind = alnum_words().astype(np.uint8)
+    kind[(~alnum_words()) & space_words()] = 2
+    return kind
+
+
 def chunks(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
     """Slices with about ``CHUNK_BYTES`` of text; a longer text goes alone."""
     for batch in batches:
@@ -72,8 +79,8 @@ def chunks(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.Record
             start = stop
 
 
-def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The UTF-8 bytes of all texts, A-Z lower-cased, and each text's offsets.
+def text_bytes(texts: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """The UTF-8 bytes of all texts, with A-Z lower-cased if asked, and each text's offsets.
 
     Null texts are empty.
     """
@@ -82,29 +89,26 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     offs = np.frombuffer(offsets, dtype=np.int64)[arr.offset:arr.offset + len(arr) + 1]
     first, last = (int(offs[0]), int(offs[-1])) if len(offs) else (0, 0)
     raw = np.frombuffer(data, dtype=np.uint8)[first:last] if data is not None else np.zeros(0, np.uint8)
-    return LOWER_ASCII[raw], offs - first
+    return LOWER_ASCII[raw] if lower else raw, offs - first
 
 
 class Words:
-    """Words of several texts: byte ranges, hashes, and offsets per text."""
+    """Words of several texts: byte ranges, hashes, and offsets per text.
+
+    ``kinds`` gives the kind of each byte; a word is a run of one kind, and
+    kind 0 belongs to none.
+    """
 
-    def __init__(self, texts: pa.Array, is_word: np.ndarray) -> None:
-        self.buf, self.offs = text_bytes(texts)
+    def __init__(self, texts: pa.Array, kinds: np.ndarray, lower: bool = True) -> None:
+        self.buf, self.offs = text_bytes(texts, lower)
         n = len(self.buf)
-        mask = is_word[self.buf]
-        edge = np.empty(n + 1, dtype=bool)
-        edge[0] = edge[n] = True
-        edge[1:n] = ~mask[:-1]
-        inner = self.offs[self.offs < n]
-        edge[inner] = True
-        self.starts = np.flatnonzero(mask & edge[:n])
-        after = np.empty(n, dtype=bool)
-        if n:
-            after[-1] = True
-            after[:-1] = ~mask[1:]
-            cuts = self.offs[(self.offs > 0)] - 1
-            after[cuts] = True
-        self.ends = np.flatnonzero(mask & after) + 1
+        kind = kinds.astype(np.uint8)[self.buf]
+        edge = np.ones(n + 1, dtype=bool)      # a text or another kind begins here
+        edge[1:n] = kind[1:] != kind[:-1]
+        edge[self.offs] = True
+        word = kind > 0
+        self.starts = np.flatnonzero(word & edge[:n])
+        self.ends = np.flatnonzero(word & edge[1:]) + 1
         self.word_offs = np.searchsorted(self.starts, self.offs)
         self.hashes = self._hash(self.starts, self.ends)
 

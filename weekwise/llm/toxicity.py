@@ -11,7 +11,7 @@ clauses of each type it has, so a word counts for what its clause makes of it.
 Insults are a list of fixed words and those that a bounded sample of labelled
 documents shows: words, and beginnings of words, that are common in toxic
 documents and next to absent from others.  The weights start from fixed
-values and are fitted on the same sample.  Neither doc_id, lang nor source is
+values and are fitted on the half of the sample that a lexicon has not seen.  Neither doc_id, lang nor source is
 an input.
 
 Defined cases: null and empty texts have no clause and get the least score;
@@ -50,10 +50,11 @@ START = {"reported": 0.5, "negated": 0.7, "threat": 1.5, "insult": 2.5, "directe
 START_BIAS = -3.5
 THRESHOLD = 0.3
 HEADS = (4, 5, 6)        # bytes of word beginnings that may be insults
-LEAST_SUPPORT = 6        # toxic documents of the sample, and ...
-LEAST_SHARE = 0.015      # ... share of them, that a learned insult occurs in
-MOST_CLEAN = 0.02        # its share in clean documents over that in toxic ones
-MOST_WORDS = 20_000      # learned entries that can pass LEAST_SHARE are fewer
+# A learned word occurs in so many toxic documents of the sample, in so large a
+# share of them, and its share in clean ones is at most so large a part of that.
+WORD_RULE = (4, 0.004, 0.02)
+HEAD_RULE = (8, 0.02, 0.005)
+MOST_WORDS = 20_000      # entries a model learns at most, the most frequent ones
 
 
 class Transducer:
@@ -202,10 +203,15 @@ def learn_insults(sample: DataFrame) -> dict[int, list[int]]:
     if not rows.get(1):
         return {}
     n_toxic, n_clean = rows[1], rows.get(0, 0) + 1
-    found = (sample.mapInArrow(run, "length int, hash long, toxic long, clean long")
-             .groupBy("length", "hash").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-             .filter(F.col("toxic") >= max(LEAST_SUPPORT, LEAST_SHARE * n_toxic))
-             .filter(F.col("clean") / n_clean <= MOST_CLEAN * F.col("toxic") / n_toxic))
+    counts = (sample.mapInArrow(run, "length int, hash long, toxic long, clean long")
+              .groupBy("length", "hash").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")))
+
+    def passes(rule):
+        support, share, clean = rule
+        return ((F.col("toxic") >= max(support, share * n_toxic))
+                & (F.col("clean") / n_clean <= clean * F.col("toxic") / n_toxic))
+
+    found = counts.filter(F.when(F.col("length") == 0, passes(WORD_RULE)).otherwise(passes(HEAD_RULE)))
     out: dict[int, list[int]] = {}
     for r in found.orderBy(F.desc("toxic"), "length", "hash").limit(MOST_WORDS).collect():
         out.setdefault(r["length"], []).append(r["hash"] & (2**64 - 1))
@@ -213,18 +219,19 @@ def learn_insults(sample: DataFrame) -> dict[int, list[int]]:
 
 
 def _inputs(counts: np.ndarray) -> np.ndarray:
-    return np.log1p(counts) / np.log(2)
+    """A document is no more toxic for its sixth clause of a type."""
+    return np.minimum(counts, 5)
 
 
-def fit_weights(x: np.ndarray, y: np.ndarray, pull: float = 1.0, steps: int = 50) -> np.ndarray:
+def fit_weights(x: np.ndarray, y: np.ndarray, weight: np.ndarray, pull: float = 1.0, steps: int = 50) -> np.ndarray:
     """Logistic weights, bias last, by Newton's method, drawn to the fixed ones."""
     start = np.array([*START.values(), START_BIAS])
     x = np.column_stack([x, np.ones(len(x))])
     w = start.copy()
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        gradient = x.T @ (p - y) + pull * (w - start)
-        hessian = (x * (p * (1 - p))[:, None]).T @ x + pull * np.eye(len(w))
+        gradient = x.T @ (weight * (p - y)) + pull * (w - start)
+        hessian = (x * (weight * p * (1 - p))[:, None]).T @ x + pull * np.eye(len(w))
         move = np.linalg.solve(hessian, gradient)
         w = w - np.clip(move, -1, 1)
         if np.abs(move).max() < 1e-6:
@@ -243,20 +250,26 @@ class Model:
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
     """Lexicon and weights from at most ``rows`` documents of each label."""
-    sample = labelled_sample(docs, labels, "toxic", Scratch(docs.sparkSession, "toxicity"), rows)
-    lexicon = Lexicon(learn_insults(sample))
-    shared = docs.sparkSession.sparkContext.broadcast(lexicon)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches, "text"):
-            counts = clause_counts(batch.column("text"), shared.value)
-            yield pa.RecordBatch.from_pydict({"counts": pa.array(list(counts), pa.list_(pa.float64())),
-                                              "label": batch.column("label")})
-
-    # one short row for each document of the sample
-    found = sample.mapInArrow(run, "counts array<double>, label int").collect()
-    x = np.array([r["counts"] for r in found]).reshape(len(found), len(TYPES))
-    return Model(lexicon, fit_weights(_inputs(x), np.array([r["label"] for r in found], dtype=float)))
+    sample, weight = labelled_sample(docs, labels, "toxic", Scratch(docs.sparkSession, "toxicity"), rows)
+    x, y = [np.zeros((0, len(TYPES)))], [np.zeros(0)]
+    for fold in (0, 1):  # weights come from documents that the lexicon has not seen
+        lexicon = Lexicon(learn_insults(sample.filter(F.col("fold") % 2 != fold)))
+        shared = docs.sparkSession.sparkContext.broadcast(lexicon)
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            for batch in chunks(batches, "text"):
+                counts = clause_counts(batch.column("text"), shared.value)
+                yield pa.RecordBatch.from_pydict({"counts": pa.array(list(counts), pa.list_(pa.float64())),
+                                                  "label": batch.column("label")})
+
+        # one short row for each document of the sample
+        found = sample.filter(F.col("fold") % 2 == fold).mapInArrow(run, "counts array<double>, label int").collect()
+        x.append(np.array([r["counts"] for r in found]).reshape(len(found), len(TYPES)))
+        y.append(np.array([r["label"] for r in found], dtype=float))
+    y = np.concatenate(y)
+    row_weight = np.where(y > 0, weight.get(1, 1.0), weight.get(0, 1.0))
+    weights = fit_weights(_inputs(np.concatenate(x)), y, row_weight)
+    return Model(Lexicon(learn_insults(sample)), weights)
 
 
 def score_documents(docs: DataFrame, model: Model) -> DataFrame:
