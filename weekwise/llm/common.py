@@ -97,14 +97,14 @@ def salted_lookup(left: DataFrame, right: DataFrame, keys: list[str], weight: st
     ``right[weight]`` is the number of left rows of the key.  The hot keys,
     at most ``HOT_KEYS`` by their definition, are broadcast as a flag; their
     left rows are dealt by a hash of ``spread`` and their right rows repeated
-    once per part.  All other keys join as they are.  The weight column is
-    dropped.
+    once per part.  All other keys join as they are.  Both sides grow with the
+    input, so neither is broadcast at any size.  The weight column is dropped.
     """
     total = right.agg(F.sum(weight)).head()[0] or 0
     bound = max(total // HOT_KEYS, 10_000)
     is_hot = F.col(weight) > bound
     if total <= bound:
-        return left.join(right.drop(weight), keys, how)
+        return left.join(right.drop(weight).hint("merge"), keys, how)
     hot = right.filter(is_hot).select(*keys, F.lit(True).alias("_hot"))
     dealt = (left.join(F.broadcast(hot), keys, "left")
              .withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(*spread), F.lit(HOT_SPREAD))
@@ -113,4 +113,4 @@ def salted_lookup(left: DataFrame, right: DataFrame, keys: list[str], weight: st
     copies = right.withColumn(
         "_salt", F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(HOT_SPREAD - 1)))
                            .otherwise(F.array(F.lit(0))))).drop(weight)
-    return dealt.join(copies, [*keys, "_salt"], how).drop("_salt")
+    return dealt.join(copies.hint("merge"), [*keys, "_salt"], how).drop("_salt")

@@ -12,7 +12,8 @@ Spark decides which documents meet in one index:
 2. The grams of a set are dealt to H + 1 parts by their hash, H being the
    most grams in which two linked sets of that size can differ.  Linked sets
    agree in a whole part, so they share a bucket (part, its grams).  Sizes
-   are banded, and a set deals its grams for its own band and the one below.
+   are banded, and a set deals its grams for its own band and, where it can
+   have partners there, for the one below.
    An empty part says little: it is named with halves of the next parts,
    of which linked sets that agree in nothing else must share one.
 3. In every bucket the smallest member is a pivot; all members are searched
@@ -32,6 +33,7 @@ from __future__ import annotations
 
 import heapq
 from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -52,25 +54,40 @@ _SEED_A, _SEED_B = np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344)
 
 
 class Bands:
-    """Size bands: linked sets lie in one band or in neighbours."""
+    """Size bands: linked sets lie in one band or in neighbours.
+
+    A band is as wide as ``STEPS`` steps of the size ratio that linked sets
+    can have, so that only sets near its lower end have partners below it.
+    """
+
+    STEPS = 3
 
     def __init__(self, threshold: tuple[int, int]) -> None:
         self.num, self.den = threshold
         self.lows = [1]
 
-    def _reach(self, band: int) -> None:
-        while len(self.lows) <= band + 2:
-            self.lows.append(self.lows[-1] * self.den // self.num + 1)
+    def _largest(self, n: int) -> int:
+        """Largest set that one of size n can be linked with."""
+        return n * self.den // self.num
+
+    def smallest(self, n: int) -> int:
+        return -(-n * self.num // self.den)
 
     def band(self, n: int) -> int:
         while self.lows[-1] <= n:
-            self._reach(len(self.lows))
+            low = self.lows[-1]
+            for _ in range(self.STEPS):
+                low = self._largest(low) + 1
+            self.lows.append(low)
         return bisect_left(self.lows, n + 1) - 1
 
+    def low(self, band: int) -> int:
+        return self.lows[band]
+
     def differ(self, band: int) -> int:
-        """Most grams in which linked sets of this band and the next differ."""
-        self._reach(band)
-        return 2 * (self.lows[band + 2] - 1) * (self.den - self.num) // (self.den + self.num)
+        """Most grams in which a set of this band differs from a linked one that is no smaller."""
+        top = self.lows[band + 1] - 1
+        return (top + self._largest(top)) * (self.den - self.num) // (self.den + self.num)
 
 
 def needed(a: int, b: int, threshold: tuple[int, int]) -> int:
@@ -112,7 +129,9 @@ def bucket_names(grams: np.ndarray, bands: Bands) -> list[int]:
     own = bands.band(len(grams))
     spread = mix(grams ^ _SEED_A)
     for band in (own, own - 1):
-        if band < 0 or (differ := bands.differ(band)) == 0:
+        if band < own and bands.smallest(len(grams)) >= bands.low(own):
+            continue  # no partner in the band below
+        if (differ := bands.differ(band)) == 0:
             continue  # only equal sets are linked at this size
         parts = differ + 1
         part = (grams % np.uint64(parts)).astype(np.int64)
@@ -179,71 +198,81 @@ def _set_grams(docs: DataFrame, shingle: int) -> DataFrame:
     return docs.select("text").mapInArrow(run, "n long, k1 long, k2 long, grams array<long>")
 
 
-def divide_skip(lists: list[list[int]], least: int) -> Iterator[tuple[int, int]]:
-    """(member, occurrences) of members on at least ``least`` of the sorted lists.
-
-    The longest lists are only probed; the others are merged by a heap, in
-    which members that cannot reach the count are skipped.
-    """
-    lists = sorted((x for x in lists if x), key=len)
-    if least <= 0 or len(lists) < least:
-        return
-    longest = len(lists[-1])
-    n_long = min(least - 1, int(least / (0.0085 * np.log2(longest + 1) + 1)))
-    short, long = lists[:len(lists) - n_long], lists[len(lists) - n_long:]
-    count = least - n_long
-    heap = [(x[0], k, 0) for k, x in enumerate(short)]
+def _merge_skip(lists: list[list[int]], count: int) -> Iterator[tuple[int, int]]:
+    """(member, occurrences) of members on at least ``count`` sorted lists, by a heap with skipping."""
+    heap = [(x[0], k, 0) for k, x in enumerate(lists) if x]
     heapq.heapify(heap)
     while len(heap) >= count:
         member = heap[0][0]
         popped = []
         while heap and heap[0][0] == member:
             popped.append(heapq.heappop(heap))
+        after = member + 1
         if len(popped) >= count:
-            seen = len(popped)
-            for k, x in enumerate(long):
-                if seen + len(long) - k < least:
-                    break
-                at = bisect_left(x, member)
-                seen += at < len(x) and x[at] == member
-            if seen >= least:
-                yield member, seen
-            after = member + 1
-        else:  # no member below the head that is left can be on enough lists
+            yield member, len(popped)
+        else:  # what stands below the head that is then left is on too few lists
             while heap and len(popped) < count - 1:
                 popped.append(heapq.heappop(heap))
             if not heap:
                 return
-            after = max(member + 1, heap[0][0])
+            after = max(after, heap[0][0])
         for _, k, at in popped:
-            at = bisect_left(short[k], after, at)
-            if at < len(short[k]):
-                heapq.heappush(heap, (short[k][at], k, at))
+            at = bisect_left(lists[k], after, at)
+            if at < len(lists[k]):
+                heapq.heappush(heap, (lists[k][at], k, at))
+
+
+def divide_skip(lists: list[np.ndarray], least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Members on at least ``least`` of the sorted lists, and on how many they are.
+
+    The longest lists are set aside and the others merged; what the merge
+    leaves is looked for in the long lists by binary search, all members at
+    once, and given up when the lists that remain cannot make up the count.
+    """
+    lists = sorted((x for x in lists if len(x)), key=len)
+    none = np.zeros(0, np.int64)
+    if least <= 0 or len(lists) < least:
+        return none, none
+    n_long = min(least - 1, int(least / (0.0085 * np.log2(len(lists[-1]) + 1) + 1)))
+    short, long = lists[:len(lists) - n_long], lists[len(lists) - n_long:]
+    merged = list(_merge_skip([x.tolist() for x in short], least - n_long))
+    if not merged:
+        return none, none
+    members, seen = np.array(merged, dtype=np.int64).T
+    for k, x in enumerate(long):
+        if k % 16 == 0:
+            able = seen + len(long) - k >= least
+            members, seen = members[able], seen[able]
+            if not len(members):
+                break
+        at = np.minimum(np.searchsorted(x, members), len(x) - 1)
+        seen = seen + (x[at] == members)
+    enough = seen >= least
+    return members[enough], seen[enough]
 
 
 class Index:
-    """Inverted lists of some sets, numbered by size."""
+    """Inverted lists of some sets."""
 
     def __init__(self, grams: list[np.ndarray]) -> None:
-        self.sizes = [len(g) for g in grams]
+        self.sizes = np.array([len(g) for g in grams])
         flat = np.concatenate(grams) if grams else np.zeros(0, np.int64)
         owner = np.repeat(np.arange(len(grams)), self.sizes)
         order = np.lexsort((owner, flat))
         values, first = np.unique(flat[order], return_index=True)
-        owners = owner[order].tolist()
+        owners = owner[order]
         bounds = [*first.tolist(), len(owners)]
         self.lists = {v: owners[bounds[i]:bounds[i + 1]] for i, v in enumerate(values.tolist())}
 
-    def search(self, query: np.ndarray, threshold: tuple[int, int]) -> Iterator[int]:
+    def search(self, query: np.ndarray, threshold: tuple[int, int]) -> list[int]:
         num, den = threshold
         n = len(query)
-        fit = [s for s in self.sizes if s * den >= num * n and n * den >= num * s]
-        if not fit:
-            return
-        found = [x for g in query.tolist() if (x := self.lists.get(g))]
-        for member, seen in divide_skip(found, needed(n, min(fit), threshold)):
-            if seen >= needed(n, self.sizes[member], threshold):
-                yield member
+        fit = self.sizes[(self.sizes * den >= num * n) & (n * den >= num * self.sizes)]
+        if not len(fit):
+            return []
+        found = [x for g in query.tolist() if (x := self.lists.get(g)) is not None]
+        members, seen = divide_skip(found, needed(n, int(fit.min()), threshold))
+        return [m for m, s in zip(members.tolist(), seen.tolist()) if s >= needed(n, int(self.sizes[m]), threshold)]
 
 
 def _groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[list[dict]]:
@@ -280,7 +309,7 @@ def _pivot_links(members: DataFrame, grams: DataFrame, threshold: tuple[int, int
     heads = sizes.select("pivot", F.col("pivot").alias("sid"),
                          F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
     rows = (dealt.select("pivot", "sid", "part").unionByName(heads)
-            .join(grams, "sid")
+            .join(grams.hint("merge"), "sid")
             .select(F.struct("pivot", "part").alias("at"), "pivot", "sid", "grams"))
     rows = rows.withColumn("at", F.concat_ws(":", "at.pivot", "at.part"))
     dealt_out = rows.repartition("at").sortWithinPartitions("at")
@@ -296,6 +325,38 @@ def _pivot_links(members: DataFrame, grams: DataFrame, threshold: tuple[int, int
     return dealt_out.mapInArrow(run, "a long, b long")
 
 
+class _Roots:
+    """Union-find over the components that meet in a block."""
+
+    def __init__(self, ids) -> None:
+        self.up = {x: x for x in ids}
+
+    def top(self, x: int) -> int:
+        up = self.up
+        while up[x] != x:
+            up[x] = x = up[up[x]]
+        return x
+
+    def join(self, a: int, b: int) -> bool:
+        a, b = self.top(a), self.top(b)
+        self.up[max(a, b)] = min(a, b)
+        return a != b
+
+
+def _cross_links(asking: list[dict], answering: list[dict], often: int, roots: _Roots,
+                 threshold: tuple[int, int]) -> list[tuple[int, int]]:
+    """Links that join components, from queries of all but the most frequent one."""
+    asking = [q for q in asking if q["root"] != often]
+    pairs = []
+    if asking:
+        index = Index([r["grams"] for r in answering])
+        for q in asking:
+            for i in index.search(q["grams"], threshold):
+                if roots.join(q["root"], answering[i]["root"]):
+                    pairs.append((q["root"], answering[i]["root"]))
+    return pairs
+
+
 def _block_links(blocks: DataFrame, grams: DataFrame, threshold: tuple[int, int], block_sets: int) -> DataFrame:
     """Links within blocks (block, sid, root) between sets of different roots."""
     sizes = blocks.groupBy("block").agg(F.count("*").alias("weight"))
@@ -303,37 +364,23 @@ def _block_links(blocks: DataFrame, grams: DataFrame, threshold: tuple[int, int]
     rows = salted_lookup(blocks, sizes, ["block"], "weight", ["sid"])
     rows = rows.withColumn("part", F.pmod(F.xxhash64("sid"), F.col("parts")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    rows = (rows.withColumn("other", other).join(grams, "sid")
+    rows = (rows.withColumn("other", other).join(grams.hint("merge"), "sid")
             .withColumn("at", F.concat_ws(":", "block", F.least("part", "other"), F.greatest("part", "other")))
-            .select("at", "part", "sid", "root", "grams"))
+            .select("at", "part", "root", "grams"))
     dealt_out = rows.repartition("at").sortWithinPartitions("at")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _groups(batches, "at"):
-            parts = sorted({r["part"] for r in group})
-            lo, hi = group[0]["at"].split(":")[1:]
-            if lo != hi and len(parts) < 2:
+            lo, hi = map(int, group[0]["at"].split(":")[1:])
+            count = Counter(r["root"] for r in group)
+            if len(count) == 1:
                 continue
-            queries = [r for r in group if str(r["part"]) == lo]
-            members = [r for r in group if str(r["part"]) == hi]
-            root = {r["root"]: r["root"] for r in group}
-
-            def top(x: int) -> int:
-                while root[x] != x:
-                    root[x] = x = root[root[x]]
-                return x
-
-            index = Index([r["grams"] for r in members])
-            pairs = []
-            for q in queries:
-                mine = top(q["root"])
-                if all(top(m) == mine for m in root):
-                    break
-                for i in index.search(q["grams"], threshold):
-                    theirs = top(members[i]["root"])
-                    if theirs != mine:
-                        pairs.append((q["root"], members[i]["root"]))
-                        root[theirs] = mine
+            # of two sets of different components one is not of the most frequent one
+            often, roots = count.most_common(1)[0][0], _Roots(count)
+            first, second = ([r for r in group if r["part"] == p] for p in (lo, hi))
+            pairs = _cross_links(first, second, often, roots, threshold)
+            if lo != hi:
+                pairs += _cross_links(second, first, often, roots, threshold)
             yield _links(pairs)
 
     return dealt_out.mapInArrow(run, "a long, b long")
@@ -359,7 +406,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, threshold: tuple[in
     wanted = scratch.save(members.select("sid").distinct().join(sets.select("sid", "rep", "n", "k1", "k2"), "sid"),
                           "wanted")
     texts = docs.select("doc_id", "text").join(
-        wanted.select("rep"), F.col("doc_id").eqNullSafe(F.col("rep")), "left_semi")
+        wanted.select("rep").hint("merge"), F.col("doc_id").eqNullSafe(F.col("rep")), "left_semi")
     grams = scratch.save(_set_grams(texts, shingle).join(wanted.select("sid", "n", "k1", "k2"), ["n", "k1", "k2"])
                          .select("sid", "grams").dropDuplicates(["sid"]), "grams")
 

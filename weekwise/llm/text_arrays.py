@@ -14,8 +14,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-PIECE = 1 << 20          # bytes hashed at once
-CHUNK_BYTES = 4 << 20    # bytes of text handled at once
+PIECE = 1 << 18          # bytes hashed at once
+CHUNK_BYTES = 1 << 20    # bytes of text handled at once
 
 _RNG = np.random.Generator(np.random.PCG64(20240607))
 _VALUE = _RNG.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
