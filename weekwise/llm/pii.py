@@ -145,7 +145,7 @@ def with_tokens(base: DataFrame) -> DataFrame:
     """Adds ``tokens``: identifier-like tokens with the words before them and the kind they are a seed of.
 
     Sentence signs at a token's ends are not part of it.  Tokens inside a base
-    span, but for the one that begins it, are left out.
+    span, but for the one that begins it and has its text, are left out.
     """
     raw = _with_occurrences(base, {"raw": TOKEN})
     before = F.transform("raw", lambda t, i: F.substring(
@@ -155,14 +155,15 @@ def with_tokens(base: DataFrame) -> DataFrame:
         left = F.ltrim(t["found"], F.lit("([{<\"':;,.!?*#|=-"))
         core = F.rtrim(left, F.lit(")]}>\"':;,.!?*#|"))
         start = t["end"] - F.length(left)
-        seed = F.lit(None).cast("string")
-        inside = F.lit(False)
+        seed, whole, inside = F.lit(None).cast("string"), core, F.lit(False)
         for k in KINDS:
-            begins = F.exists(k, lambda s: (s["start"] >= t["start"]) & (s["start"] < t["end"]))
+            begins = F.get(F.filter(k, lambda s: (s["start"] >= t["start"]) & (s["start"] < t["end"])), F.lit(0))
             within = F.exists(k, lambda s: (s["start"] < t["start"]) & (s["end"] > t["start"]))
-            seed, inside = F.when(begins, k).otherwise(seed), inside | within
+            seed = F.when(begins.isNotNull(), k).otherwise(seed)
+            whole = F.when(begins.isNotNull(), begins["found"]).otherwise(whole)
+            inside = inside | within
         words = F.regexp_extract(F.lower(ahead), r"(\S{1,30}\s{1,3}\S{1,30})\s*$", 1)
-        return F.struct(start.alias("start"), (start + F.length(core)).alias("end"), core.alias("found"),
+        return F.struct(start.alias("start"), (start + F.length(core)).alias("end"), whole.alias("found"),
                         F.regexp_replace(F.regexp_replace(words, r"\s+", " "), "[0-9]", "9").alias("pattern"),
                         seed.alias("seed"), inside.alias("inside"))
 
