@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weekwise.llm import block_dedup, decontaminate, overlap_join, pii, quality, toxicity, trie_bpe
+from weekwise.llm import block_dedup, decontaminate, html_crf, overlap_join, pii, quality, toxicity, trie_bpe
 from weekwise.llm.common import table
 
 
@@ -42,6 +42,11 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data(table(spark, sf_dir, "documents"))
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages."""
+    return html_crf.main_text(table(spark, sf_dir, "pages"))
+
+
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark passages in all documents."""
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -54,7 +59,8 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_exact_dedup, op2_bpe, op3_toxicity, op4_ngram_jaccard_join, op5_pii, op7_benchmark_decontamination, op9_quality)}
+        op1_exact_dedup, op2_bpe, op3_toxicity, op4_ngram_jaccard_join, op5_pii, op6_html_extraction,
+        op7_benchmark_decontamination, op9_quality)}
 
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
