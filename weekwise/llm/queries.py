@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weekwise.llm import block_dedup, decontaminate, html_crf, overlap_join, pii, quality, toxicity, trie_bpe
+from weekwise.llm import (
+    block_dedup, chat_format, decontaminate, html_crf, overlap_join, pii, quality, token_scan, toxicity, trie_bpe,
+)
 from weekwise.llm.common import table
 
 
@@ -52,15 +54,28 @@ def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations that no other continues, rendered."""
+    return chat_format.render(table(spark, sf_dir, "conversations"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality scores of all documents."""
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of all documents from flat token files."""
+    import public_tokenizers
+
+    tokenizer = str(public_tokenizers.path("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN
+    return token_scan.document_token_counts(table(spark, sf_dir, "documents"), tokenizer)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_exact_dedup, op2_bpe, op3_toxicity, op4_ngram_jaccard_join, op5_pii, op6_html_extraction,
-        op7_benchmark_decontamination, op9_quality)}
+        op7_benchmark_decontamination, op8_chat_formatting, op9_quality, op10_token_counts)}
 
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -117,5 +132,20 @@ FROM d LEFT JOIN np USING (doc_id) LEFT JOIN it USING (doc_id)
 """
 
 
+OP8_SQL = """
+WITH t AS (SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+           FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, list(role || chr(0) || text ORDER BY turn NULLS FIRST) AS whole,
+             string_agg('<|' || replace(role, '<|', '< |') || '|>' || chr(10) || replace(text, '<|', '< |')
+                        || '<|end|>' || chr(10), '' ORDER BY turn NULLS FIRST) AS rendered
+      FROM t GROUP BY conv_id),
+u AS (SELECT min(conv_id) AS conv_id, whole, min(rendered) AS rendered, count(*) AS copies FROM c GROUP BY whole),
+p AS (SELECT DISTINCT whole[1:k] AS part FROM (SELECT whole, unnest(range(1, len(whole))) AS k FROM u))
+SELECT conv_id, CAST(len(whole) AS BIGINT) AS n_turns, CAST(copies AS BIGINT) AS copies, rendered
+FROM u WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.part = u.whole)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": OP1_SQL, "op4_ngram_jaccard_join": OP4_SQL, "op7_benchmark_decontamination": OP7_SQL}
+    return {"op1_exact_dedup": OP1_SQL, "op4_ngram_jaccard_join": OP4_SQL,
+            "op7_benchmark_decontamination": OP7_SQL, "op8_chat_formatting": OP8_SQL}
