@@ -37,8 +37,10 @@ PATTERNS = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-# Tokens that may be identifiers: with a digit or an at sign.
-TOKEN = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+"
+# Tokens that may be identifiers have a digit or an at sign; this is what they
+# have from there on.  What stands before it is read from the text before it.
+TOKEN = r"[0-9@]\S*+"
+BEFORE = 120             # characters that are read before
 # What an identifier of a kind must look like to be marked by its context.
 LOOKS = {
     "email": r"^[^\s@]+(?:@|\[at\]|\(at\))[^\s@]+$",
@@ -148,27 +150,34 @@ def with_tokens(base: DataFrame) -> DataFrame:
     span, but for the one that begins it and has its text, are left out.
     """
     raw = _with_occurrences(base, {"raw": TOKEN})
-    before = F.transform("raw", lambda t, i: F.substring(
-        F.col("body"), F.greatest(t["start"] - 80, F.lit(0)) + 1, F.least(t["start"], F.lit(80))))
-
-    def read(t, ahead):
-        left = F.ltrim(t["found"], F.lit("([{<\"':;,.!?*#|=-"))
-        core = F.rtrim(left, F.lit(")]}>\"':;,.!?*#|"))
-        start = t["end"] - F.length(left)
-        seed, whole, inside = F.lit(None).cast("string"), core, F.lit(False)
+
+    def with_head(t):
+        ahead = F.substring(F.col("body"), F.greatest(t["start"] - BEFORE, F.lit(0)) + 1,
+                            F.least(t["start"], F.lit(BEFORE)))
+        head = F.regexp_extract(ahead, r"(?<!\S)\S*+$", 0)
+        return F.struct(ahead.alias("ahead"), head.alias("head"), t["end"].alias("end"), t["found"].alias("found"))
+
+    def with_core(t):
+        left = F.ltrim(F.concat(t["head"], t["found"]), F.lit("([{<\"':;,.!?*#|=-"))
+        words = F.split(F.trim(F.lower(F.substring(t["ahead"], F.lit(1), F.length(t["ahead"]) - F.length(t["head"])))), r"\s+")
+        return F.struct((t["end"] - F.length(left)).alias("start"), t["end"].alias("until"),
+                        F.rtrim(left, F.lit(")]}>\"':;,.!?*#|")).alias("core"), words.alias("words"))
+
+    def with_seed(t):
+        seed, whole, inside = F.lit(None).cast("string"), t["core"], F.lit(False)
         for k in KINDS:
-            begins = F.get(F.filter(k, lambda s: (s["start"] >= t["start"]) & (s["start"] < t["end"])), F.lit(0))
+            begins = F.get(F.filter(k, lambda s: (s["start"] >= t["start"]) & (s["start"] < t["until"])), F.lit(0))
             within = F.exists(k, lambda s: (s["start"] < t["start"]) & (s["end"] > t["start"]))
-            seed = F.when(begins.isNotNull(), k).otherwise(seed)
-            whole = F.when(begins.isNotNull(), begins["found"]).otherwise(whole)
-            inside = inside | within
-        words = F.regexp_extract(F.lower(ahead), r"(\S{1,30}\s{1,3}\S{1,30})\s*$", 1)
-        return F.struct(start.alias("start"), (start + F.length(core)).alias("end"), whole.alias("found"),
-                        F.regexp_replace(F.regexp_replace(words, r"\s+", " "), "[0-9]", "9").alias("pattern"),
-                        seed.alias("seed"), inside.alias("inside"))
+            seed = F.when(F.size(k) > 0, F.when(begins.isNotNull(), k).otherwise(seed)).otherwise(seed)
+            whole = F.when(F.size(k) > 0, F.coalesce(begins["found"], whole)).otherwise(whole)
+            inside = inside | ((F.size(k) > 0) & within)
+        pattern = F.when(F.size(t["words"]) >= 2, F.regexp_replace(
+            F.array_join(F.slice(t["words"], -2, 2), " "), "[0-9]", "9")).otherwise("")
+        return F.struct(t["start"].alias("start"), (t["start"] + F.length(t["core"])).alias("end"),
+                        whole.alias("found"), pattern.alias("pattern"), seed.alias("seed"), inside.alias("inside"))
 
-    tokens = F.filter(F.zip_with("raw", before, read), lambda t: ~t["inside"] & (t["pattern"] != ""))
-    return raw.withColumn("tokens", tokens).drop("raw")
+    tokens = F.transform(F.transform(F.transform("raw", with_head), with_core), with_seed)
+    return raw.withColumn("tokens", F.filter(tokens, lambda t: ~t["inside"] & (t["pattern"] != ""))).drop("raw")
 
 
 def confident_patterns(base: DataFrame, scratch: Scratch, rounds: int = ROUNDS,
@@ -177,7 +186,6 @@ def confident_patterns(base: DataFrame, scratch: Scratch, rounds: int = ROUNDS,
     token = with_tokens(base).select(F.explode("tokens").alias("t"))
     edges = scratch.save(token.groupBy(F.col("t.pattern").alias("pattern"), F.col("t.found").alias("instance"),
                                        F.col("t.seed").alias("seed")).agg(F.count("*").alias("n")), "edges")
-    kinds = F.array(*[F.lit(k) for k in KINDS])
     seeds = edges.filter("seed is not null").select(F.countDistinct("seed", "instance")).head()[0]
     least = max(least_seeds, -(-seeds // MOST_PATTERNS))
     # a pattern that has met too few seeds never counts; what stays is bounded by MOST_PATTERNS a kind
