@@ -183,7 +183,8 @@ def with_tokens(base: DataFrame) -> DataFrame:
 def confident_patterns(base: DataFrame, scratch: Scratch, rounds: int = ROUNDS,
                        confidence: float = CONFIDENCE, least_seeds: int = LEAST_SEEDS) -> DataFrame:
     """(kind, pattern, confidence): the patterns that mark unseen identifiers."""
-    token = with_tokens(base).select(F.explode("tokens").alias("t"))
+    # explode would put a filter on all that makes the tokens below it, once for each use
+    token = with_tokens(base).select(F.explode_outer("tokens").alias("t")).filter("t is not null")
     edges = scratch.save(token.groupBy(F.col("t.pattern").alias("pattern"), F.col("t.found").alias("instance"),
                                        F.col("t.seed").alias("seed")).agg(F.count("*").alias("n")), "edges")
     seeds = edges.filter("seed is not null").select(F.countDistinct("seed", "instance")).head()[0]
