@@ -278,15 +278,18 @@ class Field:
         (a, b), (c, d) = self.moves.tolist()
         get = self.table.get
         off, on, came = 0.0, 0.0, []
-        for f in features(found):
+        for i, f in enumerate(features(found)):
             score = sum([get(x, 0.0) for x in f])
-            to_off, to_on = (0 if off + a >= on + c else 1), (0 if off + b >= on + d else 1)
-            came.append((to_off, to_on))
+            if i == 0:
+                on = score
+                continue
+            came.append((0 if off + a >= on + c else 1, 0 if off + b >= on + d else 1))
             off, on = max(off + a, on + c), max(off + b, on + d) + score
-        label, out = (1 if on > off else 0), []
+        label = 1 if on > off else 0
+        out = [label] if found else []
         for to in reversed(came):
-            out.append(label)
             label = to[label]
+            out.append(label)
         return out[::-1]
 
     def extract(self, page: str | None) -> str:
