@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -82,6 +83,15 @@ class Scratch:
         out._scratch_path = path
         return out
 
+    def sweep(self) -> None:
+        """Let Spark remove the shuffle files of plans that have been written.
+
+        It does so when the driver collects the plans, which may otherwise be
+        long after; meanwhile they fill the executors' disks.
+        """
+        gc.collect()
+        self.spark._jvm.System.gc()
+
     def drop(self, *frames_or_paths) -> None:
         jvm = self.spark._jvm
         conf = self.spark._jsc.hadoopConfiguration()

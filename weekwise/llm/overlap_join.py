@@ -9,13 +9,20 @@ of long lists is probed in them by binary search.
 Spark decides which documents meet in one index:
 
 1. Equal sets become one set; copies never meet each other.
-2. The grams of a set are dealt to H + 1 parts by their hash, H being the
+2. The grams of a set are dealt to H + AGREE parts by their hash, H being the
    most grams in which two linked sets of that size can differ.  Linked sets
-   agree in a whole part, so they share a bucket (part, its grams).  Sizes
-   are banded, and a set deals its grams for its own band and, where it can
-   have partners there, for the one below.
-   An empty part says little: it is named with halves of the next parts,
-   of which linked sets that agree in nothing else must share one.
+   agree in AGREE whole parts, so they share as many buckets (part, its
+   grams).  Sizes are banded, and a set deals its grams for its own band and,
+   where it can have partners there, for the one below.
+   An empty part says little: it is named twice, with either half of the next
+   part's grams.  Of linked sets that agree in an empty part, one half agrees
+   too unless the next part differs in two grams; then they agree in one
+   more part elsewhere, so the count of shared buckets stands.  A part that is
+   empty beside an empty half names nothing.  A set with w such parts shares
+   AGREE - w other buckets with any partner; only a set with w >= AGREE, which
+   is rare, has buckets for these parts too, as two such sets may share no others.
+   Sets with fewer shared buckets than they need go, and with them their
+   buckets; this leaves few sets that merely share a passage.
 3. In every bucket the smallest member is a pivot; all members are searched
    with it.  That is linear in the bucket, and joins most groups of copies.
 4. Only buckets whose members then belong to several components go on.  They
@@ -47,23 +54,31 @@ from weekwise.llm.text_arrays import Words, chunks, mix, space_words
 
 SHINGLE = 3
 THRESHOLD = (90, 100)    # intersection / union
+AGREE = 8                # parts that linked sets agree in, at least
+FILTER_ROUNDS = 1
 PIVOT_SETS = 256         # sets searched with a pivot in one index
 BLOCK_SETS = 1024        # sets of one index in step 4
+INDEX_GRAMS = 2_000_000  # grams of one index, about
+PROBED = 256             # long lists that are probed at once
+HEAP_ENTRIES = 2000      # entries of short lists that a heap merges
 
+_HALVES = np.array([0x452821E638D01377, 0xBE5466CF34E90C6C], dtype=np.uint64)
 _SEED_A, _SEED_B = np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344)
 
 
 class Bands:
     """Size bands: linked sets lie in one band or in neighbours.
 
-    A band is as wide as ``STEPS`` steps of the size ratio that linked sets
-    can have, so that only sets near its lower end have partners below it.
+    A band is some steps of the size ratio that linked sets can have wide,
+    together about ``WIDTH``, so that only sets near its lower end have
+    partners below it.
     """
 
-    STEPS = 3
+    WIDTH = 1.37
 
     def __init__(self, threshold: tuple[int, int]) -> None:
         self.num, self.den = threshold
+        self.steps = max(1, round(np.log(self.WIDTH) / np.log(self.den / self.num)))
         self.lows = [1]
 
     def _largest(self, n: int) -> int:
@@ -76,7 +91,7 @@ class Bands:
     def band(self, n: int) -> int:
         while self.lows[-1] <= n:
             low = self.lows[-1]
-            for _ in range(self.STEPS):
+            for _ in range(self.steps):
                 low = self._largest(low) + 1
             self.lows.append(low)
         return bisect_left(self.lows, n + 1) - 1
@@ -123,9 +138,10 @@ def _sums(values: np.ndarray, part: np.ndarray, parts: int) -> np.ndarray:
     return out
 
 
-def bucket_names(grams: np.ndarray, bands: Bands) -> list[int]:
-    """The buckets of a set, as signed 64-bit integers."""
+def bucket_names(grams: np.ndarray, bands: Bands) -> tuple[list[int], int]:
+    """The buckets of a set, as signed 64-bit integers, and how many of them it shares with any linked set."""
     out: list[np.ndarray] = []
+    need = AGREE
     own = bands.band(len(grams))
     spread = mix(grams ^ _SEED_A)
     for band in (own, own - 1):
@@ -133,27 +149,26 @@ def bucket_names(grams: np.ndarray, bands: Bands) -> list[int]:
             continue  # no partner in the band below
         if (differ := bands.differ(band)) == 0:
             continue  # only equal sets are linked at this size
-        parts = differ + 1
+        parts = differ + AGREE
         part = (grams % np.uint64(parts)).astype(np.int64)
         size = np.bincount(part, minlength=parts)
         content = _sums(spread, part, parts)
         label = mix((np.arange(parts, dtype=np.uint64) << np.uint64(16)) + np.uint64(band) + _SEED_B)
         full = size > 0
         out.append(mix(content[full] ^ label[full]))
-        for p in np.flatnonzero(~full).tolist():
-            beside = [(p + k) % parts for k in range(1, min(3, parts))]
-            halves = []
-            for q in beside:
-                inside = part == q
-                side = (grams[inside] >> np.uint64(40)) & np.uint64(1)
-                halves.append([np.sum(spread[inside][side == s], dtype=np.uint64) + _SEED_A * np.uint64(s + 1)
-                               for s in (0, 1)])
-            for choice in range(2 ** len(beside)):
-                h = label[p]
-                for k, half in enumerate(halves):
-                    h = mix(np.array([h ^ half[choice >> k & 1]]))[0]
-                out.append(mix(np.array([h])))
-    return np.unique(np.concatenate(out)).view(np.int64).tolist() if out else []
+        if full.all():
+            continue
+        empty = np.flatnonzero(~full)
+        side = ((grams >> np.uint64(40)) & np.uint64(1)).astype(np.int64)
+        halves = _sums(spread, 2 * part + side, 2 * parts).reshape(parts, 2) + _HALVES
+        after = (empty + 1) % parts
+        blank = np.bincount(2 * part + side, minlength=2 * parts).reshape(parts, 2)[after] == 0
+        weak = blank.any(axis=1)
+        need = min(need, max(1, AGREE - int(weak.sum())))
+        for half in (0, 1):
+            named = np.ones(len(empty), dtype=bool) if weak.sum() >= AGREE else ~blank[:, half]
+            out.append(mix(mix(label[empty[named]]) ^ halves[after[named], half]))
+    return (np.unique(np.concatenate(out)).view(np.int64).tolist() if out else []), need
 
 
 def _as_long(x: np.uint64) -> int:
@@ -161,7 +176,7 @@ def _as_long(x: np.uint64) -> int:
 
 
 def describe_sets(docs: DataFrame, shingle: int, threshold: tuple[int, int]) -> DataFrame:
-    """(doc_id, n, k1, k2, buckets) per row: size, 128-bit name and buckets of its set."""
+    """(doc_id, n, k1, k2, buckets, need) per row: size, 128-bit name and buckets of its set."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,17 +184,18 @@ def describe_sets(docs: DataFrame, shingle: int, threshold: tuple[int, int]) ->
         for batch in chunks(batches, "text"):
             sets = gram_sets(Words(batch.column("text"), space_words()), shingle)
             with np.errstate(over="ignore"):
+                named = [bucket_names(s, bands) if len(s) else ([], 0) for s in sets]
                 yield pa.RecordBatch.from_pydict({
                     "doc_id": batch.column("doc_id"),
                     "n": pa.array([len(s) for s in sets], pa.int64()),
                     "k1": pa.array([_as_long(np.sum(mix(s ^ _SEED_A), dtype=np.uint64)) for s in sets], pa.int64()),
                     "k2": pa.array([_as_long(np.sum(mix(s ^ _SEED_B), dtype=np.uint64)) for s in sets], pa.int64()),
-                    "buckets": pa.array([bucket_names(s, bands) if len(s) else [] for s in sets],
-                                        pa.list_(pa.int64())),
+                    "buckets": pa.array([b for b, _ in named], pa.list_(pa.int64())),
+                    "need": pa.array([n for _, n in named], pa.int32()),
                 })
 
     return docs.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {kind}, n long, k1 long, k2 long, buckets array<long>")
+        run, f"doc_id {kind}, n long, k1 long, k2 long, buckets array<long>, need int")
 
 
 def _set_grams(docs: DataFrame, shingle: int) -> DataFrame:
@@ -225,9 +241,11 @@ def _merge_skip(lists: list[list[int]], count: int) -> Iterator[tuple[int, int]]
 def divide_skip(lists: list[np.ndarray], least: int) -> tuple[np.ndarray, np.ndarray]:
     """Members on at least ``least`` of the sorted lists, and on how many they are.
 
-    The longest lists are set aside and the others merged; what the merge
-    leaves is looked for in the long lists by binary search, all members at
-    once, and given up when the lists that remain cannot make up the count.
+    The longest lists are set aside and the others merged, by a heap or, if
+    they have more than ``HEAP_ENTRIES`` entries, as runs; what the merge
+    leaves is looked for in the long lists by binary search, ``PROBED`` lists
+    at once, and given up when the lists that remain cannot make up the count.
+    Lists with fewer entries than there would be probes are read through.
     """
     lists = sorted((x for x in lists if len(x)), key=len)
     none = np.zeros(0, np.int64)
@@ -235,34 +253,44 @@ def divide_skip(lists: list[np.ndarray], least: int) -> tuple[np.ndarray, np.nda
         return none, none
     n_long = min(least - 1, int(least / (0.0085 * np.log2(len(lists[-1]) + 1) + 1)))
     short, long = lists[:len(lists) - n_long], lists[len(lists) - n_long:]
-    merged = list(_merge_skip([x.tolist() for x in short], least - n_long))
-    if not merged:
-        return none, none
-    members, seen = np.array(merged, dtype=np.int64).T
-    for k, x in enumerate(long):
-        if k % 16 == 0:
-            able = seen + len(long) - k >= least
-            members, seen = members[able], seen[able]
-            if not len(members):
-                break
-        at = np.minimum(np.searchsorted(x, members), len(x) - 1)
-        seen = seen + (x[at] == members)
+    count = least - n_long
+    if sum(map(len, short)) <= HEAP_ENTRIES:
+        merged = list(_merge_skip([x.tolist() for x in short], count))
+        members, seen = np.array(merged, dtype=np.int64).reshape(-1, 2).T
+    else:  # the same merge, of all runs at once
+        occurs = np.bincount(np.concatenate(short))
+        members = np.flatnonzero(occurs >= count)
+        seen = occurs[members]
+    for k in range(0, len(long), PROBED):
+        able = seen + len(long) - k >= least
+        members, seen = members[able], seen[able]
+        if not len(members):
+            break
+        run = long[k:k + PROBED]
+        entries = np.concatenate(run)
+        if len(members) * len(run) > len(entries):  # fewer entries than probes: read them
+            seen = seen + np.bincount(entries, minlength=int(members[-1]) + 1)[members]
+            continue
+        width = np.int64(max(int(x[-1]) for x in run) + int(members[-1]) + 1)
+        keyed = entries + width * np.repeat(np.arange(len(run)), [len(x) for x in run])
+        probes = (members[:, None] + width * np.arange(len(run))[None, :]).ravel()
+        at = np.minimum(np.searchsorted(keyed, probes), len(keyed) - 1)
+        seen = seen + (keyed[at] == probes).reshape(len(members), -1).sum(axis=1)
     enough = seen >= least
     return members[enough], seen[enough]
 
 
 class Index:
-    """Inverted lists of some sets."""
+    """Inverted lists of some sets: the lists one after the other, in the order of their grams."""
 
     def __init__(self, grams: list[np.ndarray]) -> None:
         self.sizes = np.array([len(g) for g in grams])
         flat = np.concatenate(grams) if grams else np.zeros(0, np.int64)
         owner = np.repeat(np.arange(len(grams)), self.sizes)
         order = np.lexsort((owner, flat))
-        values, first = np.unique(flat[order], return_index=True)
-        owners = owner[order]
-        bounds = [*first.tolist(), len(owners)]
-        self.lists = {v: owners[bounds[i]:bounds[i + 1]] for i, v in enumerate(values.tolist())}
+        self.values, first = np.unique(flat[order], return_index=True)
+        self.members = owner[order]
+        self.bounds = np.append(first, len(order))
 
     def search(self, query: np.ndarray, threshold: tuple[int, int]) -> list[int]:
         num, den = threshold
@@ -270,7 +298,9 @@ class Index:
         fit = self.sizes[(self.sizes * den >= num * n) & (n * den >= num * self.sizes)]
         if not len(fit):
             return []
-        found = [x for g in query.tolist() if (x := self.lists.get(g)) is not None]
+        at = np.minimum(np.searchsorted(self.values, query), len(self.values) - 1)
+        at = at[self.values[at] == query]
+        found = [self.members[a:b] for a, b in zip(self.bounds[at].tolist(), self.bounds[at + 1].tolist())]
         members, seen = divide_skip(found, needed(n, int(fit.min()), threshold))
         return [m for m, s in zip(members.tolist(), seen.tolist()) if s >= needed(n, int(self.sizes[m]), threshold)]
 
@@ -302,14 +332,17 @@ def _links(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
 def _pivot_links(members: DataFrame, grams: DataFrame, threshold: tuple[int, int], scratch: Scratch) -> DataFrame:
     """Links between members of a bucket and its pivot."""
     pairs = scratch.save(members.filter("sid <> pivot").select("pivot", "sid").distinct(), "pivot-pairs")
-    sizes = pairs.groupBy("pivot").agg(F.count("*").alias("weight"))
-    sizes = sizes.withColumn("parts", F.ceil(F.col("weight") / PIVOT_SETS).cast("int"))
+    sizes = pairs.join(grams.select("sid", "n").hint("merge"), "sid").groupBy("pivot").agg(
+        F.count("*").alias("weight"), F.sum("n").alias("n"))
+    sizes = sizes.withColumn("parts", F.ceil(F.greatest(
+        F.col("weight") / PIVOT_SETS, F.col("n") / INDEX_GRAMS)).cast("int"))
+    sizes = scratch.save(sizes, "pivot-sizes")
     dealt = salted_lookup(pairs, sizes.select("pivot", "parts", "weight"), ["pivot"], "weight", ["sid"])
     dealt = dealt.withColumn("part", F.pmod(F.xxhash64("sid"), F.col("parts")).cast("int"))
     heads = sizes.select("pivot", F.col("pivot").alias("sid"),
                          F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
     rows = (dealt.select("pivot", "sid", "part").unionByName(heads)
-            .join(grams.hint("merge"), "sid")
+            .join(grams.select("sid", "grams").hint("merge"), "sid")
             .select(F.struct("pivot", "part").alias("at"), "pivot", "sid", "grams"))
     rows = rows.withColumn("at", F.concat_ws(":", "at.pivot", "at.part"))
     dealt_out = rows.repartition("at").sortWithinPartitions("at")
@@ -359,12 +392,14 @@ def _cross_links(asking: list[dict], answering: list[dict], often: int, roots: _
 
 def _block_links(blocks: DataFrame, grams: DataFrame, threshold: tuple[int, int], block_sets: int) -> DataFrame:
     """Links within blocks (block, sid, root) between sets of different roots."""
-    sizes = blocks.groupBy("block").agg(F.count("*").alias("weight"))
-    sizes = sizes.withColumn("parts", F.ceil(F.col("weight") / block_sets).cast("int"))
-    rows = salted_lookup(blocks, sizes, ["block"], "weight", ["sid"])
+    sizes = blocks.join(grams.select("sid", "n").hint("merge"), "sid").groupBy("block").agg(
+        F.count("*").alias("weight"), F.sum("n").alias("n"))
+    sizes = sizes.withColumn("parts", F.ceil(F.greatest(
+        F.col("weight") / block_sets, F.col("n") / INDEX_GRAMS)).cast("int"))
+    rows = salted_lookup(blocks, sizes.select("block", "parts", "weight"), ["block"], "weight", ["sid"])
     rows = rows.withColumn("part", F.pmod(F.xxhash64("sid"), F.col("parts")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    rows = (rows.withColumn("other", other).join(grams.hint("merge"), "sid")
+    rows = (rows.withColumn("other", other).join(grams.select("sid", "grams").hint("merge"), "sid")
             .withColumn("at", F.concat_ws(":", "block", F.least("part", "other"), F.greatest("part", "other")))
             .select("at", "part", "root", "grams"))
     dealt_out = rows.repartition("at").sortWithinPartitions("at")
@@ -395,33 +430,51 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, threshold: tuple[in
     scratch = Scratch(docs.sparkSession, "near-duplicates")
     described = scratch.save(describe_sets(docs, shingle, threshold), "described")
     sets = described.filter("n > 0").groupBy("n", "k1", "k2").agg(
-        F.min("doc_id").alias("rep"), F.count("*").alias("weight"), F.any_value("buckets").alias("buckets"))
-    sets = scratch.save(sets.withColumn("sid", F.monotonically_increasing_id()), "sets")
-    entries = sets.select("sid", F.explode("buckets").alias("bucket"))
-    shared = scratch.save(entries.groupBy("bucket").agg(
-        F.count("*").alias("weight"), F.min("sid").alias("pivot")).filter("weight > 1"), "shared")
-    members = scratch.save(salted_lookup(entries, shared.withColumn("size", F.col("weight")),
-                                         ["bucket"], "weight", ["sid"]), "members")
+        F.min("doc_id").alias("rep"), F.count("*").alias("weight"), F.any_value("buckets").alias("buckets"),
+        F.max("need").alias("need"))
+    bucketed = scratch.save(sets.withColumn("sid", F.monotonically_increasing_id()), "bucketed")
+    rows = scratch.save(described.drop("buckets", "need"), "rows")
+    sets = scratch.save(bucketed.drop("buckets"), "sets")
+    scratch.drop(described)
+    scratch.sweep()
+    entries = bucketed.select("sid", F.explode("buckets").alias("bucket"))
+    shared = scratch.save(entries.groupBy("bucket").agg(F.count("*").alias("weight")).filter("weight > 1"), "shared")
+    scratch.sweep()
+    members = scratch.save(salted_lookup(entries, shared, ["bucket"], "weight", ["sid"]), "members")
+    scratch.drop(bucketed, shared)
+    scratch.sweep()
+    for _ in range(FILTER_ROUNDS):
+        able = (members.groupBy("sid").agg(F.count("*").alias("has")).join(sets.select("sid", "need"), "sid")
+                .filter("has >= need").select("sid"))
+        left = scratch.save(members.select("bucket", "sid").join(able.hint("merge"), "sid"), "able")
+        shared = left.groupBy("bucket").agg(F.count("*").alias("weight"), F.min("sid").alias("pivot"))
+        shared = scratch.save(shared.filter("weight > 1").withColumn("size", F.col("weight")), "shared")
+        scratch.drop(members)
+        members = scratch.save(salted_lookup(left, shared, ["bucket"], "weight", ["sid"]), "members")
+        scratch.drop(left, shared)
     # any document of a candidate set serves; the text is read again for these only
     wanted = scratch.save(members.select("sid").distinct().join(sets.select("sid", "rep", "n", "k1", "k2"), "sid"),
                           "wanted")
     texts = docs.select("doc_id", "text").join(
         wanted.select("rep").hint("merge"), F.col("doc_id").eqNullSafe(F.col("rep")), "left_semi")
     grams = scratch.save(_set_grams(texts, shingle).join(wanted.select("sid", "n", "k1", "k2"), ["n", "k1", "k2"])
-                         .select("sid", "grams").dropDuplicates(["sid"]), "grams")
+                         .select("sid", "n", "grams").dropDuplicates(["sid"]), "grams")
+    scratch.drop(wanted)
+    scratch.sweep()
 
     links = scratch.save(_pivot_links(members, grams, threshold, scratch), "pivot-links")
     roots = components(links, scratch)
-    rooted = (members.filter("size > 2")
-              .join(roots.withColumnRenamed("id", "sid"), "sid", "left")
-              .withColumn("root", F.coalesce("root", "sid")))
-    rooted = scratch.save(rooted, "rooted")
+    rooted = scratch.save(members.filter("size > 2")
+                          .join(roots.withColumnRenamed("id", "sid"), "sid", "left")
+                          .select("bucket", "sid", F.coalesce("root", "sid").alias("root")), "rooted")
+    scratch.drop(members)
+    scratch.sweep()
     open_ = rooted.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"),
                                          F.min("sid").alias("first"), F.count("*").alias("weight"))
     open_ = scratch.save(open_.filter("lo <> hi").select("bucket", "first", "weight"), "open")
     if not open_.isEmpty():
-        undecided = scratch.save(salted_lookup(rooted.select("bucket", "sid", "root"), open_, ["bucket"], "weight",
-                                               ["sid"]).select("sid", "root", "first").distinct(), "undecided")
+        undecided = scratch.save(salted_lookup(rooted, open_, ["bucket"], "weight", ["sid"])
+                                 .select("sid", "root", "first").distinct(), "undecided")
         named = components(undecided.select(F.col("sid").alias("a"), F.col("first").alias("b")), scratch)
         blocks = scratch.save(undecided.select("sid", "root").distinct()
                               .join(named.select(F.col("id").alias("sid"), F.col("root").alias("block")), "sid", "left")
@@ -429,17 +482,18 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, threshold: tuple[in
         more = _block_links(blocks, grams, threshold, block_sets)
         links = scratch.save(links.unionByName(more), "links")
         roots = components(links, scratch)
+    scratch.drop(rooted, grams)
 
-    named = (sets.select("n", "k1", "k2", "weight", "sid", "rep")
-             .join(roots.withColumnRenamed("id", "sid"), "sid", "left")
+    named = (sets.join(roots.withColumnRenamed("id", "sid"), "sid", "left")
              .withColumn("root", F.coalesce("root", "sid")))
     named = scratch.save(named, "named")
     first = named.groupBy("root").agg(F.min("rep").alias("component_id"), F.count("*").alias("groups"))
     named = scratch.save(salted_lookup(named, first, ["root"], "groups", ["sid"])
                          .select("n", "k1", "k2", "weight", "component_id"), "components")
-    out = salted_lookup(described.filter("n > 0").drop("buckets"), named, ["n", "k1", "k2"], "weight", ["doc_id"])
-    alone = described.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"),
-                                             F.col("doc_id").alias("component_id"))
+    scratch.sweep()
+    out = salted_lookup(rows.filter("n > 0"), named, ["n", "k1", "k2"], "weight", ["doc_id"])
+    alone = rows.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"),
+                                        F.col("doc_id").alias("component_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), "component_id").unionByName(alone)
 
 

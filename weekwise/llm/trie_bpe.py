@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from weekwise.llm.text_arrays import chunks
 
-KEPT_WORDS = 600_000
+KEPT_WORDS = 500_000
 KEPT_PAIRS = 500_000
 SEGMENT = 1 << 18        # characters handled at once
 NEVER = 1 << 60          # later than every merge
@@ -205,6 +205,19 @@ def blank_divided(text: str) -> list[str]:
     return SPACE.split(text) if NO_SPACE.search(text) else text.split()
 
 
+def token_texts(bpe: BpeTable) -> list[str]:
+    """The text of every id."""
+    out = [""] * bpe.width
+    for i, t in bpe.text.items():
+        out[i] = t
+    return out
+
+
+def decode_ids(ids: bytes, texts: list[str]) -> str:
+    """The tokens' text, as the library gives it for a file without decoder."""
+    return " ".join([texts[i] for i in np.frombuffer(ids, dtype="<u4").tolist()])
+
+
 class Codec:
     """Encoder and decoder of one tokenizer file."""
 
@@ -213,9 +226,7 @@ class Codec:
         self.trie = TrieEncoder(bpe)
         self.special = regex.compile("(" + "|".join(map(regex.escape, sorted(bpe.special, key=len, reverse=True))) + ")")
         self.special_ids = {t: np.array([i], dtype="<u4").tobytes() for t, i in bpe.special.items()}
-        self.token_text = [""] * (max(bpe.text) + 1)
-        for i, t in bpe.text.items():
-            self.token_text[i] = t
+        self.token_text = token_texts(bpe)
 
     def _parts(self, text: str) -> Iterator[list[str] | bytes]:
         for k, part in enumerate(self.special.split(text) if "<|" in text else [text]):
@@ -251,9 +262,7 @@ class Codec:
                 for parts in parted]
 
     def decode(self, ids: bytes) -> str:
-        """The tokens' text, as the library gives it for a file without decoder."""
-        text = self.token_text
-        return " ".join([text[i] for i in np.frombuffer(ids, dtype="<u4").tolist()])
+        return decode_ids(ids, self.token_text)
 
 
 _CODECS: dict[str, Codec] = {}
@@ -268,13 +277,9 @@ def _codec(broadcast) -> Codec:
     return _CODECS[key]
 
 
-def _share(df: DataFrame, tokenizer: str):
-    return df.sparkSession.sparkContext.broadcast((tokenizer, BpeTable(tokenizer)))
-
-
 def encode_documents(docs: DataFrame, tokenizer: str) -> DataFrame:
     """(doc_id, ids): the ids of every text, little-endian 32-bit integers."""
-    table = _share(docs, tokenizer)
+    table = docs.sparkSession.sparkContext.broadcast((tokenizer, BpeTable(tokenizer)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(table)
@@ -289,12 +294,11 @@ def encode_documents(docs: DataFrame, tokenizer: str) -> DataFrame:
 
 def decode_documents(encoded: DataFrame, tokenizer: str) -> DataFrame:
     """(doc_id, ids, text) from (doc_id, ids)."""
-    table = _share(encoded, tokenizer)
+    texts = encoded.sparkSession.sparkContext.broadcast(token_texts(BpeTable(tokenizer)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(table)
         for batch in chunks(batches, "ids"):
-            decoded = [codec.decode(x) for x in batch.column("ids").to_pylist()]
+            decoded = [decode_ids(x, texts.value) for x in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "ids": batch.column("ids"),
                                               "text": pa.array(decoded, pa.string())})
 
