@@ -1,11 +1,13 @@
 """Reusable operators and scalar functions."""
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from weekwise.functions import scalar as S
 from weekwise.operators.cohort import count_flags, entity_flags, with_subtotal
-from weekwise.operators.temporal import interval_sums, next_after, prev_before, range_join
+from weekwise.operators.joins import CalendarSide
+from weekwise.operators.temporal import day_buckets, next_after, prev_before, range_join
 
 D = dt.datetime
 
@@ -26,16 +28,19 @@ def test_next_after_and_prev_before_strict(spark):
     ]
 
 
-def test_range_join_closed_and_interval_sums(spark):
+@pytest.mark.parametrize("max_rows", [1000, 0])
+def test_range_join_is_closed_on_both_ends(spark, max_rows):
     pts = spark.createDataFrame(
         [("a", D(2025, 1, 8), 1.0), ("a", D(2025, 1, 8, 0, 0, 1), 2.0), ("b", D(2025, 1, 20), 5.0)],
         "key string, ts timestamp, v double")
     iv = spark.createDataFrame([(D(2025, 1, 1), D(2025, 1, 8)), (D(2025, 1, 8), D(2025, 1, 15))],
                                "lo timestamp, hi timestamp")
-    hits = range_join(pts, "ts", iv, "lo", "hi", 1000).collect()
+    side = CalendarSide(day_buckets(iv, "lo", "hi"), max_rows)
+    assert side.small == (max_rows > 0)
+    hits = range_join(pts, "ts", side, "lo", "hi").collect()
     assert sorted((r.key, r.v, r.lo.day) for r in hits) == [("a", 1.0, 1), ("a", 1.0, 8), ("a", 2.0, 8)]
-    sums = interval_sums(pts, "key", "ts", "v", iv.withColumn("s", F.col("lo")), "lo", "hi", ["s"], "total", 1000)
-    assert sorted((r.key, r.s.day, r.total) for r in sums.collect()) == [("a", 1, 1.0), ("a", 8, 3.0)]
+    assert not CalendarSide(iv, 1000, max_bytes=10).small
+    side.unpersist()
 
 
 def test_two_stage_distinct_counts_and_subtotal(spark):
@@ -70,6 +75,17 @@ def test_display_text(spark):
     ]
 
 
+def test_text_rounds_the_exact_binary_value(spark):
+    """Literal texts; 51 of 2000 is 2.55 % less a little, 1.115 lies below its digits, 1.25 is a tie."""
+    vals = spark.createDataFrame([(0.0255, 1.115), (0.0125, 1.25), (-0.01, -0.01), (0.3, 2.675), (0.00125, 0.125),
+                                  (1e12, 1e12), (None, None)], "p double, l double")
+    got = [tuple(r) for r in vals.select(S.format_value("p", "pct"), S.format_value("l", "lot")).collect()]
+    assert got == [("2.5%", "1.11"), ("1.3%", "1.25"), ("-1.0%", "-0.01"), ("30.0%", "2.67"), ("0.1%", "0.13"),
+                   ("100000000000000.0%", "1000000000000.00"), ("—", "—")]
+    cls = spark.createDataFrame([(0.1,), (-0.1,), (0.0,), (None,)], "v double").select(S.growth_class("v")).collect()
+    assert [r[0] for r in cls] == ["pos", "neg", "neu", "null"]
+
+
 def test_period_label(spark):
     r = spark.createDataFrame([("20251213",), ("2025-12",)], "p string").select(S.period_label("p").alias("x"))
     assert [x.x for x in r.collect()] == ["2025-12-13", "2025-12"]

@@ -1,14 +1,18 @@
 """Plan shape and hot-key behaviour of the reports."""
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from weekwise.config import FIXTURE
 from weekwise.functions.canonical import canonical
-from weekwise.plans import clicks, groups, report
+from weekwise import registry
+from weekwise.operators.joins import CalendarSide
+from weekwise.plans import clicks, groups, growth, report
 from weekwise.plans.retention import Base
 from weekwise.sources.fixture import fixture_tables
-from weekwise.sources.tables import Tables
+from weekwise.sources.tables import Tables, load_tables
 
 
 def _plan(df) -> str:
@@ -35,6 +39,88 @@ def test_filters_reach_the_scan(base):
     assert "EqualTo(event_type,view)" in plan          # pushed into the Parquet scan
 
 
+def _logical(df) -> str:
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.fixture(scope="module")
+def folders(spark, tmp_path_factory, base):
+    root = str(tmp_path_factory.mktemp("tables"))
+    for name, df in base.t.as_dict().items():
+        df.write.parquet(f"{root}/{name}")
+    return root
+
+
+def test_deposits_are_pruned_and_read_twice_at_most(spark, folders):
+    b = Base(load_tables(spark, folders), FIXTURE)
+    growth_plan = growth.deposit_growth(b)
+    assert re.search(r"create_date#\d+ >= 2025-11-13 00:00:00", _logical(growth_plan))
+    assert re.search(r"PushedFilters: \[IsNotNull\(proposal_status\), IsNotNull\(create_date\), .*GreaterThan",
+                     _plan(growth_plan))
+    whole = _logical(report.weekly_report_derived(b))
+    # one pass makes the kept hits, one the growth
+    assert whole.count("amount_converted#") and len(re.findall(r"Relation \[client_id#\d+L?,create_date", whole)) <= 2
+    b.unpersist()
+
+
+def test_clicks_are_cut_to_the_populations_weeks(spark, folders):
+    b = Base(load_tables(spark, folders), FIXTURE)
+    plan = _plan(b.click_sums)
+    assert "LeftSemi" in plan
+    b.unpersist()
+
+
+def test_click_report_reads_half_of_what_eight_pipelines_read(spark, folders):
+    b = Base(load_tables(spark, folders), FIXTURE).persist("cache")
+    leaves = len(re.findall(r"Relation \[|InMemoryRelation", _logical(clicks.click_report(b))))
+    assert leaves <= 13
+    b.unpersist()
+
+
+def test_calendar_joins_without_broadcast_give_the_same_report(spark, base):
+    shuffled = Base(base.t, FIXTURE.with_overrides(broadcast_max_rows=0))
+    expected = sorted(canonical(report.weekly_report_derived(base, sort=False)).collect())
+    assert sorted(canonical(report.weekly_report_derived(shuffled, sort=False)).collect()) == expected
+    assert not any(x.small for x in shuffled._memo.values() if isinstance(x, CalendarSide))
+    expected = sorted(map(str, canonical(clicks.click_report(base, sort=False)).collect()))
+    assert sorted(map(str, canonical(clicks.click_report(shuffled, sort=False)).collect())) == expected
+    shuffled.unpersist()
+
+
+def test_nothing_stays_persisted_after_a_reset(spark):
+    spark.catalog.clearCache()
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    for name in ("weekly_report", "click_report", "task_group_pivot"):
+        registry.queries()[name](spark, SF_SMALL).collect()
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() > before
+    registry.reset()
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
+
+
+def test_callers_settings_are_left_alone(spark):
+    other = spark.newSession()
+    other.conf.set("spark.sql.session.timeZone", "Asia/Jakarta")
+    got = registry.queries()["latest_period"](other, SF_SMALL).collect()
+    assert other.conf.get("spark.sql.session.timeZone") == "Asia/Jakarta"
+    assert got == registry.queries()["latest_period"](spark, SF_SMALL).collect()
+    registry.reset()
+
+
+def test_checkpoint_needs_a_shared_folder(spark, base):
+    if spark.sparkContext.getCheckpointDir() is None:
+        with pytest.raises(Exception, match="(?i)checkpoint"):
+            Base(base.t, FIXTURE).persist("checkpoint")
+
+
+def test_reports_come_sorted(base):
+    weekly = [(r.period, r.customer_type) for r in report.weekly_report(base).collect()]
+    assert weekly == sorted(weekly)
+    click = [(r.period, r.customer_type) for r in clicks.click_report(base).collect()]
+    assert click == sorted(sorted(click, key=lambda r: r[1]), key=lambda r: r[0], reverse=True)
+    group = [(r.award_period, r.group_name) for r in groups.task_group_clicks(base).collect()]
+    assert group == sorted(group)
+
+
 def test_hot_client_duplicates_do_not_change_weekly_report(spark, base):
     """One client's task rows copied 40 times (a hot key) leave the weekly
     report unchanged: every per-customer step collapses them first."""

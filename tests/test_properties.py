@@ -79,3 +79,12 @@ def test_parquet_tables_give_same_report(spark, base):
     expected = sorted(canonical(report.weekly_report_derived(base, sort=False)).collect())
     got = sorted(canonical(report.weekly_report_derived(loaded, sort=False)).collect())
     assert got == expected
+
+
+def test_array_file_reads_back(spark, base, tmp_path):
+    import json
+    rows = [r.asDict() for r in canonical(report.weekly_report_derived(base)).collect()]
+    (tmp_path / "array.json").write_text(json.dumps(rows, indent=2))
+    df = canonical(report.weekly_report_derived(base, sort=False))
+    back = read_report_json(spark, str(tmp_path / "array.json"), df.schema, multi_line=True)
+    assert sorted(map(str, back.collect())) == sorted(map(str, df.collect()))

@@ -95,6 +95,52 @@ def test_group_report_row_count_clicks_and_never_deposited(spark):
     assert r.active_click_rate == 1.0
 
 
+def test_duplicate_weekly_rows_stay_rows(spark):
+    def week(day, lots, active=1):
+        return (str(A), "weekly", dt.date(2025, 12, day), None if lots is None else Decimal(lots), active)
+
+    b = _base(spark, report_trading_deal_real=[week(1, "2.00"), week(1, "1.00"), week(1, "2.00"), week(8, None),
+                                               week(15, "3.00"), week(22, "9.00", 0)])
+    rows = sorted((r.report_time.day, str(r.rt_lot_open_sa), r.lead_time and r.lead_time.day)
+                  for r in b.trading_weeks.collect())
+    assert rows == [(1, "1.00", 1), (1, "2.00", 1), (1, "2.00", 8), (8, "None", 15), (15, "3.00", None)]
+    assert retention.trading_task_match(b).count() == 5
+
+
+def test_group_table_keeps_old_groups_and_empty_cells(spark):
+    from weekwise.plans import present
+    kind = ("award_period string, group_name string, active_this_week long, active_click_this_week_user long, "
+            "active_click_this_week_count long, non_active_this_week long, non_active_click_this_week_user long, "
+            "non_active_click_this_week_count long, active_click_rate double, non_active_click_rate double")
+    df = spark.createDataFrame([("20251213", "G_OLD", 1, 1, 3, 0, 0, None, 1.0, None),
+                                ("20251220", "G_NEW", 2, 1, 1, 1, 0, None, 0.5, 0.0),
+                                ("20251227", "G_NEW", 3, 0, None, 0, 0, None, 0.0, None)], kind)
+    wide = present.task_group_pivot(df, 2)
+    assert wide.columns[3:] == [f"{p}_{t}" for p in ("2025-12-20", "2025-12-27")
+                                for t in ("participants", "rate", "clickers", "clicks")]
+    rows = [tuple(r) for r in wide.collect()]
+    assert [r[:2] for r in rows] == [("G_NEW", 1), ("G_NEW", 2), ("G_OLD", 1), ("G_OLD", 2)]
+    assert rows[0][3:] == ("2", "50.0%", "1", "1", "3", "0.0%", "0", "—")
+    assert set(rows[2][3:]) == set(rows[3][3:]) == {"—"}
+    assert present.task_group_long(df, 2).count() == 2 * 2 * 2
+
+
+def test_layouts_are_the_dashboards(spark):
+    from weekwise.plans import present
+    new, old, every = "New customer", "Old Customer", "All customer"
+    weekly = [(r[5], r[7], r[8]) for r in present.weekly_layout()]
+    pairs = [(c, f) for c, f in [("A1", "pct"), ("A2", "pct"), ("A3", "pct"), ("A4", "pct"), ("B1", "growth"),
+                                 ("B2", "growth"), ("B3", "growth"), ("B4", "growth"), ("B5", "growth"), ("B6", "growth")]]
+    assert weekly == [(c, t, f) for c, f in pairs for t in (new, old)] + [
+        ("C1", every, "lot"), ("C2", every, "lot"), ("C3", every, "lot"),
+        ("C4", every, "amount"), ("C5", every, "amount"), ("C6", every, "amount")]
+    clicks_ = [(r[5], r[7]) for r in present.click_layout()]
+    assert clicks_ == [(c, t) for c in ("a1", "a2", "a3", "a4", "b1", "b2", "b3", "b4", "b5", "b6") for t in (new, old)]
+    assert [r[0] for r in present.weekly_layout()] == list(range(1, 27))
+    assert [r[3] for r in present.weekly_layout()][::2][:4] == [
+        "Task-Assigned Group", "Non-Task Group", "Task-Assigned Group", "Non-Task Group"]
+
+
 def test_missing_first_active_is_old_customer(spark):
     b = _base(spark, rebate_user_task_detail=[_task(A, 1, 1, *WEEK1)],
               report_business=[(str(B), "daily", dt.date(2025, 12, 3), 1, 0)])

@@ -62,9 +62,20 @@ def period_label(c) -> Column:
 
 
 def _fixed(v: Column, decimals: int) -> Column:
-    """Magnitude of ``v`` with ``decimals`` digits, half away from zero."""
+    """Magnitude of the exact binary value of ``v`` with ``decimals`` digits; a tie goes up.
+
+    The product with a power of ten is rounded, so the error of the product
+    (exact, by splitting the factor into halves) decides the half case.
+    """
     scale = 10 ** decimals
-    n = F.floor(F.abs(v) * scale + F.lit(0.5)).cast("bigint")
+    x = F.abs(v)
+    product = x * F.lit(float(scale))
+    spread = x * F.lit(134217729.0)          # 2**27 + 1
+    high = spread - (spread - x)
+    error = (high * F.lit(float(scale)) - product) + (x - high) * F.lit(float(scale))
+    whole_part = F.floor(product)
+    over = ((product - whole_part.cast("double")) - F.lit(0.5)) + error
+    n = (whole_part + F.when(over >= 0, 1).otherwise(0)).cast("bigint")
     whole = F.floor(n / scale).cast("bigint").cast("string")
     if decimals == 0:
         return whole

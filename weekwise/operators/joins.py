@@ -1,28 +1,43 @@
-"""Join helpers: size-checked broadcast and NULL-safe lookups."""
+"""Joins with calendar-sized tables (award periods, week boundaries, their days)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+PARTS = 64               # tasks that the rows of one calendar key are dealt to
+MAX_BYTES = 32 << 20     # of a table that may be broadcast
 
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only if it has at most ``max_rows`` rows.
 
-    Used for calendar-sized sides (one row per award period or week
-    boundary) whose size follows the calendar, not the data volume.  The
-    side is cached, counted with a ``limit`` so the check itself never scans
-    more than ``max_rows + 1`` of its rows, and reused by the join.  Above the
-    bound the plain DataFrame is returned and Spark plans a shuffle join
-    (AQE may still convert it at run time, and splits skewed partitions).
+class CalendarSide:
+    """A table that follows the calendar, not the data: joined by broadcast if it is as small as it should be.
+
+    The table is cached and measured once, in rows and in bytes.  Making it
+    may scan the data under it; measuring reads ``max_rows + 1`` of its rows.
+    Beyond the bounds it is joined by a shuffle in which each of its rows is
+    repeated ``PARTS`` times and the other side's rows are dealt by a hash of
+    ``spread``, as a calendar has few keys and each holds many rows.
     """
-    small = df.cache()
-    if small.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(small)
-    small.unpersist()
-    return df
+
+    def __init__(self, df: DataFrame, max_rows: int, max_bytes: int = MAX_BYTES) -> None:
+        self.df = df.persist()
+        width = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in df.columns), F.lit(8))
+        rows, size = self.df.limit(max_rows + 1).agg(F.count("*"), F.sum(width)).head()
+        self.small = rows <= max_rows and (size or 0) <= max_bytes
+
+    def unpersist(self) -> None:
+        self.df.unpersist()
+
+    def join(self, rows: DataFrame, keys: list[str], spread: list[str], how: str = "inner") -> DataFrame:
+        """``rows`` joined to the table on same-named ``keys``; ``how`` is inner, left or left_semi."""
+        if self.small:
+            return rows.join(F.broadcast(self.df), keys, how)
+        part = "_calendar_part"
+        dealt = rows.withColumn(part, F.pmod(F.xxhash64(*spread), F.lit(PARTS)))
+        copies = self.df.withColumn(part, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(PARTS - 1).cast("long"))))
+        return dealt.join(copies, [*keys, part], how).drop(part)
 
 
-def lookup(left: DataFrame, right: DataFrame, on: list[str], how: str = "left") -> DataFrame:
-    """Equi-join on same-named columns (a pre-aggregated correlated lookup)."""
-    return left.join(right, on=on, how=how)
+def null_safe_key(col: Column, name: str) -> list[Column]:
+    """Two columns that are equal where ``col`` is, null counting as equal to null."""
+    return [F.coalesce(col, F.lit("")).alias(name), col.isNull().alias(f"{name}_null")]

@@ -5,19 +5,15 @@
   rows instead of an inequality-correlated subquery (which Spark plans as a
   nested-loop join without the key).
 * ``range_join`` (J2/R3): points x closed intervals, equi-joined on day
-  buckets against a broadcast, size-checked interval table.
-* ``interval_sums`` (J11): per key and interval, the sum of point values in
-  the interval, aggregated map-side before any shuffle.
+  buckets of a calendar-sized interval table.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from weekwise.operators.joins import bounded_broadcast
+from weekwise.operators.joins import CalendarSide
 
 
 def _micros(c: str) -> Column:
@@ -53,33 +49,14 @@ def day_buckets(intervals: DataFrame, lo: str, hi: str, out: str = "_day") -> Da
             .withColumn(out, F.explode(F.sequence(F.to_date(F.col(lo)), F.to_date(F.col(hi))))))
 
 
-def range_join(points: DataFrame, ts: str, intervals: DataFrame, lo: str, hi: str,
-               max_rows: int, buckets: DataFrame | None = None) -> DataFrame:
+def range_join(points: DataFrame, ts: str, buckets: CalendarSide, lo: str, hi: str) -> DataFrame:
     """Inner join of ``points`` with every interval where
     ``lo <= points.ts <= hi`` (closed on both ends).
 
-    The interval side is small (calendar-sized): it is exploded to day
-    buckets, size-checked and broadcast, and the big point side is streamed
-    through a hash join on the day with the exact range as residual filter.
-    A point on a shared boundary matches both intervals.  ``buckets`` may
-    pass an already checked ``day_buckets(intervals, lo, hi)`` side.
+    ``buckets`` holds ``day_buckets(intervals, lo, hi)``.  The points are
+    joined on the day with the exact range as residual filter; a point on a
+    shared boundary matches both intervals.
     """
-    if buckets is None:
-        buckets = bounded_broadcast(day_buckets(intervals, lo, hi), max_rows)
     pts = points.withColumn("_day", F.to_date(F.col(ts)))
-    joined = pts.join(buckets, "_day")
+    joined = buckets.join(pts, ["_day"], points.columns)
     return joined.where((F.col(ts) >= F.col(lo)) & (F.col(ts) <= F.col(hi))).drop("_day")
-
-
-def interval_sums(points: DataFrame, key: str, ts: str, value: str,
-                  intervals: DataFrame, lo: str, hi: str, interval_keys: Sequence[str],
-                  out: str, max_rows: int, buckets: DataFrame | None = None) -> DataFrame:
-    """Per ``key`` and interval: ``sum(value)`` of the points in ``[lo, hi]``.
-
-    Output: ``key, *interval_keys, out``; keys without points in an interval
-    get no row (callers left-join and default).  The sum is combined map-side,
-    so a key holding a large share of the points does not skew the shuffle.
-    """
-    hits = range_join(points.select(key, ts, value), ts,
-                      intervals.select(*interval_keys, lo, hi).distinct(), lo, hi, max_rows, buckets)
-    return hits.groupBy(key, *interval_keys).agg(F.sum(value).alias(out))

@@ -1,207 +1,134 @@
-"""DuckDB oracle for the click report (M17-M26) and the task-group report
-(M27-M29), in correlated-subquery form.  Group cut-off: fixture value."""
+"""DuckDB oracle for the click report (M17-M26) and the task-group report.
+
+One relation holds the rows of all populations of both task types, tagged
+with the block they count for.  Clicks and the new/old label are looked up
+once for all of them, and each block is one filtered aggregate.
+"""
 
 from weekwise.oracle.canon import canon
 from weekwise.oracle.fixture_sql import with_fixture
-from weekwise.oracle.weekly_sql import BASE_CTES, _label
+from weekwise.oracle.weekly_sql import RELATIONS, kind, needed
 
 GROUP_CUTOFF = "20251213"
-
-
-def _clicks(key: str, week: str) -> str:
-    return (f"(SELECT sum(e.click_count) FROM smart_reward_client_event e "
-            f"WHERE e.user_id = {key} AND e.week_group = {week}) AS click_count")
-
-
-def _assigned(n: int) -> str:
-    return f"""
-, o_as{n} AS (
-    SELECT DISTINCT client_id, start_date, end_date, award_period
-    FROM o_tasks WHERE task_type = {n} AND start_date >= TIMESTAMP '2025-12-07'
-)
-, o_as{n}_l AS (
-    SELECT a.*, {_label('a', 'CAST(a.client_id AS VARCHAR)', 'a.start_date')},
-           {_clicks('CAST(a.client_id AS VARCHAR)', 'a.award_period')}
-    FROM o_as{n} a
-)
-, o_q_as{n} AS (
-    SELECT award_period AS period, customer_type,
-           count(DISTINCT client_id) AS task{n}_assigned,
-           count(DISTINCT CASE WHEN click_count IS NOT NULL THEN client_id END) AS task{n}_assigned_click,
-           CAST(sum(click_count) AS BIGINT) AS task{n}_assigned_click_count
-    FROM o_as{n}_l GROUP BY 1, 2
-)"""
-
-
-def _non_assigned(n: int, table: str, measure: str) -> str:
-    return f"""
-, o_na{n} AS (
-    SELECT DISTINCT customer_id, report_time, strftime(report_time + 12, '%Y%m%d') AS period
-    FROM {table}
-    WHERE report_timeframe = 'weekly' AND report_time >= DATE '2025-12-01'
-      AND customer_id LIKE '95%' AND {measure} > 0
-)
-, o_na{n}_l AS (
-    SELECT w.*, {_label('w', 'w.customer_id', 'w.report_time + 7')},
-           {_clicks('w.customer_id', 'w.period')}
-    FROM o_na{n} w
-    WHERE (SELECT min(a.client_id) FROM o_as{n} a
-            WHERE a.award_period = w.period AND CAST(a.client_id AS VARCHAR) = w.customer_id) IS NULL
-)
-, o_q_na{n} AS (
-    SELECT period, customer_type,
-           count(DISTINCT customer_id) AS task{n}_non_assigned,
-           count(DISTINCT CASE WHEN click_count IS NOT NULL THEN customer_id END) AS task{n}_non_assigned_click,
-           CAST(sum(click_count) AS BIGINT) AS task{n}_non_assigned_click_count
-    FROM o_na{n}_l GROUP BY 1, 2
-)"""
-
-
-def _new_this_week(n: int) -> str:
-    return f"""
-, o_nw{n} AS (
-    SELECT DISTINCT client_id, start_date, end_date, award_period,
-           lag(start_date) OVER (PARTITION BY client_id ORDER BY start_date) AS lag_date
-    FROM o_tasks WHERE task_type = {n} AND start_date >= TIMESTAMP '2025-12-07'
-)
-, o_nw{n}_l AS (
-    SELECT a.*, {_label('a', 'CAST(a.client_id AS VARCHAR)', 'a.start_date')},
-           {_clicks('CAST(a.client_id AS VARCHAR)', 'a.award_period')}
-    FROM o_nw{n} a
-    WHERE CAST(a.start_date AS DATE) != CAST(a.lag_date AS DATE) + 7 OR a.lag_date IS NULL
-)
-, o_q_nw{n} AS (
-    SELECT award_period AS period, customer_type,
-           count(DISTINCT client_id) AS task{n}_non_assigned_last_week,
-           count(DISTINCT CASE WHEN click_count IS NOT NULL THEN client_id END) AS task{n}_non_assigned_last_week_click,
-           CAST(sum(click_count) AS BIGINT) AS task{n}_non_assigned_last_week_click_count
-    FROM o_nw{n}_l GROUP BY 1, 2
-)"""
-
-
-def _completion(n: int) -> str:
-    return f"""
-, o_cp{n} AS (
-    SELECT DISTINCT client_id, start_date, end_date, award_period, task_status
-    FROM o_tasks WHERE task_type = {n} AND start_date >= TIMESTAMP '2025-12-07'
-)
-, o_cp{n}_l AS (
-    SELECT a.*, {_label('a', 'CAST(a.client_id AS VARCHAR)', 'a.start_date')},
-           {_clicks('CAST(a.client_id AS VARCHAR)', 'a.award_period')}
-    FROM o_cp{n} a
-)
-, o_q_cp{n} AS (
-    SELECT award_period AS period, customer_type,
-           count(DISTINCT CASE WHEN task_status IN (1, 2) THEN client_id END) AS task{n}_completed,
-           count(DISTINCT CASE WHEN click_count IS NOT NULL AND task_status IN (1, 2) THEN client_id END)
-               AS task{n}_completed_click,
-           CAST(sum(CASE WHEN task_status IN (1, 2) THEN click_count ELSE 0 END) AS BIGINT) AS task{n}_completed_click_count,
-           count(DISTINCT CASE WHEN task_status NOT IN (1, 2) THEN client_id END) AS task{n}_non_completed,
-           count(DISTINCT CASE WHEN click_count IS NOT NULL AND task_status NOT IN (1, 2) THEN client_id END)
-               AS task{n}_non_completed_click,
-           CAST(sum(CASE WHEN task_status NOT IN (1, 2) THEN click_count ELSE 0 END) AS BIGINT) AS task{n}_non_completed_click_count
-    FROM o_cp{n}_l GROUP BY 1, 2
-)"""
-
-
-_BLOCKS = [
+CODES = ["a1", "a2", "a3", "a4", "b1", "b2", "b3", "b4", "b5", "b6"]
+BLOCKS = [
     "task1_assigned", "task1_non_assigned", "task2_assigned", "task2_non_assigned",
     "task1_non_assigned_last_week", "task1_completed", "task1_non_completed",
     "task2_non_assigned_last_week", "task2_completed", "task2_non_completed",
 ]
-_CODES = ["a1", "a2", "a3", "a4", "b1", "b2", "b3", "b4", "b5", "b6"]
-_COLS = [c for blk in _BLOCKS for c in (blk, f"{blk}_click", f"{blk}_click_count")]
-
-CLICK_CTES = BASE_CTES + _assigned(1) + _assigned(2) \
-    + _non_assigned(1, "report_trading_deal_real", "rt_lot_open_sa") \
-    + _non_assigned(2, "report_transaction_deposit", "deposit_success_amount_inusd_sa") \
-    + _new_this_week(1) + _new_this_week(2) + _completion(1) + _completion(2) + f"""
-, o_click AS (
-    SELECT q1.period, q1.customer_type, {', '.join(_COLS)}
-    FROM o_q_as1 q1
-    LEFT JOIN o_q_na1 q2 ON q1.period = q2.period AND q1.customer_type = q2.customer_type
-    LEFT JOIN o_q_as2 q3 ON q1.period = q3.period AND q1.customer_type = q3.customer_type
-    LEFT JOIN o_q_na2 q4 ON q1.period = q4.period AND q1.customer_type = q4.customer_type
-    LEFT JOIN o_q_nw1 q5 ON q1.period = q5.period AND q1.customer_type = q5.customer_type
-    LEFT JOIN o_q_cp1 q6 ON q1.period = q6.period AND q1.customer_type = q6.customer_type
-    LEFT JOIN o_q_nw2 q7 ON q1.period = q7.period AND q1.customer_type = q7.customer_type
-    LEFT JOIN o_q_cp2 q8 ON q1.period = q8.period AND q1.customer_type = q8.customer_type
-)
-, o_click_derived AS (
-    SELECT c.*, {', '.join(
-        f"{blk} AS {code}_participants, {blk}_click AS {code}_clickers, {blk}_click_count AS {code}_clicks, "
-        f"{blk}_click / nullif({blk}, 0) AS {code}_click_rate"
-        for code, blk in zip(_CODES, _BLOCKS))}
-    FROM o_click c
-)
-"""
 
-GROUP_CTES = f"""
-, o_grp AS (
-    SELECT client_id, group_name, min(start_date) AS start_date, max(end_date) AS end_date, award_period
-    FROM rebate_user_task_detail
-    WHERE award_period >= '{GROUP_CUTOFF}'
-    GROUP BY client_id, group_name, award_period
-)
-, o_grp_b AS (
-    SELECT g.*,
-           (SELECT min(make_timestamp(nullif(c.first_deposit_time, 0) * 1000)) FROM crm_customer_base c
-             WHERE c.client_id = g.client_id) AS first_deposit_time,
-           (SELECT CAST(count(*) AS BIGINT) FROM smart_reward_client_event e
-             WHERE TRY_CAST(e.user_id AS BIGINT) = g.client_id AND e.week_group = g.award_period) AS click_c
-    FROM o_grp g
-)
-, o_grp_q AS (
-    SELECT award_period, group_name,
-           count(DISTINCT CASE WHEN first_deposit_time BETWEEN start_date AND end_date THEN client_id END)
-               AS active_this_week,
-           count(DISTINCT CASE WHEN first_deposit_time BETWEEN start_date AND end_date AND click_c > 0 THEN client_id END)
-               AS active_click_this_week_user,
-           CAST(sum(CASE WHEN first_deposit_time BETWEEN start_date AND end_date THEN click_c END) AS BIGINT)
-               AS active_click_this_week_count,
-           count(DISTINCT CASE WHEN first_deposit_time NOT BETWEEN start_date AND end_date THEN client_id END)
-               AS non_active_this_week,
-           count(DISTINCT CASE WHEN first_deposit_time NOT BETWEEN start_date AND end_date AND click_c > 0 THEN client_id END)
-               AS non_active_click_this_week_user,
-           CAST(sum(CASE WHEN first_deposit_time NOT BETWEEN start_date AND end_date THEN click_c END) AS BIGINT)
-               AS non_active_click_this_week_count
-    FROM o_grp_b GROUP BY award_period, group_name
-)
-, o_grp_derived AS (
-    SELECT q.*,
-           active_click_this_week_user / nullif(active_this_week, 0) AS active_click_rate,
-           non_active_click_this_week_user / nullif(non_active_this_week, 0) AS non_active_click_rate
-    FROM o_grp_q q
-)
-"""
 
-_RATES = [f"{c}_click_rate" for c in _CODES]
-
-CLICK_QUERIES = {
-    "click_task1_assigned": ("o_q_as1", [], [], []),
-    "click_task1_non_assigned": ("o_q_na1", [], [], []),
-    "click_task2_assigned": ("o_q_as2", [], [], []),
-    "click_task2_non_assigned": ("o_q_na2", [], [], []),
-    "click_task1_new_this_week": ("o_q_nw1", [], [], []),
-    "click_task1_completion": ("o_q_cp1", [], [], []),
-    "click_task2_new_this_week": ("o_q_nw2", [], [], []),
-    "click_task2_completion": ("o_q_cp2", [], [], []),
-    "click_report": ("o_click", [], [], []),
-    "click_report_derived": ("o_click_derived", [], [], _RATES),
+def _block(name: str) -> list[str]:
+    """Members, clickers and clicks of a block: a customer clicked if any click count is known."""
+    if name.endswith("completed"):
+        done = "NOT IN" if name.endswith("non_completed") else "IN"
+        mine = f"part = 'status' AND task_status {done} (1, 2)"
+        clicks = f"sum(if(coalesce(task_status {done} (1, 2), false), clicks, 0)) FILTER (part = 'status')"
+    else:
+        part = "new" if name.endswith("_week") else "free" if "non" in name else "assigned"
+        mine = f"part = '{part}'"
+        clicks = f"sum(clicks) FILTER ({mine})"
+    n = name[4]
+    mine, clicks = f"task_type = {n} AND {mine}", clicks.replace("FILTER (", f"FILTER (task_type = {n} AND ")
+    return [f"count(DISTINCT who) FILTER ({mine}) AS {name}",
+            f"count(DISTINCT who) FILTER ({mine} AND clicks IS NOT NULL) AS {name}_click",
+            f"CAST({clicks} AS BIGINT) AS {name}_click_count"]
+
+
+def _query(blocks: list[str], rows: str) -> str:
+    return ("SELECT period, customer_type, " + ", ".join(x for b in blocks for x in _block(b))
+            + f" FROM seen WHERE {rows} GROUP BY ALL")
+
+
+_OF = {
+    "click_task1_assigned": (1, "assigned", BLOCKS[0:1]), "click_task1_non_assigned": (1, "free", BLOCKS[1:2]),
+    "click_task2_assigned": (2, "assigned", BLOCKS[2:3]), "click_task2_non_assigned": (2, "free", BLOCKS[3:4]),
+    "click_task1_new_this_week": (1, "new", BLOCKS[4:5]), "click_task1_completion": (1, "status", BLOCKS[5:7]),
+    "click_task2_new_this_week": (2, "new", BLOCKS[7:8]), "click_task2_completion": (2, "status", BLOCKS[8:10]),
 }
 
+CLICK_RELATIONS = {k: RELATIONS[k] for k in ("active", "task", "recent")} | {
+    "clicked": """
+        SELECT user_id, week_group, sum(click_count) AS clicks FROM smart_reward_client_event GROUP BY ALL""",
+    "busy": """
+        SELECT 1 AS task_type, customer_id AS who, report_time FROM report_trading_deal_real
+        WHERE report_timeframe = 'weekly' AND rt_lot_open_sa > 0
+        UNION ALL
+        SELECT 2, customer_id, report_time FROM report_transaction_deposit
+        WHERE report_timeframe = 'weekly' AND deposit_success_amount_inusd_sa > 0""",
+    "member": """
+        SELECT DISTINCT 'assigned' AS part, task_type, who, award_period AS period, CAST(start_date AS DATE) AS ref,
+               start_date, end_date, NULL AS task_status, NULL AS before FROM recent
+        UNION ALL
+        SELECT DISTINCT 'status', task_type, who, award_period, CAST(start_date AS DATE), start_date, end_date, task_status,
+               NULL FROM recent
+        UNION ALL
+        SELECT DISTINCT 'new', * FROM (
+            SELECT task_type, who, award_period, CAST(start_date AS DATE), start_date, end_date, NULL,
+                   lag(start_date) OVER (PARTITION BY task_type, who ORDER BY start_date) AS before FROM recent)
+        WHERE date_diff('day', before, start_date) IS DISTINCT FROM 7
+        UNION ALL
+        SELECT DISTINCT 'free', b.task_type, b.who, strftime(b.report_time + 12, '%Y%m%d'), b.report_time + 7, NULL, NULL,
+               NULL, NULL
+        FROM busy b ANTI JOIN recent r ON r.task_type = b.task_type AND r.who = b.who
+         AND r.award_period = strftime(b.report_time + 12, '%Y%m%d')
+        WHERE b.report_time >= DATE '2025-12-01' AND starts_with(b.who, '95')""",
+    "seen": f"""
+        SELECT m.part, m.task_type, m.who, m.period, m.task_status, c.clicks, {kind('m.ref')}
+        FROM member m LEFT JOIN clicked c ON c.user_id = m.who AND c.week_group = m.period
+        LEFT JOIN active a ON a.customer_id = m.who""",
+    **{name: _query(blocks, f"task_type = {n} AND part = '{part}'") for name, (n, part, blocks) in _OF.items()},
+    "click_report": ("SELECT period, customer_type, "
+                     + ", ".join(f"{b}, {b}_click, {b}_click_count" for b in BLOCKS)
+                     + " FROM click_task1_assigned "
+                     + " ".join(f"LEFT JOIN {name} USING (period, customer_type)" for name in list(_OF)[1:])),
+    "click_report_derived": "SELECT *, " + ", ".join(
+        f"{b} AS {code}_participants, {b}_click AS {code}_clickers, {b}_click_count AS {code}_clicks, "
+        f"{b}_click / nullif({b}, 0) AS {code}_click_rate" for code, b in zip(CODES, BLOCKS)) + " FROM click_report",
+}
+
+
+def _side(name: str, condition: str) -> list[str]:
+    return [f"count(DISTINCT client_id) FILTER ({condition}) AS {name}_this_week",
+            f"count(DISTINCT client_id) FILTER ({condition} AND click_c > 0) AS {name}_click_this_week_user",
+            f"CAST(sum(click_c) FILTER ({condition}) AS BIGINT) AS {name}_click_this_week_count"]
+
+
+GROUP_RELATIONS = {
+    "first_paid": """
+        SELECT client_id, min(make_timestamp(nullif(first_deposit_time, 0) * 1000)) AS first_deposit_time
+        FROM crm_customer_base GROUP BY ALL""",
+    "click_rows": """
+        SELECT TRY_CAST(user_id AS BIGINT) AS client_id, week_group AS award_period, count(*) AS n
+        FROM smart_reward_client_event GROUP BY ALL""",
+    "group_member": f"""
+        SELECT g.*, f.first_deposit_time, coalesce(c.n, 0) AS click_c
+        FROM (SELECT client_id, group_name, award_period, min(start_date) AS start_date, max(end_date) AS end_date
+              FROM rebate_user_task_detail WHERE award_period >= '{GROUP_CUTOFF}' GROUP BY ALL) g
+        LEFT JOIN first_paid f USING (client_id) LEFT JOIN click_rows c USING (client_id, award_period)""",
+    "group_count": "SELECT award_period, group_name, " + ", ".join(
+        _side("active", "first_deposit_time BETWEEN start_date AND end_date")
+        + _side("non_active", "first_deposit_time NOT BETWEEN start_date AND end_date"))
+    + " FROM group_member GROUP BY ALL",
+    "group_derived": "SELECT *, " + ", ".join(
+        f"{s}_click_this_week_user / nullif({s}_this_week, 0) AS {s}_click_rate" for s in ("active", "non_active"))
+    + " FROM group_count",
+}
+
+CLICK_QUERIES = {name: [] for name in [*_OF, "click_report"]} | {
+    "click_report_derived": [f"{c}_click_rate" for c in CODES]}
+
 GROUP_QUERIES = {
-    "task_group_base": ("o_grp_b", [], ["start_date", "end_date", "first_deposit_time"], []),
-    "task_group_clicks": ("o_grp_q", [], [], []),
-    "task_group_clicks_derived": ("o_grp_derived", [], [], ["active_click_rate", "non_active_click_rate"]),
+    "task_group_base": ("group_member", ["start_date", "end_date", "first_deposit_time"], []),
+    "task_group_clicks": ("group_count", [], []),
+    "task_group_clicks_derived": ("group_derived", [], ["active_click_rate", "non_active_click_rate"]),
 }
 
 
 def click_oracle(name: str) -> str:
-    cte, dates, stamps, nums = CLICK_QUERIES[name]
-    return with_fixture(CLICK_CTES + canon(cte, dates, stamps, nums))
+    return with_fixture(needed(CLICK_RELATIONS, name) + canon(name, (), (), CLICK_QUERIES[name]))
 
 
 def group_oracle(name: str) -> str:
-    cte, dates, stamps, nums = GROUP_QUERIES[name]
-    return with_fixture(GROUP_CTES + canon(cte, dates, stamps, nums))
+    relation, stamps, nums = GROUP_QUERIES[name]
+    return with_fixture(needed(GROUP_RELATIONS, relation) + canon(relation, (), stamps, nums))

@@ -45,7 +45,8 @@ def digest(ms: Counter) -> str:
 def compare(spark_df, con, sql: str) -> dict:
     s_cols = spark_df.columns
     s_rows = [tuple(r) for r in spark_df.collect()]
-    rel = con.sql(sql)
+    con.sql(f"CREATE OR REPLACE VIEW oracle_rows AS {sql}")   # as the driver does
+    rel = con.sql("SELECT * FROM oracle_rows")
     d_cols = [c for c in rel.columns]
     d_rows = rel.fetchall()
     s_ms, d_ms = row_multiset(s_cols, s_rows), row_multiset(d_cols, d_rows)

@@ -1,19 +1,25 @@
 """DuckDB oracle for the indicator tables.
 
-The display grid is written the plain way here (periods CROSS JOIN layout
-VALUES, CASE lookups of the field, PIVOT statement), independent of the
-generator/unpivot form of the Spark plans.  Layout rows are the fixed
-dimension data from ``weekwise.plans.present``.
+The display grid is written the plain way here (periods x layout VALUES,
+CASE lookups of the field, one conditional aggregate per period for the
+pivots), independent of the generator/unpivot form of the Spark plans.  Texts
+are rounded on the printed digits of the exact binary value.  Layout rows are
+the fixed dimension data from ``weekwise.plans.present``, which the tests hold
+to a literal list.
 """
 
 from weekwise.oracle.canon import canon
-from weekwise.oracle.click_sql import CLICK_CTES, GROUP_CTES
+from weekwise.oracle.click_sql import CLICK_RELATIONS, GROUP_RELATIONS
 from weekwise.oracle.fixture_sql import with_fixture
-from weekwise.oracle.weekly_sql import WEEKLY_CTES
+from weekwise.oracle.weekly_sql import RELATIONS, needed
 from weekwise.plans.present import GROUP_SUB_ROWS, click_layout, weekly_layout
 
 WEEKS = 8
 DASH = "'—'"
+# The fixture's periods, as the pivots name them.
+WEEKLY_LABELS = ["2025-12-13", "2025-12-20", "2025-12-27", "2026-01-03", "2026-01-10"]
+CLICK_LABELS = ["2025-12-13", "2025-12-20", "2025-12-27", "2026-01-03"]
+GROUP_LABELS = ["2025-12-13", "2025-12-20", "2025-12-27", "2026-01-03"]
 
 
 def _q(s: str) -> str:
@@ -25,12 +31,14 @@ def _values(rows) -> str:
 
 
 def _fixed(v: str, d: int) -> str:
-    scale = 10 ** d
-    n = f"CAST(floor(abs({v}) * {scale} + 0.5) AS BIGINT)"
-    whole = f"CAST({n} // {scale} AS VARCHAR)"
-    if d == 0:
-        return whole
-    return f"{whole} || '.' || lpad(CAST({n} % {scale} AS VARCHAR), {d}, '0')"
+    """The exact value has no more than the digits printed; what follows the d-th decides."""
+    printed = f"format('{{:.80f}}', abs({v}))"
+    whole = f"split_part({printed}, '.', 1)"
+    kept = f"substr(split_part({printed}, '.', 2), 1, {d})"
+    follows = f"substr(split_part({printed}, '.', 2), {d + 1}, 1)"
+    n = f"(CAST({whole} || {kept} AS HUGEINT) + CAST({follows} >= '5' AS INTEGER))"
+    text = f"lpad(CAST({n} AS VARCHAR), CAST(greatest({d} + 1, length(CAST({n} AS VARCHAR))) AS INTEGER), '0')"
+    return f"({text}[:-{d + 1}] || '.' || {text}[-{d}:])" if d else text
 
 
 def _signed(v: str, d: int) -> str:
@@ -63,113 +71,111 @@ def text_by(v: str, fmt: str) -> str:
 
 
 def label(p: str) -> str:
-    return (f"CASE WHEN length({p}) = 8 THEN substr({p}, 1, 4) || '-' || substr({p}, 5, 2) || '-' "
-            f"|| substr({p}, 7, 2) ELSE {p} END")
-
-
-_W_FIELDS = sorted({r[6] for r in weekly_layout()})
-_C_CODES = sorted({r[6] for r in click_layout()})
-
-PRESENT_CTES = f"""
-, o_w_layout(row_order, section, metric, comparison, group_label, code, field, customer_type, fmt) AS (
-    VALUES {_values(weekly_layout())}
-)
-, o_w_periods AS (
-    SELECT DISTINCT period FROM o_report_derived WHERE period IS NOT NULL ORDER BY period DESC LIMIT {WEEKS}
-)
-, o_ind_long AS (
-    SELECT l.row_order, l.section, l.metric, l.comparison, l.group_label, l.code, l.customer_type, l.fmt,
-           p.period, {label('p.period')} AS period_label,
-           CAST(CASE l.field {' '.join(f"WHEN '{f}' THEN r.{f}" for f in _W_FIELDS)} END AS DOUBLE) AS value,
-           {text_by(f"CASE l.field {' '.join(f'WHEN {_q(f)} THEN r.{f}' for f in _W_FIELDS)} END", 'l.fmt')} AS text
-    FROM o_w_periods p CROSS JOIN o_w_layout l
-    LEFT JOIN o_report_derived r ON r.period = p.period AND r.customer_type = l.customer_type
-)
-, o_latest AS (
-    SELECT max(period) AS latest_period, {label('max(period)')} AS latest_period_label FROM o_report
-)
-"""
+    return f"CASE WHEN length({p}) = 8 THEN strftime(strptime({p}, '%Y%m%d'), '%Y-%m-%d') ELSE {p} END"
 
-CLICK_PRESENT_CTES = f"""
-, o_c_layout(row_order, section, metric, comparison, group_label, code, field, customer_type, fmt) AS (
-    VALUES {_values(click_layout())}
-)
-, o_c_periods AS (
-    SELECT DISTINCT period FROM o_click_derived WHERE period IS NOT NULL ORDER BY period DESC LIMIT {WEEKS}
-)
-, o_c_vals AS (
-    SELECT l.row_order, l.section, l.metric, l.comparison, l.group_label, l.code, l.customer_type,
-           p.period, {label('p.period')} AS period_label,
-           CAST(CASE l.field {' '.join(f"WHEN '{c}' THEN r.{c}_click_rate" for c in _C_CODES)} END AS DOUBLE) AS click_rate,
-           CAST(CASE l.field {' '.join(f"WHEN '{c}' THEN r.{c}_clickers" for c in _C_CODES)} END AS BIGINT) AS clickers,
-           CAST(CASE l.field {' '.join(f"WHEN '{c}' THEN r.{c}_clicks" for c in _C_CODES)} END AS BIGINT) AS clicks
-    FROM o_c_periods p CROSS JOIN o_c_layout l
-    LEFT JOIN o_click_derived r ON r.period = p.period AND r.customer_type = l.customer_type
-)
-, o_click_long AS (
-    SELECT *, coalesce({pct('click_rate')}, {DASH}) AS rate_text,
-           coalesce(CAST(clickers AS VARCHAR), {DASH}) AS clickers_text,
-           coalesce(CAST(clicks AS VARCHAR), {DASH}) AS clicks_text
-    FROM o_c_vals
-)
-"""
 
-_SUBS = " UNION ALL ".join(
-    f"SELECT award_period, group_name, {o} AS sub_order, {_q(lbl)} AS sub_label, "
-    f"CAST({p} AS BIGINT) AS participants, CAST({r} AS DOUBLE) AS click_rate, "
-    f"CAST({u} AS BIGINT) AS clickers, CAST({c} AS BIGINT) AS clicks FROM o_grp_derived"
-    for o, lbl, p, r, u, c in GROUP_SUB_ROWS)
-
-GROUP_PRESENT_CTES = f"""
-, o_g_periods AS (
-    SELECT DISTINCT award_period FROM o_grp_derived WHERE award_period IS NOT NULL
-    ORDER BY award_period DESC LIMIT {WEEKS}
-)
-, o_g_rows AS ({_SUBS})
-, o_group_long AS (
-    SELECT group_name, sub_order, sub_label, award_period AS period, {label('award_period')} AS period_label,
-           participants, click_rate, clickers, clicks,
-           coalesce(CAST(participants AS VARCHAR), {DASH}) AS participants_text,
-           coalesce({pct('click_rate')}, {DASH}) AS rate_text,
-           coalesce(CAST(clickers AS VARCHAR), {DASH}) AS clickers_text,
-           coalesce(CAST(clicks AS VARCHAR), {DASH}) AS clicks_text
-    FROM o_g_rows WHERE award_period IN (SELECT award_period FROM o_g_periods)
-)
-"""
+def _case(field: str, columns: dict[str, str]) -> str:
+    return f"CASE {field} " + " ".join(f"WHEN {_q(f)} THEN {c}" for f, c in columns.items()) + " END"
+
+
+def _layout(rows) -> str:
+    return ("SELECT * FROM (VALUES " + _values(rows) + ") AS l(row_order, section, metric, comparison, group_label, code, "
+            "field, customer_type, fmt)")
+
+
+def _shown(report: str, column: str, weeks: int) -> str:
+    return (f"SELECT {column} AS period FROM {report} WHERE {column} IS NOT NULL GROUP BY ALL "
+            f"ORDER BY period DESC LIMIT {weeks}")
+
+
+def _grid(weeks: int) -> str:
+    fields = {r[6]: f"r.{r[6]}" for r in weekly_layout()}
+    return f"""
+        SELECT row_order, section, metric, comparison, group_label, code, customer_type, fmt, period,
+               {label('period')} AS period_label, value, {text_by('value', 'fmt')} AS text,
+               CASE WHEN value IS NULL THEN 'null' WHEN fmt = 'growth'
+                    THEN CASE sign(value) WHEN 1 THEN 'pos' WHEN -1 THEN 'neg' ELSE 'neu' END END AS cls
+        FROM (SELECT l.*, p.period, CAST({_case('l.field', fields)} AS DOUBLE) AS value
+              FROM ({_shown('report_derived', 'period', weeks)}) p, ({_layout(weekly_layout())}) l
+              LEFT JOIN report_derived r ON r.period = p.period AND r.customer_type = l.customer_type)"""
+
+
+def _click_grid(weeks: int) -> str:
+    def measure(name, kind):
+        return f"CAST({_case('l.field', {r[6]: f'r.{r[6]}_{name}' for r in click_layout()})} AS {kind}) AS {name}"
 
-_IND_PIVOT = """
-, o_ind_cells AS (
-    SELECT row_order, section, metric, comparison, group_label, code, period_label, text FROM o_ind_long
-)
-PIVOT o_ind_cells ON period_label USING first(text)
-GROUP BY row_order, section, metric, comparison, group_label, code"""
-
-_CLICK_PIVOT = """
-, o_click_cells AS (
-    SELECT row_order, section, metric, comparison, group_label, code, period_label,
-           rate_text, clickers_text, clicks_text FROM o_click_long
-)
-PIVOT o_click_cells ON period_label
-USING first(rate_text) AS rate, first(clickers_text) AS clickers, first(clicks_text) AS clicks
-GROUP BY row_order, section, metric, comparison, group_label, code"""
-
-# name -> (CTEs, final statement)
-PIVOT_QUERIES = {
-    "indicator_pivot": (WEEKLY_CTES + PRESENT_CTES, _IND_PIVOT),
-    "click_indicator_pivot": (CLICK_CTES + CLICK_PRESENT_CTES, _CLICK_PIVOT),
+    return f"""
+        SELECT row_order, section, metric, comparison, group_label, code, customer_type, period,
+               {label('period')} AS period_label, click_rate, clickers, clicks,
+               coalesce({pct('click_rate')}, {DASH}) AS rate_text,
+               coalesce(CAST(clickers AS VARCHAR), {DASH}) AS clickers_text,
+               coalesce(CAST(clicks AS VARCHAR), {DASH}) AS clicks_text
+        FROM (SELECT l.*, p.period, {measure('click_rate', 'DOUBLE')}, {measure('clickers', 'BIGINT')},
+                     {measure('clicks', 'BIGINT')}
+              FROM ({_shown('click_report_derived', 'period', weeks)}) p, ({_layout(click_layout())}) l
+              LEFT JOIN click_report_derived r ON r.period = p.period AND r.customer_type = l.customer_type)"""
+
+
+def _group_grid(weeks: int) -> str:
+    subs = _values([r for r in GROUP_SUB_ROWS])
+
+    def measure(at, name, kind):
+        return f"CAST({_case('s.sub_order', {r[0]: f'r.{r[at]}' for r in GROUP_SUB_ROWS})} AS {kind}) AS {name}"
+
+    return f"""
+        SELECT group_name, sub_order, sub_label, period, {label('period')} AS period_label,
+               participants, click_rate, clickers, clicks,
+               coalesce(CAST(participants AS VARCHAR), {DASH}) AS participants_text,
+               coalesce({pct('click_rate')}, {DASH}) AS rate_text,
+               coalesce(CAST(clickers AS VARCHAR), {DASH}) AS clickers_text,
+               coalesce(CAST(clicks AS VARCHAR), {DASH}) AS clicks_text
+        FROM (SELECT g.group_name, s.sub_order, s.sub_label, p.period, {measure(2, 'participants', 'BIGINT')},
+                     {measure(3, 'click_rate', 'DOUBLE')}, {measure(4, 'clickers', 'BIGINT')},
+                     {measure(5, 'clicks', 'BIGINT')}
+              FROM (SELECT DISTINCT group_name FROM group_derived) g,
+                   ({_shown('group_derived', 'award_period', weeks)}) p,
+                   (SELECT * FROM (VALUES {subs}) AS v(sub_order, sub_label, c1, c2, c3, c4)) s
+              LEFT JOIN group_derived r ON r.award_period = p.period AND r.group_name IS NOT DISTINCT FROM g.group_name)"""
+
+
+def _pivot(relation: str, keys: str, texts: dict[str, str], labels: list[str]) -> str:
+    cells = [f"coalesce(max(CASE WHEN period_label = {_q(p)} THEN {source} END), {DASH}) AS "
+             f"\"{p}{'_' + name if len(texts) > 1 else ''}\"" for p in labels for name, source in texts.items()]
+    return f"SELECT {keys}, {', '.join(cells)} FROM {relation} GROUP BY {keys}"
+
+
+_KEYS = "row_order, section, metric, comparison, group_label, code"
+WEEKLY_PRESENT = RELATIONS | {
+    "grid": _grid(WEEKS), "grid_2": _grid(2), "grid_pivot": _pivot("grid", _KEYS, {"text": "text"}, WEEKLY_LABELS),
+    "latest": f"SELECT max(period) AS latest_period, {label('max(period)')} AS latest_period_label FROM report",
+}
+CLICK_PRESENT = CLICK_RELATIONS | {
+    "click_grid": _click_grid(WEEKS), "click_grid_2": _click_grid(2),
+    "click_pivot": _pivot("click_grid", _KEYS,
+                          {"rate": "rate_text", "clickers": "clickers_text", "clicks": "clicks_text"}, CLICK_LABELS),
+}
+GROUP_PRESENT = GROUP_RELATIONS | {
+    "group_grid": _group_grid(WEEKS), "group_grid_2": _group_grid(2),
+    "group_pivot": _pivot("group_grid", "group_name, sub_order, sub_label",
+                          {"participants": "participants_text", "rate": "rate_text", "clickers": "clickers_text",
+                           "clicks": "clicks_text"}, GROUP_LABELS),
 }
 
+# query name -> (relations, the one it reads, numeric columns)
 PRESENT_QUERIES = {
-    "indicator_long": (WEEKLY_CTES + PRESENT_CTES, "o_ind_long", ["value"]),
-    "latest_period": (WEEKLY_CTES + PRESENT_CTES, "o_latest", []),
-    "click_indicator_long": (CLICK_CTES + CLICK_PRESENT_CTES, "o_click_long", ["click_rate"]),
-    "task_group_long": (GROUP_CTES + GROUP_PRESENT_CTES, "o_group_long", ["click_rate"]),
+    "indicator_long": (WEEKLY_PRESENT, "grid", ["value"]),
+    "indicator_long_2_weeks": (WEEKLY_PRESENT, "grid_2", ["value"]),
+    "indicator_pivot": (WEEKLY_PRESENT, "grid_pivot", []),
+    "latest_period": (WEEKLY_PRESENT, "latest", []),
+    "click_indicator_long": (CLICK_PRESENT, "click_grid", ["click_rate"]),
+    "click_indicator_long_2_weeks": (CLICK_PRESENT, "click_grid_2", ["click_rate"]),
+    "click_indicator_pivot": (CLICK_PRESENT, "click_pivot", []),
+    "task_group_long": (GROUP_PRESENT, "group_grid", ["click_rate"]),
+    "task_group_long_2_weeks": (GROUP_PRESENT, "group_grid_2", ["click_rate"]),
+    "task_group_pivot": (GROUP_PRESENT, "group_pivot", []),
 }
 
 
 def present_oracle(name: str) -> str:
-    if name in PIVOT_QUERIES:
-        ctes, final = PIVOT_QUERIES[name]
-        return with_fixture(ctes + final)
-    ctes, cte, nums = PRESENT_QUERIES[name]
-    return with_fixture(ctes + canon(cte, (), (), nums))
+    relations, relation, nums = PRESENT_QUERIES[name]
+    return with_fixture(needed(relations, relation) + canon(relation, (), (), nums))

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weekwise.config import DAILY, WEEKLY, ReportConfig
-from weekwise.operators.joins import bounded_broadcast
+from weekwise.operators.joins import CalendarSide, null_safe_key
 from weekwise.sources.tables import Tables
 
 
@@ -32,40 +32,51 @@ def first_active(t: Tables, cfg: ReportConfig) -> DataFrame:
             .groupBy("customer_id").agg(F.min("report_time").alias("first_active")))
 
 
-def award_weeks(t: Tables, cfg: ReportConfig) -> DataFrame:
+def award_bounds(t: Tables, cfg: ReportConfig) -> CalendarSide:
+    """Earliest start and latest end of every ``award_period``."""
+    bounds = (t.rebate_user_task_detail.groupBy(*null_safe_key(F.col("award_period"), "_ap"))
+              .agg(F.min("start_date").alias("start_date"), F.max("end_date").alias("end_date")))
+    return CalendarSide(bounds, cfg.broadcast_max_rows)
+
+
+def award_weeks(t: Tables, bounds: CalendarSide) -> DataFrame:
     """M2: task rows with ``start_date``/``end_date`` replaced by the earliest
     start and latest end of their ``award_period`` (W1).
 
     A window partitioned by ``award_period`` would put a whole week of
     assignments into one task; instead the per-period bounds (one row per
-    award period) are aggregated, size-checked, broadcast and joined back.
-    The join is NULL-safe because the window groups NULL periods together.
+    award period) are aggregated and joined back.  The join is NULL-safe
+    because the window groups NULL periods together.
     """
     tasks = t.rebate_user_task_detail
-    bounds = (tasks.groupBy(F.col("award_period").alias("_ap"))
-              .agg(F.min("start_date").alias("start_date"), F.max("end_date").alias("end_date")))
-    bounds = bounded_broadcast(bounds, cfg.broadcast_max_rows)
-    return (tasks.drop("start_date", "end_date")
-            .join(bounds, tasks["award_period"].eqNullSafe(bounds["_ap"]))
-            .drop("_ap"))
+    keyed = tasks.drop("start_date", "end_date").select("*", *null_safe_key(F.col("award_period"), "_ap"))
+    columns = [c for c in tasks.columns if c not in ("start_date", "end_date")]
+    return (bounds.join(keyed, ["_ap", "_ap_null"], ["client_id", "task_type", "group_name"])
+            .select(*columns, "start_date", "end_date"))
 
 
-def trading_weeks(t: Tables, cfg: ReportConfig, min_lots: bool = False) -> DataFrame:
+def trading_weeks(t: Tables, cfg: ReportConfig) -> DataFrame:
     """M3: active weekly trading rows with the customer's next active week.
 
-    Rows are first combined per (customer, week) - map-side, so duplicated
-    rows of one hot customer collapse before the shuffle - then ``lead``
-    runs over each customer's week series, whose length is bounded by the
-    number of weeks.  ``rt_lot_open_sa`` is the week's total.  ``min_lots``
-    selects the click report's definition of an active trader
-    (``rt_lot_open_sa > 0`` instead of ``rt_active_trader_all_cc > 0``, N12).
+    One output row per source row.  The rows of a customer are ordered by
+    week, then by lots (NULL first); a row's lead is the week of the row after it,
+    so of several rows of one week only the last one leads to another week.
+
+    Equal rows (customer, week, lots) are counted map-side first.  The lead
+    is taken over each customer's weeks, whose number the calendar bounds,
+    and comes back to the rows by an equi-join; no window sees raw rows.
     """
     r = t.report_trading_deal_real
-    active = (F.col("rt_lot_open_sa") > 0) if min_lots else (F.col("rt_active_trader_all_cc") > 0)
-    weekly = (r.where((F.col("report_timeframe") == WEEKLY)
-                      & (F.col("report_time") >= F.lit(cfg.trading_from))
-                      & F.col("customer_id").startswith(cfg.id_prefix) & active)
-              .groupBy("customer_id", "report_time")
-              .agg(F.sum("rt_lot_open_sa").cast("decimal(28,2)").alias("rt_lot_open_sa")))
+    rows = (r.where((F.col("report_timeframe") == WEEKLY)
+                    & (F.col("report_time") >= F.lit(cfg.trading_from))
+                    & F.col("customer_id").startswith(cfg.id_prefix)
+                    & (F.col("rt_active_trader_all_cc") > 0))
+            .groupBy("customer_id", "report_time", "rt_lot_open_sa").agg(F.count(F.lit(1)).alias("_n")))
+    weeks = rows.groupBy("customer_id", "report_time").agg(F.max("rt_lot_open_sa").alias("_last"))
     w = Window.partitionBy("customer_id").orderBy("report_time")
-    return weekly.withColumn("lead_time", F.lead("report_time").over(w))
+    weeks = weeks.withColumn("_next", F.lead("report_time").over(w))
+    copies = rows.join(weeks, ["customer_id", "report_time"]).withColumn(
+        "_k", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_n"))))
+    last = F.col("rt_lot_open_sa").eqNullSafe(F.col("_last")) & (F.col("_k") == F.col("_n"))
+    return copies.select("customer_id", "report_time", "rt_lot_open_sa",
+                         F.when(last, F.col("_next")).otherwise(F.col("report_time")).alias("lead_time"))

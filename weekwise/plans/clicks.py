@@ -1,96 +1,63 @@
 """Click report (M17-M26): click-through of eight customer populations.
 
-Every population goes through one pipeline (``click_cohort``): look up the
-customer's clicks for the award week, label new/old, collapse to one row
-per (period, type, customer) with flags and click sums, then count.
+The populations of both task types are the rows of one relation, tagged with
+task type and part.  Clicks of the award week and the new/old label are
+looked up once for all of them, the rows collapse to one per (period, type,
+part, customer) with flags and click sums, and one aggregation gives every
+block its own columns.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weekwise.config import DEPOSIT_TASK, TRADING_TASK, WEEKLY
-from weekwise.functions.scalar import plus_days, safe_div, yyyymmdd
-from weekwise.operators.cohort import count_flags, entity_flags, label_customer
+from weekwise.functions.scalar import safe_div, yyyymmdd
+from weekwise.operators.cohort import label_customer
 from weekwise.plans.base import cid
-from weekwise.plans.retention import Base, assigned_tasks
+from weekwise.plans.retention import Base
 
+# Parts of a task type's customers: assigned to it, free of it though active,
+# newly assigned, and assigned by task status.
+ASSIGNED, FREE, NEW, STATUS = "assigned", "free", "new", "status"
 
-def click_sums(b: Base) -> DataFrame:
-    """Total clicks per (user, award week) (shared by all populations)."""
-    return b.click_sums
 
+def _rows(df: DataFrame, part: str, ref: str = "start_date", status: Column | None = None) -> DataFrame:
+    return df.select("task_type", F.lit(part).alias("part"), "cid", F.col("period"), F.to_date(ref).alias("ref_date"),
+                     (F.lit(None) if status is None else status).cast("int").alias("task_status"))
 
-def click_cohort(b: Base, pop: DataFrame, key: str, period: str, ref_date: Column,
-                 counts: Mapping[str, Column | None], sums: Mapping[str, Column]) -> DataFrame:
-    """Aggregate one population by (period, customer type).
 
-    ``pop`` has the string customer key ``key`` and the award period
-    ``period``.  ``counts``: output -> condition for
-    ``count(distinct case when condition then key end)``; the condition may
-    use ``click_count``.  ``sums``: output -> expression summed over the
-    population rows.
-    """
-    clicks = click_sums(b)
-    joined = pop.join(clicks, (pop[key] == clicks["user_id"]) & (pop[period] == clicks["week_group"]),
-                      "left").drop("user_id", "week_group")
-    labelled = label_customer(joined, key, ref_date, b.first_active)
-    flag_names = {out: f"_f{i}" for i, out in enumerate(counts)}
-    sum_names = {out: f"_s{i}" for i, out in enumerate(sums)}
-    per_customer = entity_flags(
-        labelled.withColumnRenamed(period, "period"), ["period", "customer_type"], key,
-        {flag_names[o]: c for o, c in counts.items()},
-        {sum_names[o]: e for o, e in sums.items()})
-    aggs = count_flags(key, flag_names) + [F.sum(sum_names[o]).alias(o) for o in sums]
-    out = per_customer.groupBy("period", "customer_type").agg(*aggs)
-    return out.select("period", "customer_type", *[c for c in _order(counts, sums)])
-
-
-def _order(counts, sums):
-    names = list(counts) + list(sums)
-    return sorted(names, key=lambda n: _COLUMN_ORDER.index(n) if n in _COLUMN_ORDER else 999)
-
-
-def _assigned_population(b: Base, task_type: int) -> DataFrame:
-    return assigned_tasks(b, task_type).withColumn("cid", cid())
-
-
-def assigned_clicks(b: Base, task_type: int) -> DataFrame:
-    """Assignees of the task type, those with clicks, clicks."""
-    p = f"task{task_type}_assigned"
-    clicked = F.col("click_count").isNotNull()
-    return click_cohort(b, _assigned_population(b, task_type), "cid", "award_period", F.col("start_date"),
-                        {p: None, f"{p}_click": clicked}, {f"{p}_click_count": F.col("click_count")})
+def _assignments(b: Base, types: Sequence[int]) -> DataFrame:
+    """Task rows of the types by (client, week, status), with their number."""
+    return (b.award_weeks.where(F.col("task_type").isin(*types) & (F.col("start_date") >= F.lit(b.cfg.tasks_from)))
+            .groupBy("task_type", cid().alias("cid"), "start_date", "end_date",
+                     F.col("award_period").alias("period"), "task_status").agg(F.count(F.lit(1)).alias("_n")))
 
 
-def non_assigned_clicks(b: Base, task_type: int) -> DataFrame:
-    """Weekly traders (task 1, ``rt_lot_open_sa > 0``) or
-    depositors (task 2, deposit amount > 0) of the Monday week before the
-    award week, without a task of that type in that award week (J14)."""
+def _free(b: Base, types: Sequence[int], assigned: DataFrame) -> DataFrame:
+    """Weekly traders (task 1, ``rt_lot_open_sa > 0``) or depositors (task 2,
+    deposit amount > 0) of the Monday week before the award week, without a
+    task of that type in that award week (J14)."""
     cfg = b.cfg
-    if task_type == TRADING_TASK:
-        src, active = b.t.report_trading_deal_real, F.col("rt_lot_open_sa") > 0
-    else:
-        src, active = b.t.report_transaction_deposit, F.col("deposit_success_amount_inusd_sa") > 0
-    weekly = (src.where((F.col("report_timeframe") == WEEKLY)
-                        & (F.col("report_time") >= F.lit(cfg.trading_from))
-                        & F.col("customer_id").startswith(cfg.id_prefix) & active)
-              .select("customer_id", "report_time",
-                      yyyymmdd(F.date_add("report_time", 12)).alias("period"))
-              .distinct())
-    assigned = _assigned_population(b, task_type).select("cid", "award_period")
-    pop = weekly.join(assigned, (weekly["customer_id"] == assigned["cid"])
-                      & (weekly["period"] == assigned["award_period"]), "left_anti")
-    p = f"task{task_type}_non_assigned"
-    clicked = F.col("click_count").isNotNull()
-    return click_cohort(b, pop, "customer_id", "period", plus_days("report_time", 7),
-                        {p: None, f"{p}_click": clicked}, {f"{p}_click_count": F.col("click_count")})
-
-
-def new_this_week_rows(b: Base, task_type: int) -> DataFrame:
+    sources = {TRADING_TASK: (b.t.report_trading_deal_real, "rt_lot_open_sa"),
+               DEPOSIT_TASK: (b.t.report_transaction_deposit, "deposit_success_amount_inusd_sa")}
+    out = None
+    for n in types:
+        src, measure = sources[n]
+        weekly = (src.where((F.col("report_timeframe") == WEEKLY)
+                            & (F.col("report_time") >= F.lit(cfg.trading_from))
+                            & F.col("customer_id").startswith(cfg.id_prefix) & (F.col(measure) > 0))
+                  .select(F.lit(n).alias("task_type"), F.col("customer_id").alias("cid"), "report_time").distinct())
+        out = weekly if out is None else out.unionByName(weekly)
+    out = out.withColumn("period", yyyymmdd(F.date_add("report_time", 12)))
+    return (out.join(assigned.select("task_type", "cid", "period"), ["task_type", "cid", "period"], "left_anti")
+            .withColumn("start_date", F.date_add("report_time", 7)))
+
+
+def _newly_assigned(assignments: DataFrame) -> DataFrame:
     """Rows of ``distinct(client, week, lag(start) over client)`` where the
     previous start is not exactly 7 days earlier (or absent).
 
@@ -101,73 +68,136 @@ def new_this_week_rows(b: Base, task_type: int) -> DataFrame:
     count - map-side combined, so the window only sees each client's week
     series, never a hot client's raw rows.
     """
-    cfg = b.cfg
-    weeks = (b.award_weeks.where((F.col("task_type") == task_type)
-                                 & (F.col("start_date") >= F.lit(cfg.tasks_from)))
-             .groupBy(cid().alias("cid"), "client_id", "start_date", "end_date", "award_period")
-             .agg(F.count(F.lit(1)).alias("_n")))
-    w = Window.partitionBy("cid").orderBy("start_date", "end_date", "award_period")
+    weeks = assignments.groupBy("task_type", "cid", "start_date", "end_date", "period").agg(F.sum("_n").alias("_n"))
+    w = Window.partitionBy("task_type", "cid").orderBy("start_date", "end_date", "period")
     weeks = weeks.withColumn("_prev", F.lag("start_date").over(w))
     lags = F.when(F.col("_n") >= 2, F.array("_prev", "start_date")).otherwise(F.array("_prev"))
-    rows = weeks.select("cid", "client_id", "start_date", "end_date", "award_period",
-                        F.explode(F.array_distinct(lags)).alias("lag_date"))
+    rows = weeks.withColumn("lag_date", F.explode(F.array_distinct(lags))).drop("_n", "_prev")
     gap = F.to_date("start_date") != F.date_add(F.to_date("lag_date"), 7)
     return rows.where(gap | F.col("lag_date").isNull())
 
 
+def members(b: Base, types: Sequence[int] = (TRADING_TASK, DEPOSIT_TASK),
+            parts: Sequence[str] = (ASSIGNED, FREE, NEW, STATUS)) -> DataFrame:
+    """The rows of the populations asked for."""
+    tasks = _assignments(b, types)
+    assigned = tasks.select("task_type", "cid", "start_date", "end_date", "period").distinct()
+    found = []
+    if STATUS in parts:
+        found.append(_rows(tasks, STATUS, status=F.col("task_status")))
+    if ASSIGNED in parts:
+        found.append(_rows(assigned, ASSIGNED))
+    if NEW in parts:
+        found.append(_rows(_newly_assigned(tasks), NEW))
+    if FREE in parts:
+        found.append(_rows(_free(b, types, assigned), FREE))
+    out = found[0]
+    for part in found[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def new_this_week_rows(b: Base, task_type: int) -> DataFrame:
+    """(client rows with ``lag_date``) of M21 / M23 before the lookups."""
+    return _newly_assigned(_assignments(b, (task_type,)))
+
+
+def _per_customer(b: Base, rows: DataFrame) -> DataFrame:
+    """One row per (period, type, task type, part, customer) with flags and click sums."""
+    clicks = b.click_sums
+    joined = rows.join(clicks, (rows["cid"] == clicks["user_id"]) & (rows["period"] == clicks["week_group"]),
+                       "left").drop("user_id", "week_group")
+    seen = label_customer(joined, "cid", F.col("ref_date"), b.first_active)
+    done = F.coalesce(F.col("task_status").isin(*b.cfg.completed_statuses), F.lit(False))
+    open_ = F.coalesce(~F.col("task_status").isin(*b.cfg.completed_statuses), F.lit(False))
+    clicked = F.col("click_count").isNotNull()
+    zero = F.lit(0).cast("bigint")
+    return seen.groupBy("period", "customer_type", "task_type", "part", "cid").agg(
+        F.max(clicked).alias("clicked"), F.sum("click_count").alias("clicks"),
+        F.max(done).alias("done"), F.max(done & clicked).alias("done_clicked"),
+        F.sum(F.when(done, F.col("click_count")).otherwise(zero)).alias("done_clicks"),
+        F.max(open_).alias("open"), F.max(open_ & clicked).alias("open_clicked"),
+        F.sum(F.when(open_, F.col("click_count")).otherwise(zero)).alias("open_clicks"))
+
+
+# Block: task type, part, and its columns of _per_customer: member (None: all), clicker, clicks.
+_SOURCES = {
+    "task1_assigned": (1, ASSIGNED, None, "clicked", "clicks"),
+    "task1_non_assigned": (1, FREE, None, "clicked", "clicks"),
+    "task2_assigned": (2, ASSIGNED, None, "clicked", "clicks"),
+    "task2_non_assigned": (2, FREE, None, "clicked", "clicks"),
+    "task1_non_assigned_last_week": (1, NEW, None, "clicked", "clicks"),
+    "task1_completed": (1, STATUS, "done", "done_clicked", "done_clicks"),
+    "task1_non_completed": (1, STATUS, "open", "open_clicked", "open_clicks"),
+    "task2_non_assigned_last_week": (2, NEW, None, "clicked", "clicks"),
+    "task2_completed": (2, STATUS, "done", "done_clicked", "done_clicks"),
+    "task2_non_completed": (2, STATUS, "open", "open_clicked", "open_clicks"),
+}
+_BLOCKS = list(_SOURCES)
+
+
+def _measures(block: str, joined: bool = False) -> list[Column]:
+    """Members, clickers and clicks of a block; NULL where it has no row at all.
+
+    ``joined``: as looked up by period from another block, where a NULL period finds nothing.
+    """
+    n, part, member, clicker, clicks = _SOURCES[block]
+    mine = (F.col("task_type") == n) & (F.col("part") == part)
+    if joined:
+        mine = mine & F.col("period").isNotNull()
+
+    def count(flag):
+        hit = F.col("cid").isNotNull() if flag is None else F.col("cid").isNotNull() & F.col(flag)
+        return F.sum(F.when(mine, F.when(hit, 1).otherwise(0))).cast("bigint")
+
+    return [count(member).alias(block), count(clicker).alias(f"{block}_click"),
+            F.sum(F.when(mine, F.col(clicks))).cast("bigint").alias(f"{block}_click_count")]
+
+
+def _block_table(b: Base, blocks: Sequence[str]) -> DataFrame:
+    """The rows and columns of some blocks of one task type and part."""
+    n, part = _SOURCES[blocks[0]][:2]
+    rows = _per_customer(b, members(b, (n,), (part,)))
+    return rows.groupBy("period", "customer_type").agg(*[m for block in blocks for m in _measures(block)])
+
+
+def assigned_clicks(b: Base, task_type: int) -> DataFrame:
+    """Assignees of the task type, those with clicks, clicks."""
+    return _block_table(b, [f"task{task_type}_assigned"])
+
+
+def non_assigned_clicks(b: Base, task_type: int) -> DataFrame:
+    """Active customers without a task of the type."""
+    return _block_table(b, [f"task{task_type}_non_assigned"])
+
+
 def new_this_week_clicks(b: Base, task_type: int) -> DataFrame:
     """Assignees whose previous assignment of the type was not
     the week before."""
-    p = f"task{task_type}_non_assigned_last_week"
-    clicked = F.col("click_count").isNotNull()
-    return click_cohort(b, new_this_week_rows(b, task_type), "cid", "award_period", F.col("start_date"),
-                        {p: None, f"{p}_click": clicked}, {f"{p}_click_count": F.col("click_count")})
+    return _block_table(b, [f"task{task_type}_non_assigned_last_week"])
 
 
 def completion_clicks(b: Base, task_type: int) -> DataFrame:
     """Assignees by completed (status in completed statuses) and
     not completed; NULL status is in neither, click sums are 0-filled for
     rows of the other group (N14)."""
-    cfg = b.cfg
-    pop = (b.award_weeks.where((F.col("task_type") == task_type)
-                               & (F.col("start_date") >= F.lit(cfg.tasks_from)))
-           .select("client_id", "start_date", "end_date", "award_period", "task_status").distinct()
-           .withColumn("cid", cid()))
-    done = F.col("task_status").isin(*cfg.completed_statuses)
-    not_done = ~F.col("task_status").isin(*cfg.completed_statuses)
-    clicked = F.col("click_count").isNotNull()
-    c, n = f"task{task_type}_completed", f"task{task_type}_non_completed"
-    zero = F.lit(0).cast("bigint")
-    return click_cohort(
-        b, pop, "cid", "award_period", F.col("start_date"),
-        {c: done, f"{c}_click": clicked & done, n: not_done, f"{n}_click": clicked & not_done},
-        {f"{c}_click_count": F.when(done, F.col("click_count")).otherwise(zero),
-         f"{n}_click_count": F.when(not_done, F.col("click_count")).otherwise(zero)})
+    return _block_table(b, [f"task{task_type}_completed", f"task{task_type}_non_completed"])
 
 
-_BLOCKS = [
-    "task1_assigned", "task1_non_assigned", "task2_assigned", "task2_non_assigned",
-    "task1_non_assigned_last_week", "task1_completed", "task1_non_completed",
-    "task2_non_assigned_last_week", "task2_completed", "task2_non_completed",
-]
-_COLUMN_ORDER = [c for blk in _BLOCKS for c in (blk, f"{blk}_click", f"{blk}_click_count")]
-CLICK_REPORT_COLUMNS = ["period", "customer_type", *_COLUMN_ORDER]
+CLICK_REPORT_COLUMNS = ["period", "customer_type",
+                        *[c for blk in _BLOCKS for c in (blk, f"{blk}_click", f"{blk}_click_count")]]
 
 # Indicator code of each population block.
 CLICK_CODES = dict(zip(["a1", "a2", "a3", "a4", "b1", "b2", "b3", "b4", "b5", "b6"], _BLOCKS))
 
 
 def click_report(b: Base, sort: bool = True) -> DataFrame:
-    """Task-1 assignees drive the rows; the other seven populations are
-    left-joined on (period, customer type); no 'All customer' row."""
-    keys = ["period", "customer_type"]
-    out = assigned_clicks(b, TRADING_TASK)
-    for part in (non_assigned_clicks(b, TRADING_TASK), assigned_clicks(b, DEPOSIT_TASK),
-                 non_assigned_clicks(b, DEPOSIT_TASK), new_this_week_clicks(b, TRADING_TASK),
-                 completion_clicks(b, TRADING_TASK), new_this_week_clicks(b, DEPOSIT_TASK),
-                 completion_clicks(b, DEPOSIT_TASK)):
-        out = out.join(part, keys, "left")
-    out = out.select(*CLICK_REPORT_COLUMNS)
+    """One row per (period, customer type) that task-1 assignees have;
+    a block without rows there is NULL; no 'All customer' row."""
+    driver = F.max((F.col("task_type") == TRADING_TASK) & (F.col("part") == ASSIGNED)).alias("_driver")
+    out = (_per_customer(b, members(b)).groupBy("period", "customer_type")
+           .agg(driver, *[m for block in _BLOCKS for m in _measures(block, block != _BLOCKS[0])])
+           .where("_driver").select(*CLICK_REPORT_COLUMNS))
     return out.orderBy(F.col("period").desc(), F.col("customer_type")) if sort else out
 
 

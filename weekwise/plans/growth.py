@@ -2,22 +2,27 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weekwise.config import DEPOSIT_TASK, SUCCESS_PROPOSAL_STATUS, TRADING_TASK
 from weekwise.functions.scalar import plus_days, plus_days_ts
 from weekwise.operators.cohort import label_customer, with_subtotal
-from weekwise.operators.joins import bounded_broadcast
+from weekwise.operators.joins import CalendarSide
 from weekwise.operators.temporal import day_buckets, prev_before, range_join
 from weekwise.plans.base import cid
 from weekwise.plans.retention import Base
 
 
 def _avg_when(cond: Column, value: str, name: str) -> Column:
-    """``avg(case when cond then ifnull(value, 0) end)`` over doubles."""
-    v = F.coalesce(F.col(value).cast("double"), F.lit(0.0))
-    return F.avg(F.when(cond, v)).alias(name)
+    """``avg(case when cond then ifnull(value, 0) end)``.
+
+    The sum is an exact decimal, so the result does not depend on the order of the tasks.
+    """
+    v = F.coalesce(F.col(value).cast("decimal(28,2)"), F.lit(0).cast("decimal(28,2)"))
+    return F.try_divide(F.sum(F.when(cond, v)).cast("double"), F.count(F.when(cond, 1)).cast("double")).alias(name)
 
 
 def trading_growth_base(b: Base) -> DataFrame:
@@ -33,7 +38,8 @@ def trading_growth_base(b: Base) -> DataFrame:
              .agg(F.max("task_status").alias("task_status")))
     prev = t1.select(cid().alias("cid"), F.date_add("_day", 7).alias("start_date")).distinct() \
         .withColumn("last_week", F.lit(1))
-    lots = b.trading_weeks.select(F.col("customer_id").alias("cid"), "report_time", "rt_lot_open_sa")
+    lots = (b.trading_weeks.groupBy(F.col("customer_id").alias("cid"), "report_time")
+            .agg(F.sum("rt_lot_open_sa").cast("decimal(28,2)").alias("rt_lot_open_sa")))
     last = lots.select("cid", F.date_add("report_time", 6).alias("start_date"),
                        F.col("rt_lot_open_sa").alias("lot_last_week"))
     this = lots.select("cid", F.date_sub("report_time", 1).alias("start_date"),
@@ -83,8 +89,11 @@ def deposit_growth_base(b: Base) -> DataFrame:
              .select("client_id", "task_status", "start_date", "end_date").distinct()
              .withColumn("cid", cid()))
     weeks = tasks.select("start_date", "end_date").distinct()
+    # no window starts before this, so older deposits need not be read
+    first = cfg.growth_tasks_from - dt.timedelta(days=7)
     deposits = (b.t.bo_client_deposit_proposal
-                .where(F.col("proposal_status") == SUCCESS_PROPOSAL_STATUS)
+                .where((F.col("proposal_status") == SUCCESS_PROPOSAL_STATUS)
+                       & (F.col("create_date") >= F.lit(first).cast("timestamp")))
                 .select(cid().alias("cid"), "create_date", "amount_converted"))
     # Both windows of every award week in one day-bucketed, size-checked
     # broadcast side: the deposits are scanned and joined once.
@@ -92,9 +101,9 @@ def deposit_growth_base(b: Base) -> DataFrame:
                            F.col("start_date").alias("_lo"), F.col("end_date").alias("_hi")).unionByName(
         weeks.select("start_date", "end_date", F.lit(False).alias("_this"),
                      plus_days_ts("start_date", -7).alias("_lo"), F.col("start_date").alias("_hi")))
-    buckets = b.memo("deposit_growth_buckets", lambda: bounded_broadcast(
+    buckets = b.memo("deposit_growth_buckets", lambda: CalendarSide(
         day_buckets(windows, "_lo", "_hi"), cfg.broadcast_max_rows))
-    hits = range_join(deposits, "create_date", windows, "_lo", "_hi", cfg.broadcast_max_rows, buckets)
+    hits = range_join(deposits, "create_date", buckets, "_lo", "_hi")
     sums = (hits.groupBy("cid", "start_date", "end_date")
             .agg(F.sum(F.when(F.col("_this"), F.col("amount_converted"))).alias("amount_this_week"),
                  F.sum(F.when(~F.col("_this"), F.col("amount_converted"))).alias("amount_last_week")))

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weekwise.config import ALL_CUSTOMER, NEW_CUSTOMER, OLD_CUSTOMER
-from weekwise.functions.scalar import NULL_TEXT, format_by, format_value, period_label, pct_text
+from weekwise.functions.scalar import NULL_TEXT, format_by, format_value, growth_class, period_label
 
 # Dashboard labels (section, metric, comparison) and row codes.
 SEC_RETENTION_PCT = "I.\nRetention\nRate (%)"
@@ -100,7 +100,8 @@ def _grid(report: DataFrame, layout: list[tuple], weeks: int) -> DataFrame:
 def indicator_long(report_derived: DataFrame, weeks: int) -> DataFrame:
     """One row per weekly layout row and period: the value of the
     row's field for the row's customer type (NULL if that report row does
-    not exist, J15) and its display text."""
+    not exist, J15), its display text, and the class of the cell: a growth is
+    classed by its sign, any other missing value as null."""
     fields = sorted({r[6] for r in weekly_layout()})
     values = report_derived.select("period", "customer_type", *fields).unpivot(
         ["period", "customer_type"], fields, "field", "value")
@@ -109,7 +110,8 @@ def indicator_long(report_derived: DataFrame, weeks: int) -> DataFrame:
     return out.select(
         "row_order", "section", "metric", "comparison", "group_label", "code", "customer_type", "fmt",
         "period", period_label("period").alias("period_label"),
-        F.col("value").cast("double").alias("value"), format_by("value", "fmt").alias("text"))
+        F.col("value").cast("double").alias("value"), format_by("value", "fmt").alias("text"),
+        F.when((F.col("fmt") == "growth") | F.col("value").isNull(), growth_class("value")).alias("cls"))
 
 
 def click_indicator_long(click_derived: DataFrame, weeks: int) -> DataFrame:
@@ -142,18 +144,32 @@ GROUP_SUB_ROWS = [
 ]
 
 
-def task_group_long(group_derived: DataFrame, weeks: int) -> DataFrame:
-    """M33 (long): per group, sub-row and period of the group report:
-    participants, click rate, clickers, clicks and texts."""
-    periods = last_periods(group_derived, "award_period", weeks)
-    rows = group_derived.join(periods, "award_period", "left_semi")
+def _labels(report: DataFrame, col: str, weeks: int) -> list[str]:
+    """The periods shown, oldest first.  They are calendar weeks, so they may come to the driver."""
+    return sorted(r[0] for r in last_periods(report, col, weeks).collect())
+
+
+def task_group_long(group_derived: DataFrame, weeks: int, periods: list[str] | None = None) -> DataFrame:
+    """M33 (long): every group of the whole report x sub-row x period shown:
+    participants, click rate, clickers, clicks and texts.
+
+    The limit cuts the periods only: a group without a row in them keeps its
+    cells, which are NULL and show the em dash.
+    """
+    periods = _labels(group_derived, "award_period", weeks) if periods is None else periods
+    shown = F.array(*[F.lit(p) for p in periods]).cast("array<string>")
+    grid = (group_derived.select("group_name").distinct()
+            .select("group_name", F.explode(shown).alias("award_period")))
+    values = group_derived.withColumnsRenamed({"group_name": "_group", "award_period": "_period"})
+    cells = grid.join(values, (F.col("award_period") == F.col("_period"))
+                      & F.col("group_name").eqNullSafe(F.col("_group")), "left")
     subs = F.array(*[F.struct(F.lit(o).alias("sub_order"), F.lit(lbl).alias("sub_label"),
                               F.col(p).cast("bigint").alias("participants"),
                               F.col(r).cast("double").alias("click_rate"),
                               F.col(u).cast("bigint").alias("clickers"),
                               F.col(c).cast("bigint").alias("clicks"))
                      for o, lbl, p, r, u, c in GROUP_SUB_ROWS])
-    out = rows.select("award_period", "group_name", F.inline(subs))
+    out = cells.select("award_period", "group_name", F.inline(subs))
     return out.select(
         "group_name", "sub_order", "sub_label", F.col("award_period").alias("period"),
         period_label("award_period").alias("period_label"),
@@ -164,33 +180,42 @@ def task_group_long(group_derived: DataFrame, weeks: int) -> DataFrame:
         format_value("clicks", "count").alias("clicks_text"))
 
 
-def pivot_by_period(long: DataFrame, keys: list[str], texts: dict[str, str]) -> DataFrame:
-    """M31 / M32 / M33 (pivot): one column per period label (per text when
-    several); missing cells show the em dash.  Spark finds the distinct
-    period labels itself (bounded by the number of weeks shown)."""
+def pivot_by_period(long: DataFrame, keys: list[str], texts: dict[str, str], periods: list[str]) -> DataFrame:
+    """M31 / M32 / M33 (pivot): one column per period shown (per text when
+    several), named by its label; missing cells show the em dash."""
     aggs = [F.first(src).alias(alias) for alias, src in texts.items()]
-    wide = long.groupBy(*keys).pivot("period_label").agg(*aggs)
+    wide = long.groupBy(*keys).pivot("period", periods).agg(*aggs)
+    names = {c: label for p in periods for c, label in (
+        [(p, label_of(p))] if len(texts) == 1 else [(f"{p}_{t}", f"{label_of(p)}_{t}") for t in texts])}
+    wide = wide.withColumnsRenamed(names)
     fill = [c for c in wide.columns if c not in keys]
     return wide.fillna(NULL_TEXT, subset=fill) if fill else wide
 
 
+def label_of(period: str) -> str:
+    """F12 on the driver, for column names."""
+    return f"{period[:4]}-{period[4:6]}-{period[6:]}" if len(period) == 8 else period
+
+
 def indicator_pivot(report_derived: DataFrame, weeks: int) -> DataFrame:
     keys = ["row_order", "section", "metric", "comparison", "group_label", "code"]
-    return pivot_by_period(indicator_long(report_derived, weeks), keys, {"text": "text"}).orderBy("row_order")
+    return pivot_by_period(indicator_long(report_derived, weeks), keys, {"text": "text"},
+                           _labels(report_derived, "period", weeks)).orderBy("row_order")
 
 
 def click_indicator_pivot(click_derived: DataFrame, weeks: int) -> DataFrame:
     keys = ["row_order", "section", "metric", "comparison", "group_label", "code"]
     return pivot_by_period(click_indicator_long(click_derived, weeks), keys,
-                           {"rate": "rate_text", "clickers": "clickers_text", "clicks": "clicks_text"}
-                           ).orderBy("row_order")
+                           {"rate": "rate_text", "clickers": "clickers_text", "clicks": "clicks_text"},
+                           _labels(click_derived, "period", weeks)).orderBy("row_order")
 
 
 def task_group_pivot(group_derived: DataFrame, weeks: int) -> DataFrame:
     keys = ["group_name", "sub_order", "sub_label"]
-    return pivot_by_period(task_group_long(group_derived, weeks), keys,
+    periods = _labels(group_derived, "award_period", weeks)
+    return pivot_by_period(task_group_long(group_derived, weeks, periods), keys,
                            {"participants": "participants_text", "rate": "rate_text",
-                            "clickers": "clickers_text", "clicks": "clicks_text"}
+                            "clickers": "clickers_text", "clicks": "clicks_text"}, periods
                            ).orderBy("group_name", "sub_order")
 
 
@@ -201,5 +226,4 @@ def latest_period(report: DataFrame) -> DataFrame:
 
 
 __all__ = ["indicator_long", "indicator_pivot", "click_indicator_long", "click_indicator_pivot",
-           "task_group_long", "task_group_pivot", "latest_period", "weekly_layout", "click_layout",
-           "pct_text"]
+           "task_group_long", "task_group_pivot", "latest_period", "weekly_layout", "click_layout"]

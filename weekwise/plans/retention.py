@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weekwise.config import SUCCESS_PROPOSAL_STATUS, TRADING_TASK, ReportConfig
-from weekwise.functions.scalar import plus_days, plus_days_ts
+from weekwise.config import SUCCESS_PROPOSAL_STATUS, TRADING_TASK, WEEKLY, ReportConfig
+from weekwise.functions.scalar import plus_days, plus_days_ts, yyyymmdd
 from weekwise.operators.cohort import count_flags, entity_flags, label_customer, with_subtotal
-from weekwise.operators.joins import bounded_broadcast
+from weekwise.operators.joins import CalendarSide
 from weekwise.operators.temporal import day_buckets, next_after, range_join
-from weekwise.plans.base import award_weeks, cid, first_active, trading_weeks
+from weekwise.plans.base import award_bounds, award_weeks, cid, first_active, trading_weeks
 from weekwise.sources.tables import Tables
 
 
@@ -26,15 +27,23 @@ class Base:
     def __init__(self, t: Tables, cfg: ReportConfig):
         self.t, self.cfg = t, cfg
         self._fa = self._aw = self._tw = self._cs = None
-        self._memo: dict[str, DataFrame] = {}
+        self._memo: dict[str, DataFrame | CalendarSide] = {}
         self._persisted: list[DataFrame] = []
 
-    def memo(self, key: str, build) -> DataFrame:
-        """A relation built once per run (e.g. a size-checked broadcast side)."""
+    def memo(self, key: str, build) -> DataFrame | CalendarSide:
+        """A cached relation built once per run; ``unpersist`` releases it."""
         if key not in self._memo:
             self._memo[key] = build()
         return self._memo[key]
 
+    def kept(self, key: str, build) -> DataFrame:
+        """``memo`` of a relation that several plans of the run read."""
+        return self.memo(key, lambda: build().persist(StorageLevel.MEMORY_AND_DISK))
+
+    @property
+    def is_persisted(self) -> bool:
+        return bool(self._persisted)
+
     def unpersist(self) -> None:
         for df in self._persisted:
             df.unpersist()
@@ -42,9 +51,10 @@ class Base:
             df.unpersist()
         self._persisted.clear()
         self._memo.clear()
+        self._fa = self._aw = self._tw = self._cs = None
 
     def persist(self, mode: str = "cache") -> "Base":
-        from pyspark import StorageLevel
+        """Keep the shared relations; ``"checkpoint"`` needs the session's ``spark.checkpoint.dir``."""
         for attr in ("first_active", "award_weeks", "trading_weeks", "click_sums"):
             df = getattr(self, attr)
             if mode == "checkpoint":
@@ -59,11 +69,14 @@ class Base:
     @property
     def click_sums(self) -> DataFrame:
         """Total clicks per (user, award week); NULL when every click
-        count is NULL.  Combined map-side, so one very active user does not
-        skew the shuffle."""
+        count is NULL.  Only weeks that a population of the report can have
+        are read on; the sum is combined map-side, so one very active user
+        does not skew the shuffle."""
         if self._cs is None:
-            self._cs = (self.t.smart_reward_client_event.groupBy("user_id", "week_group")
-                        .agg(F.sum("click_count").alias("click_count")))
+            periods = self.memo("click_periods", lambda: CalendarSide(
+                click_periods(self), self.cfg.broadcast_max_rows))
+            rows = periods.join(self.t.smart_reward_client_event, ["week_group"], ["user_id"], "left_semi")
+            self._cs = rows.groupBy("user_id", "week_group").agg(F.sum("click_count").alias("click_count"))
         return self._cs
 
     @property
@@ -75,7 +88,8 @@ class Base:
     @property
     def award_weeks(self) -> DataFrame:
         if self._aw is None:
-            self._aw = award_weeks(self.t, self.cfg)
+            bounds = self.memo("award_bounds", lambda: award_bounds(self.t, self.cfg))
+            self._aw = award_weeks(self.t, bounds)
         return self._aw
 
     @property
@@ -85,6 +99,18 @@ class Base:
         return self._tw
 
 
+def click_periods(b: Base) -> DataFrame:
+    """(week_group): award weeks of the assignments and of the weekly rows that the click report counts."""
+    t, cfg = b.t, b.cfg
+    weeks = b.award_weeks.where(F.col("start_date") >= F.lit(cfg.tasks_from)).select(
+        F.col("award_period").alias("week_group")).distinct()
+    for src in (t.report_trading_deal_real, t.report_transaction_deposit):
+        weekly = src.where((F.col("report_timeframe") == WEEKLY) & (F.col("report_time") >= F.lit(cfg.trading_from)))
+        weeks = weeks.unionByName(weekly.select("report_time").distinct().select(
+            yyyymmdd(F.date_add("report_time", 12)).alias("week_group")))
+    return weeks.where("week_group is not null").distinct()
+
+
 def assigned_tasks(b: Base, task_type: int | None) -> DataFrame:
     """Distinct (client, award week) assignments from the first award week
     on; ``task_type=None`` keeps every type."""
@@ -147,11 +173,11 @@ def deposit_week_events(b: Base) -> DataFrame:
                        & (F.col("create_date") >= F.lit(cfg.deposits_from)))
                 .select("create_date", "client_id"))
     windows = bounds.select("start_date", plus_days_ts("start_date", -7).alias("_lo"))
-    buckets = b.memo("deposit_week_buckets", lambda: bounded_broadcast(
+    buckets = b.memo("deposit_week_buckets", lambda: CalendarSide(
         day_buckets(windows, "_lo", "start_date"), cfg.broadcast_max_rows))
-    hits = (range_join(deposits, "create_date", windows, "_lo", "start_date", cfg.broadcast_max_rows,
-                       buckets=buckets)
-            .select("start_date", "client_id").distinct())
+    # kept: the boundaries without a deposit are found from the same pass
+    hits = b.kept("deposit_hits", lambda: range_join(deposits, "create_date", buckets, "_lo", "start_date")
+                  .select("start_date", "client_id").distinct())
     hit_bounds = hits.select("start_date").distinct()
     empty = (bounds.join(hit_bounds, bounds["start_date"] == hit_bounds["start_date"], "left_anti")
              .select("start_date", F.lit(None).cast("bigint").alias("client_id")))

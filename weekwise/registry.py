@@ -11,40 +11,53 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weekwise.config import FIXTURE, ReportConfig
+from weekwise.config import DEPOSIT_TASK, FIXTURE, TRADING_TASK, ReportConfig
 from weekwise.functions.canonical import canonical
-from weekwise.config import DEPOSIT_TASK, TRADING_TASK
+from weekwise.session import report_session
 from weekwise.plans import clicks, groups, growth, present, report, retention
 from weekwise.plans.retention import Base
 from weekwise.sources.fixture import fixture_tables
 
 
-_BASES: dict[tuple, Base] = {}
+_BASES: dict[tuple, tuple[tuple, Base]] = {}
+
+
+def _state(spark: SparkSession, path: str) -> tuple:
+    """Names, sizes and times of a table's files: another state is another snapshot."""
+    jvm = spark._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    return tuple(sorted((s.getPath().toString(), s.getLen(), s.getModificationTime()) for s in fs.listStatus(root)))
 
 
 def fixture_base(spark: SparkSession, sf_dir: str, cfg: ReportConfig = FIXTURE) -> Base:
-    """One persisted ``Base`` per (session, folder, config): the source tables
-    of a folder are a daily snapshot, so every report query of the session
-    shares the award weeks, first-active dates, trading weeks and click
-    totals instead of recomputing them per branch."""
-    key = (id(spark), spark.sparkContext.applicationId, sf_dir, cfg)
-    base = _BASES.get(key)
-    if base is None:
-        base = Base(fixture_tables(spark, sf_dir), cfg).persist("cache")
-        _BASES[key] = base
+    """One persisted ``Base`` per (application, folder, config): the source
+    tables of a folder are a daily snapshot, so every report query shares the
+    award weeks, first-active dates, trading weeks and click totals instead of
+    recomputing them per branch.  When the folder's files change, the base of
+    the old ones is released and a new one is made."""
+    key = (spark.sparkContext.applicationId, sf_dir, cfg)
+    state = _state(spark, f"{sf_dir}/events.parquet")
+    kept = _BASES.get(key)
+    if kept is not None and kept[0] == state:
+        return kept[1]
+    if kept is not None:
+        kept[1].unpersist()
+    base = Base(fixture_tables(spark, sf_dir), cfg).persist("cache")
+    _BASES[key] = (state, base)
     return base
 
 
 def reset() -> None:
     """Drop the memoised bases (and their persisted relations)."""
-    for base in _BASES.values():
+    for _, base in _BASES.values():
         base.unpersist()
     _BASES.clear()
 
 
 def _q(fn: Callable[[Base], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return canonical(fn(fixture_base(spark, sf_dir)))
+        return canonical(fn(fixture_base(report_session(spark), sf_dir)))
     run.__name__ = getattr(fn, "__name__", "query")
     run.__doc__ = fn.__doc__
     return run
@@ -90,18 +103,31 @@ GROUPS: dict[str, Callable[[Base], DataFrame]] = {
 }
 
 
+def _weekly(b: Base) -> DataFrame:
+    """The finished weekly report, which the indicator tables read more than once."""
+    return b.kept("weekly_report", lambda: report.weekly_report_derived(b, sort=False))
+
+
+def _clicks(b: Base) -> DataFrame:
+    return b.kept("click_report", lambda: clicks.click_report_derived(b, sort=False))
+
+
+def _groups(b: Base) -> DataFrame:
+    return b.kept("group_report", lambda: groups.task_group_clicks_derived(b, sort=False))
+
+
+# The last queries show fewer periods than the reports have.
 PRESENT: dict[str, Callable[[Base], DataFrame]] = {
-    "indicator_long": lambda b: present.indicator_long(report.weekly_report_derived(b, sort=False), b.cfg.weeks),
-    "indicator_pivot": lambda b: present.indicator_pivot(report.weekly_report_derived(b, sort=False), b.cfg.weeks),
-    "latest_period": lambda b: present.latest_period(report.weekly_report(b, sort=False)),
-    "click_indicator_long": lambda b: present.click_indicator_long(
-        clicks.click_report_derived(b, sort=False), b.cfg.weeks),
-    "click_indicator_pivot": lambda b: present.click_indicator_pivot(
-        clicks.click_report_derived(b, sort=False), b.cfg.weeks),
-    "task_group_long": lambda b: present.task_group_long(
-        groups.task_group_clicks_derived(b, sort=False), b.cfg.weeks),
-    "task_group_pivot": lambda b: present.task_group_pivot(
-        groups.task_group_clicks_derived(b, sort=False), b.cfg.weeks),
+    "indicator_long": lambda b: present.indicator_long(_weekly(b), b.cfg.weeks),
+    "indicator_pivot": lambda b: present.indicator_pivot(_weekly(b), b.cfg.weeks),
+    "latest_period": lambda b: present.latest_period(_weekly(b)),
+    "click_indicator_long": lambda b: present.click_indicator_long(_clicks(b), b.cfg.weeks),
+    "click_indicator_pivot": lambda b: present.click_indicator_pivot(_clicks(b), b.cfg.weeks),
+    "task_group_long": lambda b: present.task_group_long(_groups(b), b.cfg.weeks),
+    "task_group_pivot": lambda b: present.task_group_pivot(_groups(b), b.cfg.weeks),
+    "indicator_long_2_weeks": lambda b: present.indicator_long(_weekly(b), 2),
+    "click_indicator_long_2_weeks": lambda b: present.click_indicator_long(_clicks(b), 2),
+    "task_group_long_2_weeks": lambda b: present.task_group_long(_groups(b), 2),
 }
 
 
@@ -119,6 +145,6 @@ def oracle_sql() -> dict[str, str]:
     out = {name: weekly_oracle(name) for name in WEEKLY_QUERIES}
     out.update({name: click_oracle(name) for name in CLICK_QUERIES})
     out.update({name: group_oracle(name) for name in GROUP_QUERIES})
-    from weekwise.oracle.present_sql import PIVOT_QUERIES, PRESENT_QUERIES, present_oracle
-    out.update({name: present_oracle(name) for name in [*PRESENT_QUERIES, *PIVOT_QUERIES]})
+    from weekwise.oracle.present_sql import PRESENT_QUERIES, present_oracle
+    out.update({name: present_oracle(name) for name in PRESENT_QUERIES})
     return out

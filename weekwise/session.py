@@ -6,8 +6,6 @@ are for tests, the bench and command-line use.
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Settings the reports rely on: UTC session zone (dates are derived from
@@ -33,24 +31,27 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    apply_report_conf(spark)
-    ensure_checkpoint_dir(spark)
     return spark
 
 
-def apply_report_conf(spark: SparkSession) -> None:
-    for k, v in REPORT_CONF.items():
-        spark.conf.set(k, v)
+_SESSIONS: dict[tuple, SparkSession] = {}
+
 
+def report_session(spark: SparkSession) -> SparkSession:
+    """A session with the reports' settings.
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's checkpoint folder, creating a scratch one only
-    when the session names none (local tests)."""
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="weekwise-ckpt-")
-    spark.sparkContext.setCheckpointDir(configured)
-    return spark.sparkContext.getCheckpointDir() or configured
+    It is the caller's if that has them; otherwise one of the same
+    application with the caller's other SQL settings, so that the caller's
+    are left alone.
+    """
+    if all(spark.conf.get(k, None) == v for k, v in REPORT_CONF.items()):
+        return spark
+    settings = {k: v for k, v in spark.conf.getAll.items() if k.startswith("spark.sql.")} | REPORT_CONF
+    key = (spark.sparkContext.applicationId, tuple(sorted(settings.items())))
+    if key not in _SESSIONS:
+        session = spark.newSession()
+        for k, v in settings.items():
+            if session.conf.isModifiable(k):
+                session.conf.set(k, v)
+        _SESSIONS[key] = session
+    return _SESSIONS[key]

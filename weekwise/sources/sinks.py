@@ -28,9 +28,14 @@ def write_report_json(df: DataFrame, path: str) -> int:
     return int(obs.get["n"])
 
 
-def read_report_json(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """Read a report back (the dashboard's input)."""
-    reader = spark.read
+def read_report_json(spark: SparkSession, path: str, schema: T.StructType | None = None,
+                     multi_line: bool = False) -> DataFrame:
+    """Read a report back (the dashboard's input).
+
+    JSON lines as ``write_report_json`` writes them; ``multi_line`` for files
+    that each hold one array of rows, over one line or several.
+    """
+    reader = spark.read.option("multiLine", multi_line)
     if schema is not None:
         reader = reader.schema(schema)
     return reader.json(path)
@@ -38,12 +43,20 @@ def read_report_json(spark: SparkSession, path: str, schema: T.StructType | None
 
 def export_reports(base, out_dir: str) -> dict[str, int]:
     """K1-K3: the three reports with their derived columns, sorted as the
-    reference sorts them.  Returns rows written per report."""
+    reference sorts them.  Returns rows written per report.  A base that is
+    not persisted is, for the time of the export."""
     from weekwise.plans.clicks import click_report_derived
     from weekwise.plans.groups import task_group_clicks_derived
     from weekwise.plans.report import weekly_report_derived
-    return {
-        WEEKLY_OUT: write_report_json(weekly_report_derived(base), f"{out_dir}/{WEEKLY_OUT}"),
-        CLICK_OUT: write_report_json(click_report_derived(base), f"{out_dir}/{CLICK_OUT}"),
-        GROUP_OUT: write_report_json(task_group_clicks_derived(base), f"{out_dir}/{GROUP_OUT}"),
-    }
+    own = not base.is_persisted
+    if own:
+        base.persist("cache")
+    try:
+        return {
+            WEEKLY_OUT: write_report_json(weekly_report_derived(base), f"{out_dir}/{WEEKLY_OUT}"),
+            CLICK_OUT: write_report_json(click_report_derived(base), f"{out_dir}/{CLICK_OUT}"),
+            GROUP_OUT: write_report_json(task_group_clicks_derived(base), f"{out_dir}/{GROUP_OUT}"),
+        }
+    finally:
+        if own:
+            base.unpersist()
