@@ -133,15 +133,15 @@ def drop_duplicates(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFram
     """
     scratch = Scratch(docs.sparkSession, "dedup-kept")
     groups = duplicate_groups(docs, block_bytes)
-    kept = scratch.save(groups.filter(F.col("doc_id").eqNullSafe(F.col("keep_id")))
-                        .select(F.col("doc_id").alias("kept_id"), F.col("sha").alias("kept_sha"), "copies"), "kept")
-    sha = F.unhex(F.sha2(F.encode(lower_ascii(F.col("text")), "UTF-8"), 256))
-    same = docs["doc_id"].eqNullSafe(F.col("kept_id")) & (sha == F.col("kept_sha"))
-    out = docs.join(kept, same, "left_semi")
-    if kept.filter("copies > 1").isEmpty():
-        return out
-    once = docs.join(kept.filter("copies = 1"), same, "left_semi")
-    more = docs.join(kept.filter("copies > 1"), same, "left_semi")
-    text = lower_ascii(F.col("text"))
-    name = fresh(docs.columns, "dedup_text")
-    return once.unionByName(more.withColumn(name, text).dropDuplicates(["doc_id", name]).drop(name))
+    id_, sha, copies = (fresh(docs.columns, c) for c in ("kept_id", "kept_sha", "copies"))
+    kept = scratch.save(groups.filter(F.col("doc_id").eqNullSafe(F.col("keep_id"))).select(
+        F.col("doc_id").alias(id_), F.col("sha").alias(sha), F.col("copies").alias(copies)), "kept")
+    own = F.unhex(F.sha2(F.encode(lower_ascii(docs["text"]), "UTF-8"), 256))
+    same = docs["doc_id"].eqNullSafe(F.col(id_)) & (own == F.col(sha))
+    repeated = F.col(copies) > 1
+    if kept.filter(repeated).isEmpty():
+        return docs.join(kept.hint("merge"), same, "left_semi")
+    once = docs.join(kept.filter(~repeated).hint("merge"), same, "left_semi")
+    more = docs.join(kept.filter(repeated).hint("merge"), same, "left_semi")
+    text = fresh(docs.columns, "dedup_text")
+    return once.unionByName(more.withColumn(text, lower_ascii(F.col("text"))).dropDuplicates(["doc_id", text]).drop(text))
