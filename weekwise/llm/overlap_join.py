@@ -284,7 +284,7 @@ class Index:
     """Inverted lists of some sets: the lists one after the other, in the order of their grams."""
 
     def __init__(self, grams: list[np.ndarray]) -> None:
-        self.sizes = np.array([len(g) for g in grams])
+        self.sizes = np.array([len(g) for g in grams], dtype=np.int64)
         flat = np.concatenate(grams) if grams else np.zeros(0, np.int64)
         owner = np.repeat(np.arange(len(grams)), self.sizes)
         order = np.lexsort((owner, flat))

@@ -8,6 +8,8 @@ with the length of a text beyond one byte-sized mask and its words.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -66,8 +68,22 @@ def any_tokens() -> np.ndarray:
     return kind
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a Python worker idles on after its task."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def chunks(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
     """Slices with about ``CHUNK_BYTES`` of text; a longer text goes alone."""
+    yield from _slices(batches, column)
+    give_back()
+
+
+def _slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
         ends = np.cumsum(sizes, dtype=np.int64)

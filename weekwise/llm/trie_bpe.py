@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from weekwise.llm.text_arrays import chunks
 
-KEPT_WORDS = 500_000
+KEPT_WORDS = 300_000
 KEPT_PAIRS = 500_000
 SEGMENT = 1 << 18        # characters handled at once
 NEVER = 1 << 60          # later than every merge
