@@ -343,9 +343,14 @@ def labelled_pages(pages: list[str]) -> list[tuple[list[list[str]], np.ndarray]]
 
 
 def fit(pages: DataFrame, rows: int = FIT_PAGES) -> Field:
-    """A field from at most ``rows`` pages, chosen by a hash."""
-    sample = (pages.filter(F.length("html").between(1, FIT_CHARS))
-              .orderBy(F.xxhash64("page_id", "url"), "html").limit(rows).select("html").collect())
+    """A field from at most ``rows`` pages, those with the smallest hashes.
+
+    The hashes are ranked first, so that tasks send no pages but the chosen ones.
+    """
+    fit_for = pages.select(F.xxhash64("page_id", "url").alias("rank"), "html").filter(
+        F.length("html").between(1, FIT_CHARS))
+    last = fit_for.select("rank").orderBy("rank").limit(rows).agg(F.max("rank")).head()[0]
+    sample = fit_for.filter(F.col("rank") <= F.lit(last)).orderBy("rank", "html").limit(rows).collect()
     return Field(labelled_pages([r["html"] for r in sample]))
 
 
