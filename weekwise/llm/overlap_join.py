@@ -57,8 +57,8 @@ THRESHOLD = (90, 100)    # intersection / union
 AGREE = 8                # parts that linked sets agree in, at least
 FILTER_ROUNDS = 1
 PIVOT_SETS = 256         # sets searched with a pivot in one index
-BLOCK_SETS = 1024        # sets of one index in step 4
-INDEX_GRAMS = 2_000_000  # grams of one index, about
+BLOCK_SETS = 8192        # sets of one index in step 4
+INDEX_GRAMS = 4_000_000  # grams of one index, about
 PROBED = 256             # long lists that are probed at once
 HEAP_ENTRIES = 2000      # entries of short lists that a heap merges
 
