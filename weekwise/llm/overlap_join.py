@@ -23,8 +23,9 @@ Spark decides which documents meet in one index:
    is rare, has buckets for these parts too, as two such sets may share no others.
    Sets with fewer shared buckets than they need go, and with them their
    buckets; this leaves few sets that merely share a passage.
-3. In every bucket the smallest member is a pivot; all members are searched
-   with it.  That is linear in the bucket, and joins most groups of copies.
+3. In every bucket the smallest member is a pivot; it searches the members
+   that have it as pivot in as many buckets as they need to share.  That is
+   linear in the buckets, and joins most groups of copies.
 4. Only buckets whose members then belong to several components go on.  They
    form blocks, in which every member queries the members of other components.
    Blocks of more than ``BLOCK_SETS`` sets are dealt to pairs of chunks.
@@ -329,9 +330,16 @@ def _links(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
                                        "b": pa.array([b for _, b in pairs], pa.int64())})
 
 
-def _pivot_links(members: DataFrame, grams: DataFrame, threshold: tuple[int, int], scratch: Scratch) -> DataFrame:
-    """Links between members of a bucket and its pivot."""
-    pairs = scratch.save(members.filter("sid <> pivot").select("pivot", "sid").distinct(), "pivot-pairs")
+def _pivot_links(members: DataFrame, needs: DataFrame, grams: DataFrame, threshold: tuple[int, int],
+                 scratch: Scratch) -> DataFrame:
+    """Links between members of buckets and a pivot they have in as many buckets as they need to share.
+
+    Linked sets that share buckets of two only are found here, as they have
+    each other in all of them; other links are found here or in the blocks.
+    """
+    often = members.filter("sid <> pivot").groupBy("pivot", "sid").agg(F.count("*").alias("has"))
+    pairs = scratch.save(often.join(needs.hint("merge"), "sid").filter("has >= need").select("pivot", "sid"),
+                         "pivot-pairs")
     sizes = pairs.join(grams.select("sid", "n").hint("merge"), "sid").groupBy("pivot").agg(
         F.count("*").alias("weight"), F.sum("n").alias("n"))
     sizes = sizes.withColumn("parts", F.ceil(F.greatest(
@@ -462,7 +470,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, threshold: tuple[in
     scratch.drop(wanted)
     scratch.sweep()
 
-    links = scratch.save(_pivot_links(members, grams, threshold, scratch), "pivot-links")
+    links = scratch.save(_pivot_links(members, sets.select("sid", "need"), grams, threshold, scratch),
+                         "pivot-links")
     roots = components(links, scratch)
     rooted = scratch.save(members.filter("size > 2")
                           .join(roots.withColumnRenamed("id", "sid"), "sid", "left")
