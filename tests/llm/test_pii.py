@@ -62,6 +62,14 @@ def test_base_spans_and_discovery(spark):
     assert not any(texts.values())
 
 
+def test_unrelated_documents_remove_no_marks(spark):
+    rows = [(k, f"please call me at +1 988 555 {2000 + k} thanks") for k in range(8)]
+    rows += [(100, "please call me at 988-555-3000, thanks")]
+    rows += [(1000 + k, " ".join(f"u{k}x{j}@b.c" for j in range(400))) for k in range(21)]
+    spans = {r.doc_id: r.spans for r in pii.personal_data(documents(spark, rows)).collect()}
+    assert spans[100] == "phone:18:30"
+
+
 def test_empty_and_edges(spark):
     assert pii.personal_data(documents(spark, [])).collect() == []
     assert pii.personal_data(documents(spark, edge_rows())).count() == len(edge_rows())

@@ -9,10 +9,11 @@ instances, an instance's reliability follows from its patterns, seeds being
 certain; a few rounds of joins and sums settle both.  Patterns of high
 confidence and support then mark the identifiers that no fixed pattern finds.
 
-A pattern needs a ``1 / MOST_PATTERNS`` share of all seeds, so there are at
-most ``MOST_PATTERNS`` patterns, and these alone reach the driver.  The base
-and the marks are found within the row; only the edges, summed by pattern and
-instance before the shuffle, cross the network.
+A pattern needs ``LEAST_SEEDS`` different seeds of its kind, at every size of
+the table, and patterns and instances meet in joins that deal out the hot ones;
+none is held in the driver.  The base and the tokens are found within the row
+and written once under a row number; the edges, summed by pattern and instance
+before the shuffle, and the identifier-like tokens cross the network.
 
 Defined cases: null texts are empty; rows are read one by one, so repeated
 rows and repeated or null doc_ids give a row each.
@@ -20,12 +21,10 @@ rows and repeated or null doc_ids give a row each.
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weekwise.llm.common import Scratch
+from weekwise.llm.common import Scratch, salted_lookup
 
 KINDS = ("email", "ip", "card", "phone")
 # The contract's patterns.  A run that cannot match is tried from its start
@@ -50,8 +49,7 @@ LOOKS = {
 }
 ROUNDS = 3
 CONFIDENCE = 0.8
-LEAST_SEEDS = 5          # different seeds that a pattern has met
-MOST_PATTERNS = 1000
+LEAST_SEEDS = 5          # different seeds of a kind that a pattern has met
 
 APPENDED = 256           # matches that one array is built of
 SPAN = "array<struct<start:int,end:int,found:string>>"
@@ -180,67 +178,67 @@ def with_tokens(base: DataFrame) -> DataFrame:
     return raw.withColumn("tokens", F.filter(tokens, lambda t: ~t["inside"] & (t["pattern"] != ""))).drop("raw")
 
 
-def confident_patterns(base: DataFrame, scratch: Scratch, rounds: int = ROUNDS,
+def confident_patterns(rows: DataFrame, scratch: Scratch, rounds: int = ROUNDS,
                        confidence: float = CONFIDENCE, least_seeds: int = LEAST_SEEDS) -> DataFrame:
     """(kind, pattern, confidence): the patterns that mark unseen identifiers."""
     # explode would put a filter on all that makes the tokens below it, once for each use
-    token = with_tokens(base).select(F.explode_outer("tokens").alias("t")).filter("t is not null")
+    token = rows.select(F.explode_outer("tokens").alias("t")).filter("t is not null")
     edges = scratch.save(token.groupBy(F.col("t.pattern").alias("pattern"), F.col("t.found").alias("instance"),
                                        F.col("t.seed").alias("seed")).agg(F.count("*").alias("n")), "edges")
-    seeds = edges.filter("seed is not null").select(F.countDistinct("seed", "instance")).head()[0]
-    least = max(least_seeds, -(-seeds // MOST_PATTERNS))
-    # a pattern that has met too few seeds never counts; what stays is bounded by MOST_PATTERNS a kind
-    met = edges.filter("seed is not null").groupBy(F.col("seed").alias("kind"), "pattern").agg(
-        F.approx_count_distinct("instance", 0.02).alias("seeds")).filter(F.col("seeds") >= least)
-    met = scratch.save(met.select("kind", "pattern"), "patterns")
-    near = scratch.save(edges.join(F.broadcast(met), "pattern"), "near")
-    reliable = near.select("instance", "kind", (F.col("seed") == F.col("kind")).cast("double").alias("known"))
-    reliable = reliable.groupBy("instance", "kind").agg(F.coalesce(F.max("known"), F.lit(0.0)).alias("r"))
+    # an edge is there once, so a pattern's edges of a kind count its different seeds
+    met = edges.groupBy("pattern").agg(F.count("*").alias("weight"),
+                                       *[F.count(F.when(F.col("seed") == k, 1)).alias(k) for k in KINDS])
+    kinds = F.array_compact(F.array(*[F.when(F.col(k) >= least_seeds, F.lit(k)) for k in KINDS]))
+    met = scratch.save(met.select("pattern", "weight", kinds.alias("kinds")).filter(F.size("kinds") > 0), "patterns")
+    near = scratch.save(salted_lookup(edges, met, ["pattern"], "weight", ["instance"])
+                        .select("pattern", "instance", "seed", "n", F.explode("kinds").alias("kind")), "near")
+    known = F.max((F.col("seed") == F.col("kind")).cast("double"))
+    reliable = near.groupBy("instance", "kind").agg(F.coalesce(known, F.lit(0.0)).alias("r"), F.count("*").alias("weight"))
     conf = None
     for _ in range(rounds):
+        if conf is not None:
+            # independent patterns: an instance fails only if all its patterns do
+            reliable = salted_lookup(near, conf, ["kind", "pattern"], "weight", ["instance"]).groupBy("instance", "kind").agg(
+                F.max(F.when(F.col("seed") == F.col("kind"), 1.0)).alias("known"), F.count("*").alias("weight"),
+                (1 - F.exp(F.sum(F.log(1 - F.least("confidence", F.lit(0.999)))))).alias("r"))
+            reliable = reliable.select("instance", "kind", F.coalesce("known", "r").alias("r"), "weight")
         reliable = scratch.save(reliable, "instances")
         conf = scratch.save(
-            near.join(reliable, ["instance", "kind"]).groupBy("kind", "pattern").agg(
-                (F.sum(F.col("r") * F.col("n")) / (F.sum("n") + 1)).alias("confidence")), "confidence")
-        # independent patterns: an instance fails only if all its patterns do
-        reliable = near.join(F.broadcast(conf), ["kind", "pattern"]).groupBy("instance", "kind").agg(
-            F.max(F.when(F.col("seed") == F.col("kind"), 1.0)).alias("known"),
-            (1 - F.exp(F.sum(F.log(1 - F.least("confidence", F.lit(0.999)))))).alias("r"))
-        reliable = reliable.select("instance", "kind", F.coalesce("known", "r").alias("r"))
-    return conf.filter(F.col("confidence") >= confidence)
+            salted_lookup(near, reliable, ["instance", "kind"], "weight", ["pattern"]).groupBy("kind", "pattern").agg(
+                (F.sum(F.col("r") * F.col("n")) / (F.sum("n") + 1)).alias("confidence"),
+                F.count("*").alias("weight")), "confidence")
+    return conf.filter(F.col("confidence") >= confidence).drop("weight")
 
 
 def find_spans(docs: DataFrame, rounds: int = ROUNDS, confidence: float = CONFIDENCE,
                least_seeds: int = LEAST_SEEDS) -> DataFrame:
-    """(doc_id, body, base, marked): arrays of (kind, start, end, found) per row.
+    """(doc_id, base, marked): arrays of (kind, start, end, found) per row.
 
     ``base`` has the spans of the fixed patterns by kind and start, ``marked``
     those that context adds.
     """
-    base = with_base(docs)
-    found = confident_patterns(base, Scratch(docs.sparkSession, "pii"), rounds, confidence, least_seeds)
-    patterns: dict[str, str] = {}
-    for row in found.orderBy("confidence", "kind").collect():  # MOST_PATTERNS of each kind at most
-        patterns[row["pattern"]] = row["kind"]
+    scratch = Scratch(docs.sparkSession, "pii")
     listed = F.concat(*[F.transform(k, _as_kind(k)) for k in KINDS])
+    rows = scratch.save(with_tokens(with_base(docs)).select(
+        F.monotonically_increasing_id().alias("row"), "doc_id", listed.alias("base"), "tokens"), "rows")
+    found = confident_patterns(rows, scratch, rounds, confidence, least_seeds)
+    found = found.groupBy("pattern").agg(F.max(F.struct("confidence", "kind"))["kind"].alias("kind"))
+
+    def looks(kind):
+        return F.col("found").rlike(LOOKS[kind])
+
+    any_kind, own_kind = F.lit(False), F.lit(False)
+    for k in KINDS:
+        any_kind = any_kind | looks(k)
+        own_kind = own_kind | ((F.col("kind") == k) & looks(k))
+    unseen = rows.select("row", F.explode_outer("tokens").alias("t")).filter("t is not null and t.seed is null")
+    unseen = scratch.save(unseen.select("row", "t.start", "t.end", "t.found", "t.pattern").filter(any_kind), "unseen")
+    marking = scratch.save(unseen.groupBy("pattern").agg(F.count("*").alias("weight")).join(found, "pattern"), "marking")
+    marked = salted_lookup(unseen, marking, ["pattern"], "weight", ["row", "start"]).filter(own_kind).groupBy("row").agg(
+        F.collect_list(F.struct("kind", "start", "end", "found")).alias("marked"))
     empty = F.array().cast("array<struct<kind:string,start:int,end:int,found:string>>")
-    if not patterns:
-        return base.select("doc_id", "body", listed.alias("base"), empty.alias("marked"))
-    kind_of = F.from_json(F.lit(json.dumps(patterns)), "map<string,string>")
-
-    def mark(t):
-        return F.struct(kind_of[t["pattern"]].alias("kind"), t["start"].alias("start"), t["end"].alias("end"),
-                        t["found"].alias("found"))
-
-    def fits(t):
-        fit = F.lit(False)
-        for k in KINDS:
-            fit = fit | ((t["kind"] == k) & t["found"].rlike(LOOKS[k]))
-        return fit
-
-    fresh_tokens = F.filter("tokens", lambda t: t["seed"].isNull() & kind_of[t["pattern"]].isNotNull())
-    return with_tokens(base).select("doc_id", "body", listed.alias("base"),
-                                    F.filter(F.transform(fresh_tokens, mark), fits).alias("marked"))
+    return rows.drop("tokens").join(marked, "row", "left").select(
+        "doc_id", "base", F.coalesce(F.array_sort("marked"), empty).alias("marked"))
 
 
 def _written(spans: Column) -> Column:
