@@ -70,6 +70,32 @@ def test_unrelated_documents_remove_no_marks(spark):
     assert spans[100] == "phone:18:30"
 
 
+def test_discovery_over_separators_and_from_the_whole_text(spark):
+    long = "x" * 300
+    rows = [(k, f"please call me at +1 988 555 {2000 + k} thanks") for k in range(40)]
+    rows += [(100 + k, f"Phone: +1 988 555 {2000 + k}") for k in range(20)]
+    rows += [(200 + k, f"he says {long} at +1 988 555 {2000 + k}") for k in range(20)]
+    rows += [(300 + k, f"now write to joe{k}@example.com soon") for k in range(40)]
+    rows += [(400 + k, f"now pay with 4111 1111 1111 1111 or {k}") for k in range(3)]
+    rows += [(500 + k, f"+1 988 555 {2000 + k} is it") for k in range(20)]
+    cases = [("please call me at ", "(988) 555-2485", "phone"), ("please call me at ", "988 555 2485", "phone"),
+             ("please call me at ((", "(988) 555 2485", "phone"), ("please call me at\n", "988-555-2485", "phone"),
+             ("please call me at ", "988.555.2485", "phone"), ("please call me at ", "988 - 555 - 2485", "phone"),
+             ("please call me at ", "988-555-2485", "phone", " 24 hours"), ("Phone: ", "988 555 2485", "phone"),
+             ("", "988 555 2485", "phone"), (f"he says {long} at ", "988 555 2485", "phone"),
+             ("now write to ", "jane[at]example.com", "email"), ("now write to ", "jane(at)example.com", "email"),
+             ("now write to ", "jane [AT] example.com", "email")]
+    want = {}
+    for i, (head, found, kind, *rest) in enumerate(cases):
+        rows.append((1000 + i, head + found + (rest[0] if rest else ", thanks")))
+        want[1000 + i] = f"{kind}:{len(head)}:{len(head) + len(found)}"
+    rows += [(2000, "please call me at 12 30 or so"), (2001, "an unknown context 988 555 2485"),
+             (2002, "please call me at " + "1 " * 3000), (2003, "988 555 2485 " * 50), (2004, "(at) [at]" * 500)]
+    spans = {r.doc_id: r.spans for r in pii.personal_data(documents(spark, rows)).collect()}
+    assert {i: spans[i] for i in want} == want
+    assert spans[2000] == spans[2001] == ""
+
+
 def test_empty_and_edges(spark):
     assert pii.personal_data(documents(spark, [])).collect() == []
     assert pii.personal_data(documents(spark, edge_rows())).count() == len(edge_rows())

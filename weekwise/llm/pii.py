@@ -2,8 +2,8 @@
 
 Fixed patterns find e-mail addresses, IP addresses, payment cards and phone
 numbers; their spans are the base.  Seen as seeds, the base spans induce
-lexical patterns: the two words that stand before them.  Over all documents
-each identifier-like token and the words before it are an edge of a graph of
+lexical patterns: the two words that stand before them, or the start of the
+text.  Over all documents each identifier-like token and the words before it are an edge of a graph of
 patterns and instances.  A pattern's confidence is the mean reliability of its
 instances, an instance's reliability follows from its patterns, seeds being
 certain; a few rounds of joins and sums settle both.  Patterns of high
@@ -36,16 +36,27 @@ PATTERNS = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-# Tokens that may be identifiers have a digit or an at sign; this is what they
-# have from there on.  What stands before it is read from the text before it.
-TOKEN = r"[0-9@]\S*+"
-BEFORE = 120             # characters that are read before
+# Tokens that may be identifiers.  What stands before their first digit or sign
+# is read from the text before it.  A run of 7 to 19 digits in groups, blanks
+# and other separators of the base kinds between them, is one token (not dotted
+# groups, nor a first group that is long enough by itself); so is what
+# surrounds a written-out at sign.  Else a token has no blank.
+_GROUP = r"(?![0-9]++\.[0-9]++\.[0-9])[0-9](?:[().-]{0,3}+[0-9])*+"
+_RUN = (r"(?<![^\s(+\[{<\"':;,=|*#-])(?<!(?<![A-Za-z0-9])[0-9]{1,6}[\x20().-]{1,6})(?!(?:[0-9][().-]{0,3}+){7})"
+        r"(?=(?:[\x20().-]{0,6}+[0-9]){7})(?!(?:[\x20().-]{0,6}+[0-9]){20})"
+        + _GROUP + r"(?:[().-]{0,2}+\x20[\x20().-]{0,3}+" + _GROUP + r"(?![A-Za-z0-9_@%+]))++")
+_AT = r"(?i:\[at\]|\(at\))"
+TOKEN = _RUN + r"|[0-9@]\S*+|" + _AT + r"\x20?+[A-Za-z0-9]\S*+"
+START = "\n"             # the word that stands before a text
+# Characters that are read before a token, until two whole words are among them; then all.
+READS = (120, 1 << 12, 1 << 17, 1 << 30)
 # What an identifier of a kind must look like to be marked by its context.
+# Groups give nothing back, so long tokens take no stack.
 LOOKS = {
-    "email": r"^[^\s@]+(?:@|\[at\]|\(at\))[^\s@]+$",
-    "ip": r"^[0-9A-Fa-f]*(?:[.:][0-9A-Fa-f]*){3,}$",
-    "card": r"^(?:[^0-9]*[0-9]){12,}[^0-9]*$",
-    "phone": r"^[(+]?(?:[^0-9A-Za-z]?[0-9]){7,}[^0-9A-Za-z]*$",
+    "email": r"^[^\s@]+\x20?(?:@|" + _AT + r")\x20?[^\s@]+$",
+    "ip": r"^[0-9A-Fa-f]*+(?:[.:][0-9A-Fa-f]*+){3,}+$",
+    "card": r"^(?:[^0-9]*+[0-9]){12,}+[^0-9]*+$",
+    "phone": r"^[(+]{0,2}(?:[^0-9A-Za-z]{0,6}+[0-9]){7,}+[^0-9A-Za-z]*+$",
 }
 ROUNDS = 3
 CONFIDENCE = 0.8
@@ -149,17 +160,33 @@ def with_tokens(base: DataFrame) -> DataFrame:
     """
     raw = _with_occurrences(base, {"raw": TOKEN})
 
-    def with_head(t):
-        ahead = F.substring(F.col("body"), F.greatest(t["start"] - BEFORE, F.lit(0)) + 1,
-                            F.least(t["start"], F.lit(BEFORE)))
-        head = F.regexp_extract(ahead, r"(?<!\S)\S*+$", 0)
-        return F.struct(ahead.alias("ahead"), head.alias("head"), t["end"].alias("end"), t["found"].alias("found"))
+    def with_words(t):
+        def read(n):
+            reach = F.least(t["start"], F.lit(n))
+            ahead = F.substring(F.col("body"), t["start"] - reach + 1, reach)
+            head = F.when(t["found"].rlike(r"^[\[(]"), F.regexp_extract(ahead, r"(?<!\S)\S*+\x20?+\z", 0)).otherwise(
+                F.regexp_extract(ahead, r"(?<!\S)\S*+\z", 0))
+            split = F.transform(F.array(F.struct(ahead.alias("ahead"), head.alias("head"))), lambda x: F.struct(
+                x["head"].alias("head"), F.array_remove(F.split(F.lower(F.substring(
+                    x["ahead"], F.lit(1), F.length(x["ahead"]) - F.length(x["head"]))), r"\s+"), "").alias("words")))
+            # the first word that is read may lack its beginning
+            return F.get(F.filter(split, lambda x: (t["start"] <= n) | (F.size(x["words"]) >= 3)), F.lit(0))
+
+        return F.struct(F.coalesce(*[read(n) for n in READS]).alias("before"), t["end"].alias("end"),
+                        t["found"].alias("found"))
+
+    def with_left(t):
+        whole = F.concat(t["before"]["head"], t["found"])
+        left = F.ltrim(whole, F.lit("([{<\"':;,.!?*#|=-"))
+        # a bracket that closes after the first digits belongs to them
+        opened = left.rlike(r"^[0-9]{1,5}\)[\x20.-]*[0-9]") & F.endswith(
+            F.substring(whole, F.lit(1), F.length(whole) - F.length(left)), F.lit("("))
+        return F.struct(F.when(opened, F.concat(F.lit("("), left)).otherwise(left).alias("left"),
+                        t["before"]["words"].alias("words"), t["end"].alias("end"))
 
     def with_core(t):
-        left = F.ltrim(F.concat(t["head"], t["found"]), F.lit("([{<\"':;,.!?*#|=-"))
-        words = F.split(F.trim(F.lower(F.substring(t["ahead"], F.lit(1), F.length(t["ahead"]) - F.length(t["head"])))), r"\s+")
-        return F.struct((t["end"] - F.length(left)).alias("start"), t["end"].alias("until"),
-                        F.rtrim(left, F.lit(")]}>\"':;,.!?*#|")).alias("core"), words.alias("words"))
+        return F.struct((t["end"] - F.length(t["left"])).alias("start"), t["end"].alias("until"),
+                        F.rtrim(t["left"], F.lit(")]}>\"':;,.!?*#|")).alias("core"), t["words"].alias("words"))
 
     def with_seed(t):
         seed, whole, inside = F.lit(None).cast("string"), t["core"], F.lit(False)
@@ -169,13 +196,13 @@ def with_tokens(base: DataFrame) -> DataFrame:
             seed = F.when(F.size(k) > 0, F.when(begins.isNotNull(), k).otherwise(seed)).otherwise(seed)
             whole = F.when(F.size(k) > 0, F.coalesce(begins["found"], whole)).otherwise(whole)
             inside = inside | ((F.size(k) > 0) & within)
-        pattern = F.when(F.size(t["words"]) >= 2, F.regexp_replace(
-            F.array_join(F.slice(t["words"], -2, 2), " "), "[0-9]", "9")).otherwise("")
+        words = F.slice(F.concat(F.array(F.lit(START), F.lit(START)), t["words"]), -2, 2)
+        pattern = F.regexp_replace(F.array_join(words, " "), "[0-9]", "9")
         return F.struct(t["start"].alias("start"), (t["start"] + F.length(t["core"])).alias("end"),
                         whole.alias("found"), pattern.alias("pattern"), seed.alias("seed"), inside.alias("inside"))
 
-    tokens = F.transform(F.transform(F.transform("raw", with_head), with_core), with_seed)
-    return raw.withColumn("tokens", F.filter(tokens, lambda t: ~t["inside"] & (t["pattern"] != ""))).drop("raw")
+    tokens = F.transform(F.transform(F.transform(F.transform("raw", with_words), with_left), with_core), with_seed)
+    return raw.withColumn("tokens", F.filter(tokens, lambda t: ~t["inside"])).drop("raw")
 
 
 def confident_patterns(rows: DataFrame, scratch: Scratch, rounds: int = ROUNDS,
