@@ -37,6 +37,31 @@ def test_blocks():
     assert texts("") == texts("<<<>>") [:0] or texts("<div><!-- open") == []
 
 
+def test_parts_that_hide_nothing():
+    def texts(page):
+        return [b.text for b in html_crf.blocks(page)]
+
+    for end in ("</head><body>", "<body>", "<BODY class=x>", "", "</head>"):
+        page = f"<!doctype html><html><head><meta charset=utf-8><title>t</title><script>x</script>{end}<p>a<p>b"
+        assert texts(page) == ["a", "b"], end
+    assert texts("<head><title>t</title><style>p{}</style>plain <b>text</b>") == ["plain text"]
+    assert texts("<head><title>t<body><p>a</p>") == ["a"]
+    assert texts("<head><title>t</title><noscript><style>x<body><p>a</p>") == ["a"]
+    assert texts("<head><template><div>no</div></template><title>t</title><body><p>a</p>") == ["a"]
+    assert texts("<head><template><div>no</div><body><p>a</p>") == ["a"]
+    assert texts("<head><title>t</title><link rel=x href=y> <meta a=b></head><p>a</p>") == ["a"]
+    assert texts("<p>if <math><mi>x</mi><mo>=</mo><mn>2</mn></math> then</p>") == ["if x=2 then"]
+    assert texts("<p>see <object data=x>the film</object> here</p>") == ["see the film here"]
+
+
+def test_page_without_head_end(spark):
+    pages = importable(spark).read.parquet(f"{SF}/pages.parquet")
+    field = html_crf.fit(pages)
+    for r in pages.limit(20).collect():
+        cut = r.html.replace("</head>", "").replace("</HEAD>", "")
+        assert cut != r.html and field.extract(cut) == article(r.html)
+
+
 def test_other_layouts(spark):
     pages = importable(spark).read.parquet(f"{SF}/pages.parquet")
     field = html_crf.fit(pages)

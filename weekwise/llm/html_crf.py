@@ -11,7 +11,8 @@ blocks are labelled by the elements made for the purpose (``article`` and
 ``main`` against ``nav``, ``footer``, ``aside`` and the like), and the same
 pages' texts poured into the fixed layouts below, which label themselves.
 
-Scripts, styles, comments and the head hold no blocks.  Within a block, white
+Scripts, styles, comments and the head hold no blocks; a head that is not
+closed ends at the first element that cannot be in it, or at text.  Within a block, white
 space of any kind is one blank; blocks are joined by a line feed.
 
 Defined cases: null, empty and text-free pages give ""; markup that is not
@@ -39,7 +40,9 @@ FIT_CHARS = 200_000      # longest page among them
 BLOCK = set("""address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure
     footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary table
     tbody td tfoot th thead tr ul caption option select button label""".split())
-HIDDEN = set("script style head title template noscript svg math iframe object textarea".split())
+HIDDEN = set("script style head title template noscript svg iframe textarea".split())
+# A head whose end is left out ends before the first element that cannot be in it.
+IN_HEAD = set("head title base basefont bgsound link meta script style noscript noframes template".split())
 RAW = set("script style title textarea iframe noscript".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
@@ -129,6 +132,8 @@ def blocks(page: str) -> list[Block]:
 
     def say(raw: str) -> None:
         nonlocal linked
+        if hidden and stack[-1][0] == "head" and not raw.isspace() and raw:
+            pop(len(stack) - 1)
         if raw and not hidden:
             text = entities.unescape(raw) if "&" in raw else raw
             parts.append(text)
@@ -169,6 +174,10 @@ def blocks(page: str) -> list[Block]:
         if name in ("br", "wbr"):
             parts.append(" " if name == "br" else "")
             continue
+        if hidden and name not in IN_HEAD:
+            above = [x[0] for x in stack]
+            if "head" in above and (name == "body" or "template" not in above):
+                pop(above.index("head"))
         if name in BLOCK:
             close()
             ends = CLOSED_BY.get(name, ())
@@ -189,6 +198,8 @@ def blocks(page: str) -> list[Block]:
             label = mark[1] if mark else None
         if name in RAW:
             end = re.compile(f"</{name}", re.I).search(page, at)
+            if end is None and any(x[0] == "head" for x in stack):
+                end = re.compile("</head|<body", re.I).search(page, at)
             at = n if end is None else end.start()
         stack.append((name, names, label))
         hidden += name in HIDDEN
