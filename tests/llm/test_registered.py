@@ -12,7 +12,7 @@ from weekwise.llm.common import Scratch, table
 from weekwise.oracle.compare import compare
 
 SF = "/root/testdata/sf0.001"
-TABLES = ("documents", "pages", "benchmark", "labels", "conversations")
+TABLES = ("documents", "pages", "benchmark", "labels", "conversations", "embeddings")
 
 
 @pytest.mark.parametrize("name", sorted(llm_queries.oracle_sql()))
@@ -28,7 +28,7 @@ def test_query_equals_its_sql(spark, name):
 def test_all_are_registered():
     import __spark_entry__ as entry
     names = set(entry.queries())
-    assert {f"op{n}" for n in range(1, 11)} == {x.split("_")[0] for x in names if x.startswith("op")}
+    assert {f"op{n}" for n in range(1, 14)} == {x.split("_")[0] for x in names if x.startswith("op")}
     assert "pipeline" in names
 
 
