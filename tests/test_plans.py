@@ -1,4 +1,5 @@
 """Plan shape and hot-key behaviour of the reports."""
+import datetime as dt
 import re
 
 import pytest
@@ -87,7 +88,46 @@ def test_calendar_joins_without_broadcast_give_the_same_report(spark, base):
     shuffled.unpersist()
 
 
+def test_a_report_reads_its_award_periods_only(spark, base, tmp_path):
+    """The list of periods reaches the task scan; M2's own query stays whole."""
+    late = FIXTURE.with_overrides(tasks_from=dt.date(2025, 12, 21), growth_tasks_from=dt.date(2025, 12, 21))
+    for name, df in base.t.as_dict().items():
+        df.write.parquet(f"{tmp_path}/{name}")
+    b = Base(load_tables(spark, str(tmp_path)), late)
+    plan = _plan(b.report_weeks)
+    periods = {r[0] for r in b.award_weeks.where("start_date >= '2025-12-14'").select("award_period").distinct().collect()}
+    pushed = re.search(r"PushedFilters: \[(?:[^\[\]]|\[[^\]]*\])*(In\(award_period, \[([^\]]*)\]\)|EqualTo\(award_period,([^)]*)\))", plan)
+    assert pushed, plan
+    assert set((pushed[2] or pushed[3]).split(",")) == periods
+    every = b.award_weeks.select("award_period").distinct().count()
+    assert 0 < len(periods) < every
+    whole = Base(base.t, late)
+    whole._rw = whole.award_weeks
+    for build in (report.weekly_report_derived, clicks.click_report_derived):
+        assert sorted(map(str, build(b, sort=False).collect())) == sorted(map(str, build(whole, sort=False).collect()))
+    b.unpersist()
+    whole.unpersist()
+
+
+def test_a_cleared_cache_is_noticed(spark):
+    registry.reset()
+    query = registry.queries()["weekly_report"]
+    expected = sorted(map(str, query(spark, SF_SMALL).collect()))
+    spark.catalog.clearCache()
+    assert sorted(map(str, query(spark, SF_SMALL).collect())) == expected
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() > 0
+    registry.reset()
+
+
+def test_pivot_is_one_pass_over_the_kept_report(spark):
+    registry.reset()
+    above = _logical(registry.queries()["indicator_pivot"](spark, SF_SMALL)).split("InMemoryRelation")[0]
+    assert above.count("Aggregate") == 1 and "Join" not in above and "Pivot" not in above
+    registry.reset()
+
+
 def test_nothing_stays_persisted_after_a_reset(spark):
+    registry.reset()
     spark.catalog.clearCache()
     before = spark.sparkContext._jsc.getPersistentRDDs().size()
     for name in ("weekly_report", "click_report", "task_group_pivot"):

@@ -157,3 +157,26 @@ def test_empty_tables_give_empty_reports(spark):
     assert present.indicator_long(report.weekly_report_derived(b, sort=False), 8).count() == 0
     # the synthetic boundary after the latest week is NULL and matches nothing
     assert [tuple(r) for r in retention.deposit_week_events(b).collect()] == [(None, None, 1)]
+
+
+def test_number_texts_are_exact_at_extremes(spark):
+    """Every magnitude shows the digits of its exact binary value, ties up; none overflows."""
+    import random
+    from decimal import ROUND_HALF_UP, Decimal
+    from pyspark.sql import functions as F
+    from weekwise.functions import scalar as S
+    r = random.Random(1)
+    values = [0.49999999999999994, 4503599627370497.0, 0.5, 2.5, 1e17, -1e17, -0.3, 0.0, 1e15 - 0.5, 9.2e18, 1e20, 0.285,
+              1.005, 999999.5, None] + [r.uniform(-1, 1) * 10 ** r.randint(-3, 20) for _ in range(500)]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    for row in df.select("v", S.lot_text("v").alias("lot"), S.amount_text("v").alias("amount"),
+                         S.format_by("v", F.lit("amount")).alias("by")).collect():
+        if row.v is None:
+            assert (row.lot, row.amount, row.by) == (None, None, "—")
+            continue
+        sign, x = "-" if row.v < 0 else "", Decimal(abs(row.v))
+        assert row.lot == sign + format(x.quantize(Decimal("0.01"), ROUND_HALF_UP), "f")
+        whole = format(int(x.quantize(Decimal(1), ROUND_HALF_UP)), ",").replace(",", ".")
+        assert row.amount == row.by == sign + whole
+    huge = spark.createDataFrame([(1.5e22,)], "v double")
+    assert huge.select(S.lot_text("v"), S.growth_text("v")).head() == ("1.5e+22", "+1.5e+24%")

@@ -61,26 +61,47 @@ def period_label(c) -> Column:
                   ).otherwise(p)
 
 
-def _fixed(v: Column, decimals: int) -> Column:
-    """Magnitude of the exact binary value of ``v`` with ``decimals`` digits; a tie goes up.
+def _whole(x: Column) -> Column:
+    """The integer of a double without a fraction, below 1e21, exactly."""
+    high = F.floor(x / F.lit(4294967296.0))
+    low = x - high.cast("double") * F.lit(4294967296.0)
+    return (high.cast("decimal(20,0)") * F.lit(4294967296).cast("decimal(10,0)") + low.cast("decimal(10,0)")
+            ).cast("decimal(31,0)")
+
+
+def _rounded(x: Column, scale: Column) -> Column:
+    """``x`` (0 <= x < 1) times ``scale``, a power of ten, as the nearest integer; a tie goes up.
 
     The product with a power of ten is rounded, so the error of the product
     (exact, by splitting the factor into halves) decides the half case.
     """
-    scale = 10 ** decimals
-    x = F.abs(v)
-    product = x * F.lit(float(scale))
+    product = x * scale
     spread = x * F.lit(134217729.0)          # 2**27 + 1
     high = spread - (spread - x)
-    error = (high * F.lit(float(scale)) - product) + (x - high) * F.lit(float(scale))
-    whole_part = F.floor(product)
-    over = ((product - whole_part.cast("double")) - F.lit(0.5)) + error
-    n = (whole_part + F.when(over >= 0, 1).otherwise(0)).cast("bigint")
-    whole = F.floor(n / scale).cast("bigint").cast("string")
-    if decimals == 0:
-        return whole
-    frac = F.lpad((n % scale).cast("string"), decimals, "0")
-    return F.concat(whole, F.lit("."), frac)
+    error = (high * scale - product) + (x - high) * scale
+    whole = F.floor(product)
+    over = ((product - whole.cast("double")) - F.lit(0.5)) + error
+    return (whole + F.when(over >= 0, 1).otherwise(0)).cast("bigint")
+
+
+def _fixed(v: Column, decimals: int | Column) -> Column:
+    """Magnitude of the exact binary value of ``v`` with ``decimals`` digits; a tie goes up.
+
+    The integer and the fraction of a double are doubles themselves, so each
+    is exact on its own.  From 1e21 on the shortest text is shown, as the
+    page does.
+    """
+    digits = F.lit(decimals) if isinstance(decimals, int) else decimals
+    scale = F.pow(F.lit(10.0), digits)
+    x = F.abs(v)
+    fits = x < F.lit(1e21)
+    frac = F.pmod(F.when(fits, x), F.lit(1.0))
+    part = _rounded(frac, scale)
+    whole = (_whole(F.when(fits, x) - frac) + F.floor(part / scale).cast("decimal(1,0)")).cast("string")
+    after = F.lpad((part % scale.cast("bigint")).cast("string"), digits, F.lit("0"))
+    whole = F.when(digits > 0, F.concat(whole, F.lit("."), after)).otherwise(whole)
+    huge = F.regexp_replace(F.regexp_replace(x.cast("string"), r"\.0E", "E"), "E", "e+")
+    return F.when(fits, whole).when(v.isNotNull(), huge)
 
 
 def _signed(v: Column, decimals: int) -> Column:
@@ -111,12 +132,15 @@ def lot_text(c) -> Column:
     return _signed(_c(c).cast("double"), 2)
 
 
+def _grouped(whole: Column) -> Column:
+    """'.' between each three digits of an integer's text."""
+    return F.regexp_replace(whole, r"(?<=\d)(?=(\d{3})+$)", ".")
+
+
 def amount_text(c) -> Column:
     """F16: whole number with '.' as thousands separator (id-ID)."""
     v = _c(c).cast("double")
-    n = F.floor(F.abs(v) + F.lit(0.5)).cast("bigint")
-    grouped = F.translate(F.format_number(n, 0), ",", ".")
-    return F.concat(F.when(v < 0, F.lit("-")).otherwise(F.lit("")), grouped)
+    return F.concat(F.when(v < 0, F.lit("-")).otherwise(F.lit("")), _grouped(_fixed(v, 0)))
 
 
 def count_text(c) -> Column:
@@ -139,12 +163,16 @@ def format_value(c, fmt: str) -> Column:
 
 
 def format_by(c, fmt_col) -> Column:
-    """Like ``format_value`` with the format read from a column."""
+    """Like ``format_value`` with the format read from a column; the number is rounded once for all of them."""
     v, f = _c(c), _c(fmt_col)
-    expr = F.when(f == "pct", pct_text(v))
-    for name in ("growth", "lot", "amount"):
-        expr = expr.when(f == name, FORMATTERS[name](v))
-    return F.coalesce(expr.otherwise(count_text(v)), F.lit(NULL_TEXT))
+    percent = f.isin("pct", "growth")
+    n = F.when(percent, v.cast("double") * 100).otherwise(v.cast("double"))
+    size = _fixed(n, F.when(percent, 1).when(f == "lot", 2).otherwise(0))
+    text = F.concat(F.when((f == "growth") & (v >= 0), F.lit("+")).when(n < 0, F.lit("-")).otherwise(F.lit("")),
+                    F.when(f == "amount", _grouped(size)).otherwise(size),
+                    F.when(percent, F.lit("%")).otherwise(F.lit("")))
+    known = f.isin("pct", "growth", "lot", "amount")
+    return F.coalesce(F.when(known, text).otherwise(count_text(v)), F.lit(NULL_TEXT))
 
 
 # formats the design notes document for the dashboard (no reference

@@ -28,6 +28,12 @@ class CalendarSide:
     def unpersist(self) -> None:
         self.df.unpersist()
 
+    def where(self, condition: Column) -> "CalendarSide":
+        """Part of the table, of the same kept rows and size class."""
+        part = object.__new__(CalendarSide)
+        part.df, part.small = self.df.where(condition), self.small
+        return part
+
     def join(self, rows: DataFrame, keys: list[str], spread: list[str], how: str = "inner") -> DataFrame:
         """``rows`` joined to the table on same-named ``keys``; ``how`` is inner, left or left_semi."""
         if self.small:

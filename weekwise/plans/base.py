@@ -10,6 +10,8 @@ hash partitioning instead of re-shuffling per step.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,12 +25,16 @@ def cid(col: str = "client_id") -> Column:
     return F.col(col).cast("string")
 
 
+def daily_activity(report_business: DataFrame, cfg: ReportConfig) -> DataFrame:
+    """Daily rows with a successful deposit or an open trade, of the programme's customers."""
+    active = ((F.col("deposit_success_customer_cc") > 0) | (F.col("rt_active_trader_open_cc") > 0))
+    return report_business.where(F.col("customer_id").startswith(cfg.id_prefix)
+                                 & (F.col("report_timeframe") == DAILY) & active)
+
+
 def first_active(t: Tables, cfg: ReportConfig) -> DataFrame:
     """M1: per customer, first day with a successful deposit or an open trade."""
-    b = t.report_business
-    active = ((F.col("deposit_success_customer_cc") > 0) | (F.col("rt_active_trader_open_cc") > 0))
-    return (b.where(F.col("customer_id").startswith(cfg.id_prefix)
-                    & (F.col("report_timeframe") == DAILY) & active)
+    return (daily_activity(t.report_business, cfg)
             .groupBy("customer_id").agg(F.min("report_time").alias("first_active")))
 
 
@@ -39,16 +45,34 @@ def award_bounds(t: Tables, cfg: ReportConfig) -> CalendarSide:
     return CalendarSide(bounds, cfg.broadcast_max_rows)
 
 
-def award_weeks(t: Tables, bounds: CalendarSide) -> DataFrame:
+def _of_periods(tasks: DataFrame, bounds: DataFrame) -> DataFrame:
+    """Task rows of the periods in ``bounds``, by a list that reaches the scan."""
+    found = bounds.select("_ap", "_ap_null").collect()
+    listed = F.col("award_period").isin(sorted(r._ap for r in found if not r._ap_null))
+    return tasks.where(listed | F.col("award_period").isNull() if any(r._ap_null for r in found) else listed)
+
+
+def award_weeks(t: Tables, bounds: CalendarSide, first: dt.date | None = None) -> DataFrame:
     """M2: task rows with ``start_date``/``end_date`` replaced by the earliest
     start and latest end of their ``award_period`` (W1).
 
+    With ``first``, only periods that start on that day or later: the periods
+    are known from their bounds before any task row is read, so they go to the
+    task scan as a list (row groups, or partitions of a table laid out by
+    ``award_period``, are skipped).  Bounds beyond the size of a calendar are
+    not listed; the join leaves the other periods out.
+
     A window partitioned by ``award_period`` would put a whole week of
     assignments into one task; instead the per-period bounds (one row per
     award period) are aggregated and joined back.  The join is NULL-safe
     because the window groups NULL periods together.
     """
     tasks = t.rebate_user_task_detail
+    if first is not None:
+        kept = F.col("start_date") >= F.lit(first).cast("timestamp")
+        if bounds.small:
+            tasks = _of_periods(tasks, bounds.df.where(kept))
+        bounds = bounds.where(kept)
     keyed = tasks.drop("start_date", "end_date").select("*", *null_safe_key(F.col("award_period"), "_ap"))
     columns = [c for c in tasks.columns if c not in ("start_date", "end_date")]
     return (bounds.join(keyed, ["_ap", "_ap_null"], ["client_id", "task_type", "group_name"])

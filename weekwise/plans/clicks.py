@@ -32,7 +32,7 @@ def _rows(df: DataFrame, part: str, ref: str = "start_date", status: Column | No
 
 def _assignments(b: Base, types: Sequence[int]) -> DataFrame:
     """Task rows of the types by (client, week, status), with their number."""
-    return (b.award_weeks.where(F.col("task_type").isin(*types) & (F.col("start_date") >= F.lit(b.cfg.tasks_from)))
+    return (b.report_weeks.where(F.col("task_type").isin(*types) & (F.col("start_date") >= F.lit(b.cfg.tasks_from)))
             .groupBy("task_type", cid().alias("cid"), "start_date", "end_date",
                      F.col("award_period").alias("period"), "task_status").agg(F.count(F.lit(1)).alias("_n")))
 

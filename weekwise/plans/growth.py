@@ -28,11 +28,11 @@ def _avg_when(cond: Column, value: str, name: str) -> Column:
 def trading_growth_base(b: Base) -> DataFrame:
     """Per (client, award week start) from the first award week on:
     best task status, whether the client also had a trading task the week
-    before (no cut-off on that lookup), lots traded in the Monday week before
+    before (also where that week is before the first), lots traded in the Monday week before
     (start - 6) and the Monday week inside (start + 1); labelled by the
     month of the week start."""
     cfg = b.cfg
-    t1 = b.award_weeks.where(F.col("task_type") == TRADING_TASK).withColumn("_day", F.to_date("start_date"))
+    t1 = b.report_weeks.where(F.col("task_type") == TRADING_TASK).withColumn("_day", F.to_date("start_date"))
     weeks = (t1.where(F.col("_day") >= F.lit(cfg.tasks_from))
              .groupBy(cid().alias("cid"), "client_id", F.col("_day").alias("start_date"))
              .agg(F.max("task_status").alias("task_status")))
@@ -84,7 +84,7 @@ def deposit_growth_base(b: Base) -> DataFrame:
     deposits x task weeks.
     """
     cfg = b.cfg
-    tasks = (b.award_weeks.where((F.col("task_type") == DEPOSIT_TASK)
+    tasks = (b.report_weeks.where((F.col("task_type") == DEPOSIT_TASK)
                                  & (F.to_date("start_date") >= F.lit(cfg.growth_tasks_from)))
              .select("client_id", "task_status", "start_date", "end_date").distinct()
              .withColumn("cid", cid()))

@@ -197,17 +197,55 @@ def label_of(period: str) -> str:
     return f"{period[:4]}-{period[4:6]}-{period[6:]}" if len(period) == 8 else period
 
 
+def _cells(report: DataFrame, periods: list[str], values: Column) -> DataFrame:
+    """(cells): one row with the map from ``period|customer type`` to the values of that report row."""
+    key = F.concat_ws("|", "period", "customer_type")
+    shown = report.where(F.col("period").isin(periods))
+    return shown.agg(F.map_from_entries(F.collect_list(F.struct(key, values))).alias("cells"))
+
+
+LAYOUT_KEYS = ["row_order", "section", "metric", "comparison", "group_label", "code"]
+
+
+def _layout_pivot(report: DataFrame, layout: list[tuple], weeks: int, value_of, texts,
+                  names: dict[str, str]) -> DataFrame:
+    """The layout rows with a column per period and text, from one aggregation of the report.
+
+    ``value_of`` gives a report row's value for a field; ``texts`` the struct
+    of display texts of a cell's value, and ``names`` their column suffixes.
+    Missing cells show the em dash.
+    """
+    periods = _labels(report, "period", weeks)
+    fields = sorted({r[6] for r in layout})
+    values = F.create_map(*[x for f in fields for x in (F.lit(f), value_of(f))])
+    rows = _cells(report, periods, values).select("cells", F.inline(_layout_literal(layout)))
+
+    def shown(period: Column) -> Column:
+        row = F.try_element_at("cells", F.concat_ws("|", period, "customer_type"))
+        return texts(F.try_element_at(row, F.col("field")))
+
+    rows = rows.withColumn("texts", F.transform(F.array(*[F.lit(p) for p in periods]).cast("array<string>"), shown))
+    return rows.where(F.lit(bool(periods))).select(*LAYOUT_KEYS, *[
+        F.col("texts")[k][name].alias(label_of(p) + suffix) for k, p in enumerate(periods)
+        for name, suffix in names.items()]).orderBy("row_order")
+
+
 def indicator_pivot(report_derived: DataFrame, weeks: int) -> DataFrame:
-    keys = ["row_order", "section", "metric", "comparison", "group_label", "code"]
-    return pivot_by_period(indicator_long(report_derived, weeks), keys, {"text": "text"},
-                           _labels(report_derived, "period", weeks)).orderBy("row_order")
+    """The weekly layout rows with one text per period shown."""
+    return _layout_pivot(report_derived, weekly_layout(), weeks, lambda f: F.col(f).cast("double"),
+                         lambda cell: F.struct(format_by(cell, F.col("fmt")).alias("text")), {"text": ""})
 
 
 def click_indicator_pivot(click_derived: DataFrame, weeks: int) -> DataFrame:
-    keys = ["row_order", "section", "metric", "comparison", "group_label", "code"]
-    return pivot_by_period(click_indicator_long(click_derived, weeks), keys,
-                           {"rate": "rate_text", "clickers": "clickers_text", "clicks": "clicks_text"},
-                           _labels(click_derived, "period", weeks)).orderBy("row_order")
+    """M32 (pivot): the click layout rows with rate, clickers and clicks per period shown."""
+    def value(code: str) -> Column:
+        return F.struct(F.col(f"{code}_click_rate").cast("double").alias("rate"),
+                        F.col(f"{code}_clickers").cast("bigint").alias("clickers"),
+                        F.col(f"{code}_clicks").cast("bigint").alias("clicks"))
+    measures = ("rate", "clickers", "clicks")
+    return _layout_pivot(click_derived, click_layout(), weeks, value, lambda cell: F.struct(
+        *[format_value(cell[m], "pct" if m == "rate" else "count").alias(m) for m in measures]),
+        {m: f"_{m}" for m in measures})
 
 
 def task_group_pivot(group_derived: DataFrame, weeks: int) -> DataFrame:

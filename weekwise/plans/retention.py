@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,9 +26,11 @@ class Base:
     lost executor costs no recomputation of the source scans).
     """
 
-    def __init__(self, t: Tables, cfg: ReportConfig):
+    def __init__(self, t: Tables, cfg: ReportConfig, first_active: DataFrame | None = None):
+        """``first_active`` is a kept M1 (``sources.state.FirstActiveState``); without it, M1 is made from the tables."""
         self.t, self.cfg = t, cfg
-        self._fa = self._aw = self._tw = self._cs = None
+        self._given_fa = self._fa = first_active
+        self._aw = self._rw = self._tw = self._cs = None
         self._memo: dict[str, DataFrame | CalendarSide] = {}
         self._persisted: list[DataFrame] = []
 
@@ -51,18 +55,24 @@ class Base:
             df.unpersist()
         self._persisted.clear()
         self._memo.clear()
-        self._fa = self._aw = self._tw = self._cs = None
+        self._fa = self._given_fa
+        self._aw = self._rw = self._tw = self._cs = None
+
+    def is_stored(self) -> bool:
+        """Whether Spark still holds every relation that this base has asked it to keep."""
+        asked = [*self._persisted, *(x.df if isinstance(x, CalendarSide) else x for x in self._memo.values())]
+        return all(df.storageLevel.useMemory or df.storageLevel.useDisk for df in asked)
 
     def persist(self, mode: str = "cache") -> "Base":
         """Keep the shared relations; ``"checkpoint"`` needs the session's ``spark.checkpoint.dir``."""
-        for attr in ("first_active", "award_weeks", "trading_weeks", "click_sums"):
+        for attr in ("first_active", "report_weeks", "trading_weeks", "click_sums"):
             df = getattr(self, attr)
             if mode == "checkpoint":
                 df = df.checkpoint(eager=True)
             else:
                 df = df.persist(StorageLevel.MEMORY_AND_DISK)
                 self._persisted.append(df)
-            setattr(self, "_" + {"first_active": "fa", "award_weeks": "aw",
+            setattr(self, "_" + {"first_active": "fa", "report_weeks": "rw",
                                  "trading_weeks": "tw", "click_sums": "cs"}[attr], df)
         return self
 
@@ -85,13 +95,26 @@ class Base:
             self._fa = first_active(self.t, self.cfg)
         return self._fa
 
+    @property
+    def award_bounds(self) -> CalendarSide:
+        """Earliest start and latest end of every award period, of the whole table."""
+        return self.memo("award_bounds", lambda: award_bounds(self.t, self.cfg))
+
     @property
     def award_weeks(self) -> DataFrame:
+        """M2 of all task rows ever; the reports read ``report_weeks``."""
         if self._aw is None:
-            bounds = self.memo("award_bounds", lambda: award_bounds(self.t, self.cfg))
-            self._aw = award_weeks(self.t, bounds)
+            self._aw = award_weeks(self.t, self.award_bounds)
         return self._aw
 
+    @property
+    def report_weeks(self) -> DataFrame:
+        """M2 of the award weeks that a report can look at: the first report week and the one before it, and later."""
+        if self._rw is None:
+            first = min(self.cfg.tasks_from, self.cfg.growth_tasks_from) - dt.timedelta(days=7)
+            self._rw = award_weeks(self.t, self.award_bounds, first)
+        return self._rw
+
     @property
     def trading_weeks(self) -> DataFrame:
         if self._tw is None:
@@ -102,8 +125,8 @@ class Base:
 def click_periods(b: Base) -> DataFrame:
     """(week_group): award weeks of the assignments and of the weekly rows that the click report counts."""
     t, cfg = b.t, b.cfg
-    weeks = b.award_weeks.where(F.col("start_date") >= F.lit(cfg.tasks_from)).select(
-        F.col("award_period").alias("week_group")).distinct()
+    weeks = b.award_bounds.df.where((F.col("start_date") >= F.lit(cfg.tasks_from)) & ~F.col("_ap_null")).select(
+        F.col("_ap").alias("week_group"))
     for src in (t.report_trading_deal_real, t.report_transaction_deposit):
         weekly = src.where((F.col("report_timeframe") == WEEKLY) & (F.col("report_time") >= F.lit(cfg.trading_from)))
         weeks = weeks.unionByName(weekly.select("report_time").distinct().select(
@@ -114,7 +137,7 @@ def click_periods(b: Base) -> DataFrame:
 def assigned_tasks(b: Base, task_type: int | None) -> DataFrame:
     """Distinct (client, award week) assignments from the first award week
     on; ``task_type=None`` keeps every type."""
-    aw = b.award_weeks.where(F.col("start_date") >= F.lit(b.cfg.tasks_from))
+    aw = b.report_weeks.where(F.col("start_date") >= F.lit(b.cfg.tasks_from))
     if task_type is not None:
         aw = aw.where(F.col("task_type") == task_type)
     return aw.select("client_id", "start_date", "end_date", "award_period").distinct()
@@ -155,9 +178,9 @@ def trading_retention(b: Base) -> DataFrame:
 def deposit_boundaries(b: Base) -> DataFrame:
     """M6: award week starts from the first award week on, plus one week
     after the latest start of all weeks (no cut-off for the latter)."""
-    aw = b.award_weeks
-    starts = aw.where(F.col("start_date") >= F.lit(b.cfg.tasks_from)).select("start_date").distinct()
-    extra = aw.agg(plus_days_ts(F.max("start_date"), 7).alias("start_date"))
+    weeks = b.award_bounds.df     # one row per award period: the task rows need not be read
+    starts = weeks.where(F.col("start_date") >= F.lit(b.cfg.tasks_from)).select("start_date").distinct()
+    extra = weeks.agg(plus_days_ts(F.max("start_date"), 7).alias("start_date"))
     return starts.unionByName(extra)
 
 
@@ -182,7 +205,7 @@ def deposit_week_events(b: Base) -> DataFrame:
     empty = (bounds.join(hit_bounds, bounds["start_date"] == hit_bounds["start_date"], "left_anti")
              .select("start_date", F.lit(None).cast("bigint").alias("client_id")))
     deposit_rows = hits.unionByName(empty).withColumn("deposit", F.lit(1))
-    task_rows = (b.award_weeks.where(F.col("start_date") >= F.lit(cfg.tasks_from))
+    task_rows = (b.report_weeks.where(F.col("start_date") >= F.lit(cfg.tasks_from))
                  .select("start_date", "client_id").distinct().withColumn("deposit", F.lit(0)))
     return deposit_rows.unionByName(task_rows)
 
