@@ -2,7 +2,9 @@
 
 A word's hash is a polynomial over random byte values modulo 2**64, so the
 hash of any run of bytes follows from one running sum; a final mix spreads
-the bits.  Work goes in pieces cut between words, so memory does not grow
+the bits.  Such a polynomial cannot tell some very regular long words apart
+(Thue-Morse words from 1,024 letters on), whatever its base, so words of
+``LONG`` bytes and more, which are rare, are hashed by BLAKE2.  Work goes in pieces cut between words, so memory does not grow
 with the length of a text beyond one byte-sized mask and its words.
 """
 
@@ -10,6 +12,7 @@ from __future__ import annotations
 
 import ctypes
 import gc
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,6 +21,7 @@ import pyarrow.compute as pc
 
 PIECE = 1 << 18          # bytes hashed at once
 CHUNK_BYTES = 1 << 20    # bytes of text handled at once
+LONG = 256               # bytes of a word that is hashed by itself
 
 _RNG = np.random.Generator(np.random.PCG64(20240607))
 _VALUE = _RNG.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -137,25 +141,28 @@ class Words:
         return long, self._hash(self.starts[long], self.starts[long] + length)
 
     def _hash(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        out = np.empty(len(starts), dtype=np.uint64)
+        long = ends - starts >= LONG
+        for i in np.flatnonzero(long).tolist():
+            digest = hashlib.blake2b(self.buf[starts[i]:ends[i]], digest_size=8).digest()
+            out[i] = int.from_bytes(digest, "little")
+        if long.any():
+            out[~long] = self._polynomials(starts[~long], ends[~long])
+            return out
+        return self._polynomials(starts, ends)
+
+    def _polynomials(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Hashes of runs shorter than a piece."""
         out = np.empty(len(starts), dtype=np.uint64)
         i, n = 0, len(starts)
         while i < n:
             a = int(starts[i])
             j = max(i + 1, int(np.searchsorted(ends, a + PIECE, "right")))
             b = int(ends[j - 1])
-            if b - a <= PIECE:
-                sums = np.zeros(b - a + 1, dtype=np.uint64)
-                np.cumsum(_VALUE[self.buf[a:b]] * _POW[:b - a], out=sums[1:])
-                s, e = starts[i:j] - a, ends[i:j] - a
-                out[i:j] = mix((sums[e] - sums[s]) * _INV[s] + (e - s).astype(np.uint64))
-            else:  # one word longer than a piece: by pieces, in the same polynomial
-                total, scale = np.uint64(0), np.uint64(1)
-                with np.errstate(over="ignore"):
-                    for k in range(a, b, PIECE):
-                        part = self.buf[k:min(b, k + PIECE)]
-                        total = total + np.sum(_VALUE[part] * _POW[:len(part)], dtype=np.uint64) * scale
-                        scale = scale * _POW[PIECE]
-                out[i] = mix(np.array([total + np.uint64(b - a)]))[0]
+            sums = np.zeros(b - a + 1, dtype=np.uint64)
+            np.cumsum(_VALUE[self.buf[a:b]] * _POW[:b - a], out=sums[1:])
+            s, e = starts[i:j] - a, ends[i:j] - a
+            out[i:j] = mix((sums[e] - sums[s]) * _INV[s] + (e - s).astype(np.uint64))
             i = j
         return out
 
