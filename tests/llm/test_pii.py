@@ -1,10 +1,13 @@
 import hashlib
+import math
 import random
 import re
+from collections import Counter
 
 from llm_helpers import documents, edge_rows
 
 from weekwise.llm import pii
+from weekwise.llm.common import Scratch
 
 PATTERNS = [("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
             ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
@@ -99,3 +102,50 @@ def test_discovery_over_separators_and_from_the_whole_text(spark):
 def test_empty_and_edges(spark):
     assert pii.personal_data(documents(spark, [])).collect() == []
     assert pii.personal_data(documents(spark, edge_rows())).count() == len(edge_rows())
+
+
+def test_a_pattern_is_no_evidence_for_itself(spark):
+    """Plain numbers that outnumber the phones after the same words are not marked."""
+    rows = [(k, f"so the ref number is +1 988 555 {2000 + k} then") for k in range(50)]
+    rows += [(100 + k, f"so the ref number is 77{k:02}345{k:02} then") for k in range(60)]
+    spans = {r.doc_id: r.spans for r in pii.personal_data(documents(spark, rows)).collect()}
+    assert [spans[100 + k] for k in range(60)] == [""] * 60
+
+
+def test_a_pattern_may_mark_several_kinds(spark):
+    rows = [(k, f"you can reach me at +1 988 555 {2000 + k} now") for k in range(50)]
+    rows += [(100 + k, f"you can reach me at joe{k}@example.com now") for k in range(50)]
+    rows += [(200, "you can reach me at 988-555-7777 now"), (201, "you can reach me at jane[at]example.com now")]
+    spans = {r.doc_id: r.spans for r in pii.personal_data(documents(spark, rows)).collect()}
+    assert spans[200] == "phone:20:32" and spans[201] == "email:20:39"
+
+
+def test_confidence_equals_a_plain_bootstrap(spark):
+    """A random graph of patterns and instances against loops over it."""
+    r = random.Random(12)
+    seeds = {f"+1988555{k:04}": "phone" for k in range(12)} | {f"1.2.3.{k}": "ip" for k in range(6)}
+    plain = [f"9885551{k:03}" for k in range(25)] + ["noon", "x7"]
+    edges = [(f"p{r.randrange(9)}", i) for i in r.choices([*seeds, *seeds, *plain], k=260)]
+    tokens = [(0, [(p, i, seeds.get(i)) for p, i in edges])]
+    df = documents(spark, [(1, "x")]).sparkSession.createDataFrame(
+        tokens, "row long, tokens array<struct<pattern: string, found: string, seed: string>>")
+    got = {(x.kind, x.pattern): x.confidence for x in pii.confident_patterns(
+        df, Scratch(spark, "test"), rounds=3, confidence=0.0, least_seeds=3).collect()}
+    n = Counter(edges)
+    kinds = [(k, p) for p in {p for p, _ in n} for k in pii.KINDS
+             if len({i for q, i in n if q == p and seeds.get(i) == k}) >= 3]
+    near = {(k, p, i): c for k, p in kinds for (q, i), c in n.items()
+            if q == p and (seeds.get(i) == k or re.search(pii.LOOKS[k], i))}
+    conf = dict.fromkeys(kinds, 0.0)
+    for _ in range(3):
+        new = {}
+        for k, p in kinds:
+            total = 0.0
+            for (k2, p2, i), c in near.items():
+                if (k2, p2) == (k, p):
+                    fail = math.prod(1 - min(0.999, conf[k, q]) for k3, q, j in near if k3 == k and j == i and q != p)
+                    total += c * (1.0 if seeds.get(i) == k else 0.0 if i in seeds else 1 - fail)
+            new[k, p] = total / (sum(c for (k2, p2, _), c in near.items() if (k2, p2) == (k, p)) + 1)
+        conf = new
+    assert got.keys() == conf.keys() and len(got) > 5
+    assert all(abs(got[x] - conf[x]) < 1e-6 for x in conf)

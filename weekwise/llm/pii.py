@@ -4,10 +4,13 @@ Fixed patterns find e-mail addresses, IP addresses, payment cards and phone
 numbers; their spans are the base.  Seen as seeds, the base spans induce
 lexical patterns: the two words that stand before them, or the start of the
 text.  Over all documents each identifier-like token and the words before it are an edge of a graph of
-patterns and instances.  A pattern's confidence is the mean reliability of its
-instances, an instance's reliability follows from its patterns, seeds being
-certain; a few rounds of joins and sums settle both.  Patterns of high
-confidence and support then mark the identifiers that no fixed pattern finds.
+patterns and instances.  A pattern's confidence in a kind is the mean
+reliability of the tokens after it that are seeds of the kind or look like it.
+Seeds are certain (those of another kind certainly none), any other token is as
+reliable as its other patterns make it: a pattern is no evidence for itself.  A
+few rounds of joins and sums settle both.  Patterns of high confidence and
+support then mark the identifiers that no fixed pattern finds; a pattern may
+mark several kinds, each token as the surest of those that it looks like.
 
 A pattern needs ``LEAST_SEEDS`` different seeds of its kind, at every size of
 the table, and patterns and instances meet in joins that deal out the hot ones;
@@ -205,6 +208,14 @@ def with_tokens(base: DataFrame) -> DataFrame:
     return raw.withColumn("tokens", F.filter(tokens, lambda t: ~t["inside"])).drop("raw")
 
 
+def _looks(found: Column, kind: Column) -> Column:
+    """Whether a token looks like an identifier of the kind."""
+    out = F.lit(False)
+    for k in KINDS:
+        out = out | ((kind == k) & found.rlike(LOOKS[k]))
+    return out
+
+
 def confident_patterns(rows: DataFrame, scratch: Scratch, rounds: int = ROUNDS,
                        confidence: float = CONFIDENCE, least_seeds: int = LEAST_SEEDS) -> DataFrame:
     """(kind, pattern, confidence): the patterns that mark unseen identifiers."""
@@ -218,22 +229,26 @@ def confident_patterns(rows: DataFrame, scratch: Scratch, rounds: int = ROUNDS,
     kinds = F.array_compact(F.array(*[F.when(F.col(k) >= least_seeds, F.lit(k)) for k in KINDS]))
     met = scratch.save(met.select("pattern", "weight", kinds.alias("kinds")).filter(F.size("kinds") > 0), "patterns")
     near = scratch.save(salted_lookup(edges, met, ["pattern"], "weight", ["instance"])
-                        .select("pattern", "instance", "seed", "n", F.explode("kinds").alias("kind")), "near")
-    known = F.max((F.col("seed") == F.col("kind")).cast("double"))
-    reliable = near.groupBy("instance", "kind").agg(F.coalesce(known, F.lit(0.0)).alias("r"), F.count("*").alias("weight"))
+                        .select("pattern", "instance", "seed", "n", F.explode("kinds").alias("kind"))
+                        .filter((F.coalesce("seed", F.lit("")) == F.col("kind")) | _looks(F.col("instance"), F.col("kind"))),
+                        "near")
+    sure = F.when(F.col("seed") == F.col("kind"), 1.0).when(F.col("seed").isNotNull(), 0.0)
+    rated = near.withColumn("r", F.coalesce(sure, F.lit(0.0)))
     conf = None
     for _ in range(rounds):
         if conf is not None:
-            # independent patterns: an instance fails only if all its patterns do
-            reliable = salted_lookup(near, conf, ["kind", "pattern"], "weight", ["instance"]).groupBy("instance", "kind").agg(
-                F.max(F.when(F.col("seed") == F.col("kind"), 1.0)).alias("known"), F.count("*").alias("weight"),
-                (1 - F.exp(F.sum(F.log(1 - F.least("confidence", F.lit(0.999)))))).alias("r"))
-            reliable = reliable.select("instance", "kind", F.coalesce("known", "r").alias("r"), "weight")
-        reliable = scratch.save(reliable, "instances")
-        conf = scratch.save(
-            salted_lookup(near, reliable, ["instance", "kind"], "weight", ["pattern"]).groupBy("kind", "pattern").agg(
-                (F.sum(F.col("r") * F.col("n")) / (F.sum("n") + 1)).alias("confidence"),
-                F.count("*").alias("weight")), "confidence")
+            # independent patterns: an instance fails only if all others of its patterns do
+            fails = F.log(1 - F.least("confidence", F.lit(0.999))).cast("decimal(20,9)")
+            held = scratch.save(salted_lookup(near, conf, ["kind", "pattern"], "weight", ["instance"])
+                                .withColumn("fails", fails).drop("confidence"), "held")
+            all_fail = scratch.save(held.groupBy("instance", "kind").agg(
+                F.sum("fails").alias("all_fail"), F.count("*").alias("weight")), "instances")
+            others = 1 - F.exp((F.col("all_fail") - F.col("fails")).cast("double"))
+            rated = salted_lookup(held, all_fail, ["instance", "kind"], "weight", ["pattern"]).withColumn(
+                "r", F.coalesce(sure, others))
+        total = F.sum((F.col("r") * F.col("n")).cast("decimal(28,9)")).cast("double")
+        conf = scratch.save(rated.groupBy("kind", "pattern").agg(
+            (total / (F.sum("n") + 1)).alias("confidence"), F.count("*").alias("weight")), "confidence")
     return conf.filter(F.col("confidence") >= confidence).drop("weight")
 
 
@@ -249,19 +264,20 @@ def find_spans(docs: DataFrame, rounds: int = ROUNDS, confidence: float = CONFID
     rows = scratch.save(with_tokens(with_base(docs)).select(
         F.monotonically_increasing_id().alias("row"), "doc_id", listed.alias("base"), "tokens"), "rows")
     found = confident_patterns(rows, scratch, rounds, confidence, least_seeds)
-    found = found.groupBy("pattern").agg(F.max(F.struct("confidence", "kind"))["kind"].alias("kind"))
-
-    def looks(kind):
-        return F.col("found").rlike(LOOKS[kind])
+    found = found.groupBy("pattern").agg(F.collect_list(F.struct("confidence", "kind")).alias("kinds"))   # four at most
 
-    any_kind, own_kind = F.lit(False), F.lit(False)
+    any_kind = F.lit(False)
     for k in KINDS:
-        any_kind = any_kind | looks(k)
-        own_kind = own_kind | ((F.col("kind") == k) & looks(k))
+        any_kind = any_kind | F.col("found").rlike(LOOKS[k])
     unseen = rows.select("row", F.explode_outer("tokens").alias("t")).filter("t is not null and t.seed is null")
     unseen = scratch.save(unseen.select("row", "t.start", "t.end", "t.found", "t.pattern").filter(any_kind), "unseen")
     marking = scratch.save(unseen.groupBy("pattern").agg(F.count("*").alias("weight")).join(found, "pattern"), "marking")
-    marked = salted_lookup(unseen, marking, ["pattern"], "weight", ["row", "start"]).filter(own_kind).groupBy("row").agg(
+    # a token of several kinds is marked as the one its pattern is surest of
+    each = salted_lookup(unseen, marking, ["pattern"], "weight", ["row", "start"]).select(
+        "row", "start", "end", "found", F.explode("kinds").alias("k")).select("*", "k.kind", "k.confidence").filter(
+        _looks(F.col("found"), F.col("kind")))
+    each = each.groupBy("row", "start", "end", "found").agg(F.max(F.struct("confidence", "kind"))["kind"].alias("kind"))
+    marked = each.groupBy("row").agg(
         F.collect_list(F.struct("kind", "start", "end", "found")).alias("marked"))
     empty = F.array().cast("array<struct<kind:string,start:int,end:int,found:string>>")
     return rows.drop("tokens").join(marked, "row", "left").select(
