@@ -68,3 +68,24 @@ def test_empty_tables(spark):
     bench = importable(spark).createDataFrame([], "item_id long, text string")
     assert decontaminate.contamination(documents(spark, []), bench).collect() == []
     assert decontaminate.contamination(documents(spark, [(1, "a b")]), bench).collect()[0].n_items == 0
+
+
+def test_a_long_item_is_split_and_the_set_keeps_its_bound(spark):
+    r = random.Random(2)
+    item = [f"v{r.randrange(5000)}" for _ in range(6000)]
+    rows_ = [(k, " ".join(item[a:a + 30])) for k, a in enumerate(range(0, 5900, 37))] + [(999, "v1 v2 v3")]
+    bench = importable(spark).createDataFrame([(7, " ".join(item)), (8, " ".join(item[100:140]))], "item_id long, text string")
+    got = decontaminate.contamination(documents(spark, rows_), bench, max_bytes=100_000)
+    found = {x.doc_id: x for x in got.collect()}
+    for k, a in enumerate(range(0, 5900, 37)):
+        ids = ["7"] + ["8"] * any(100 <= s and s + 10 <= 140 for s in range(a, a + 21))
+        assert (found[k].n_hit, found[k].items_sha256) == (30, decontaminate.item_digest(ids))
+    assert not found[999].contaminated
+    for items, _ in decontaminate._parts(bench, 100_000, 10):
+        assert decontaminate.NgramSet(items, 10).nbytes() < 2 * 100_000
+
+
+def test_null_and_empty_item_ids_are_one(spark):
+    bench = importable(spark).createDataFrame([(None, "a b c"), ("", "d e f")], "item_id string, text string")
+    got = decontaminate.contamination(documents(spark, [(1, "a b c d e f")]), bench).collect()[0]
+    assert (got.n_items, got.items_sha256) == (1, decontaminate.item_digest([""]))

@@ -6,18 +6,22 @@ hashes the word windows of its documents as arrays, keeps those found in the
 set and compares the words of every hit, so equal hashes of different words
 count for nothing.  There is no shuffle.
 
-The set is bounded: items are packed into parts of at most ``max_bytes`` of
-text, and when there are several parts the documents are scanned once per
-part, the findings kept in a table in the shared folder between the scans.
+The set is bounded: it is kept as arrays, items are packed into parts whose
+sets are at most about ``max_bytes``, and an item beyond that is cut into
+pieces that overlap by a window less a word.  When there are several parts the
+documents are scanned once per part, the findings kept in a table in the shared
+folder between the scans; the driver holds one part at a time.
 
 Defined cases: a null or empty text has no words; a null item text has no
-windows; a null item_id is an item of its own and is written as an empty
-string in the digest; repeated items with one id count once.
+windows; a null item_id counts as an empty one (both are one item) and is
+written as an empty string in the digest; repeated items with one id count
+once.
 """
 
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,10 +31,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weekwise.llm.common import Scratch, fresh
-from weekwise.llm.text_arrays import Words, alnum_words, chunks
+from weekwise.llm.text_arrays import Words, alnum_words, chunks, mix, windows
 
 WINDOW = 10
-MAX_SET_BYTES = 32 << 20   # of benchmark text in one broadcast set
+MAX_SET_BYTES = 32 << 20   # of one broadcast set, about
+WORD_BYTES = 48            # of a word's window in the set, its text aside
+WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"   # as alnum_words() has them
+_SECOND = np.uint64(0x452821E638D01377)
 
 FOUND = T.StructType([
     T.StructField("n_words", T.LongType()),
@@ -40,44 +47,55 @@ FOUND = T.StructType([
 
 
 class NgramSet:
-    """Windows of benchmark items by length: hash -> [(words, item ids)]."""
+    """Windows of benchmark items as arrays: sorted hashes by length, with the place and item of each."""
 
     def __init__(self, items: list[tuple[str, str | None]], window: int) -> None:
-        self.by_length: dict[int, dict[int, dict[tuple, set]]] = {}
-        words = Words(pa.array([t for _, t in items], pa.large_string()), alnum_words())
-        spelled = [words.word(i) for i in range(len(words.starts))]
-        hashed = {}
-        for k, (item, _) in enumerate(items):
-            a, b = int(words.word_offs[k]), int(words.word_offs[k + 1])
-            if a == b:
-                continue
-            n = min(window, b - a)
-            if n not in hashed:
-                hashed[n] = words.windows(n)
-            found = self.by_length.setdefault(n, {})
-            for i in range(a, b - n + 1):
-                same = found.setdefault(int(hashed[n][i]), {})
-                same.setdefault(tuple(spelled[i:i + n]), set()).add(item)
-        self.sorted = {n: np.array(sorted(d), dtype=np.uint64) for n, d in self.by_length.items()}
-        self.filter = {}
-        for n, values in self.sorted.items():
-            bits = np.zeros(1 << 20, dtype=bool)
-            bits[(values & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
+        self.words = words = Words(pa.array([t for _, t in items], pa.large_string()), alnum_words())
+        self.ids = sorted({i for i, _ in items})
+        number = {x: k for k, x in enumerate(self.ids)}
+        owner = np.array([number[i] for i, _ in items], dtype=np.int64)
+        sizes = np.diff(words.word_offs)
+        self.by_length: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        self.filter: dict[int, np.ndarray] = {}
+        second = None
+        for n in np.unique(np.minimum(sizes[sizes > 0], window)).tolist():
+            at = np.flatnonzero(np.minimum(sizes, window) == n)
+            count = sizes[at] - n + 1
+            place = np.arange(count.sum()) + np.repeat(words.word_offs[at] - np.cumsum(count) + count, count)
+            item = np.repeat(owner[at], count)
+            second = mix(words.hashes ^ _SECOND) if second is None else second
+            key, other = windows(words.hashes, n)[place], windows(second, n)[place]
+            # an item that repeats a window has it once; hashes of 128 bits tell its windows apart
+            order = np.lexsort((other, item, key))
+            key, other, item, place = key[order], other[order], item[order], place[order]
+            new = np.ones(len(key), dtype=bool)
+            new[1:] = (key[1:] != key[:-1]) | (item[1:] != item[:-1]) | (other[1:] != other[:-1])
+            self.by_length[n] = key[new], item[new], place[new]
+            bits = np.zeros(1 << max(16, int(new.sum() * 4).bit_length()), dtype=bool)
+            bits[(key & np.uint64(len(bits) - 1)).astype(np.int64)] = True
             self.filter[n] = bits
+        words.hashes = words.hashes[:0]      # served its purpose
+
+    def nbytes(self) -> int:
+        own = self.words.buf.nbytes + self.words.starts.nbytes + self.words.ends.nbytes
+        return own + sum(x.nbytes for part in self.by_length.values() for x in part) + sum(
+            x.nbytes for x in self.filter.values())
 
     def hits(self, words: Words) -> Iterator[tuple[int, int, set]]:
         """(first word, length, items) of each verified window, over all texts."""
         ends = words.word_offs
-        for n, known in self.by_length.items():
+        for n, (keys, item, place) in self.by_length.items():
             h = words.windows(n)
-            maybe = np.flatnonzero(self.filter[n][(h & np.uint64((1 << 20) - 1)).astype(np.int64)])
+            maybe = np.flatnonzero(self.filter[n][(h & np.uint64(len(self.filter[n]) - 1)).astype(np.int64)])
             if not len(maybe):
                 continue
-            at = np.minimum(np.searchsorted(self.sorted[n], h[maybe]), len(self.sorted[n]) - 1)
-            maybe = maybe[self.sorted[n][at] == h[maybe]]
+            first, last = np.searchsorted(keys, h[maybe]), np.searchsorted(keys, h[maybe], "right")
             doc_end = ends[np.searchsorted(ends, maybe, "right")]
-            for i in maybe[maybe + n <= doc_end].tolist():
-                items = known[int(h[i])].get(tuple(words.word(j) for j in range(i, i + n)))
+            there = (last > first) & (maybe + n <= doc_end)
+            for i, a, b in zip(maybe[there].tolist(), first[there].tolist(), last[there].tolist()):
+                mine = [words.word(j) for j in range(i, i + n)]
+                items = {self.ids[k] for k, p in zip(item[a:b].tolist(), place[a:b].tolist())
+                         if all(self.words.word(p + j) == mine[j] for j in range(n))}
                 if items:
                     yield i, n, items
 
@@ -119,13 +137,11 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                   max_bytes: int = MAX_SET_BYTES) -> DataFrame:
     """(doc_id, found) of every document row; ``found`` is ``FOUND``."""
     spark = docs.sparkSession
-    parts = _parts(benchmark, max_bytes)
     out = docs.select("doc_id", "text", F.lit(None).cast(FOUND).alias("found"))
     between = out.schema
     scratch = Scratch(spark, "decontaminate")
-    for k, items in enumerate(parts):
+    for items, last in _parts(benchmark, max_bytes, window):
         ngrams = spark.sparkContext.broadcast(NgramSet(items, window))
-        last = k + 1 == len(parts)
 
         def scan(batches, ngrams=ngrams, last=last):
             for batch in chunks(batches, "text"):
@@ -137,23 +153,38 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     raise AssertionError("there is always a part")
 
 
-def _parts(benchmark: DataFrame, max_bytes: int) -> list[list[tuple[str, str | None]]]:
-    """Benchmark items packed into parts of bounded text.
+def _pieces(item: str, text: str, n_words: int, window: int, words: int) -> Iterator[tuple[str, str, int]]:
+    """An item of more than ``words`` words as several that have its windows among them."""
+    if n_words <= words:
+        yield item, text, n_words
+        return
+    spans = [m.span() for m in re.finditer(WORD, text)]
+    for a in range(0, len(spans) - window + 1, words):
+        end = min(len(spans), a + words + window - 1)
+        yield item, text[spans[a][0]:spans[end - 1][1]], end - a
+
+
+def _parts(benchmark: DataFrame, max_bytes: int, window: int) -> Iterator[tuple[list[tuple[str, str | None]], bool]]:
+    """(items, last): benchmark items packed into parts whose sets are at most about ``max_bytes``.
 
-    The benchmark is test material written by people; it comes to the driver
-    a partition at a time, as its windows must reach every task.
+    Spark counts the words; the driver reads the items partition by partition
+    and holds one part, of which it makes the set that every task needs.
     """
-    parts: list[list] = [[]]
+    part: list[tuple[str, str | None]] = []
     size = 0
-    for row in benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"),
-                                "text").toLocalIterator():
-        n = len((row.text or "").encode())
-        if parts[-1] and size + n > max_bytes:
-            parts.append([])
-            size = 0
-        parts[-1].append((row.item_id, row.text))
-        size += n
-    return parts
+    most = max(window, max_bytes // (2 * WORD_BYTES))
+    rows = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"),
+                            F.coalesce("text", F.lit("")).alias("text"),
+                            F.regexp_count("text", F.lit(WORD)).alias("n"))
+    for row in rows.toLocalIterator():
+        for item, text, n in _pieces(row.item_id, row.text, row.n or 0, window, most):
+            cost = len(text.encode()) + WORD_BYTES * n
+            if part and size + cost > max_bytes:
+                yield part, False
+                part, size = [], 0
+            part.append((item, text))
+            size += cost
+    yield part, True
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
@@ -183,14 +214,12 @@ def remove_overlaps(docs: DataFrame, benchmark: DataFrame, whole: bool = False,
     ``n_chars`` follows the new text where that column exists and is set.
     """
     spark = docs.sparkSession
-    parts = _parts(benchmark, max_bytes)
     scratch = Scratch(spark, "decontaminate")
     marks = fresh(docs.columns, "marks")
     out = docs.withColumn(marks, F.lit(None).cast(T.ArrayType(T.LongType())))
     between = out.schema
-    for k, items in enumerate(parts):
+    for items, last in _parts(benchmark, max_bytes, window):
         ngrams = spark.sparkContext.broadcast(NgramSet(items, window))
-        last = k + 1 == len(parts)
 
         def cut(batches, ngrams=ngrams, last=last):
             for batch in chunks(batches, "text"):

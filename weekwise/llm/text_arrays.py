@@ -172,12 +172,16 @@ class Words:
     def windows(self, length: int) -> np.ndarray:
         """Hash of the ``length`` words from each word on; the last
         ``length - 1`` words of all texts have none."""
-        h = self.hashes
-        m = len(h) - length + 1
-        if m <= 0:
-            return np.zeros(0, dtype=np.uint64)
-        out = np.zeros(m, dtype=np.uint64)
-        for k in range(length):
-            out *= np.uint64(0xD6E8FEB86659FD93)
-            out += h[k:k + m]
-        return mix(out)
+        return windows(self.hashes, length)
+
+
+def windows(hashes: np.ndarray, length: int) -> np.ndarray:
+    """Hash of each ``length`` consecutive hashes."""
+    m = len(hashes) - length + 1
+    if m <= 0:
+        return np.zeros(0, dtype=np.uint64)
+    out = np.zeros(m, dtype=np.uint64)
+    for k in range(length):
+        out *= np.uint64(0xD6E8FEB86659FD93)
+        out += hashes[k:k + m]
+    return mix(out)
