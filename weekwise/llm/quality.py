@@ -34,6 +34,7 @@ WIDTH = 32
 SIGNS = 2                # entries of an index vector
 REACH = 2                # neighbours on each side
 BLOCK = 1 << 16          # tokens whose vectors are held at once
+UNIT = 1 << 16           # of a vector's entries as integers
 HIDDEN = 24
 THRESHOLD = 0.7
 
@@ -81,11 +82,15 @@ def context_vectors(docs: DataFrame) -> np.ndarray:
 
 
 def pooled(texts: pa.Array, vectors: np.ndarray) -> np.ndarray:
-    """Mean, spread and agreement of neighbours of the token vectors, and length, of every text."""
+    """Mean, spread and agreement of neighbours of the token vectors, and length, of every text.
+
+    Vectors are summed as integers, so a text has the same result in any company.
+    """
     row, offs, _ = _tokens(texts)
     n = len(texts)
     count = np.diff(offs)
-    sums = np.zeros((3, n, WIDTH))
+    vectors = np.rint(vectors * float(UNIT)).astype(np.int64)
+    sums = np.zeros((3, n, WIDTH), dtype=np.int64)
     for a in range(0, len(row), BLOCK):
         v = vectors[row[a:a + BLOCK + 1]]
         doc = np.searchsorted(offs, np.arange(a, a + len(v)), "right") - 1
@@ -97,6 +102,7 @@ def pooled(texts: pa.Array, vectors: np.ndarray) -> np.ndarray:
         if len(beside):
             ids, first = np.unique(doc[:len(beside)], return_index=True)
             sums[2, ids] += np.add.reduceat(beside[:BLOCK], first)
+    sums = sums / np.array([UNIT, UNIT ** 2, UNIT ** 2], dtype=float)[:, None, None]
     mean, square = sums[0] / np.maximum(count, 1)[:, None], sums[1] / np.maximum(count, 1)[:, None]
     spread = np.sqrt(np.maximum(square - mean ** 2, 0))
     agree = sums[2] / np.maximum(count - 1, 1)[:, None]
@@ -164,7 +170,8 @@ class Model:
 def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
     """Vectors from all documents, network from at most ``rows`` of each label."""
     spark = docs.sparkSession
-    sample, weight = labelled_sample(docs, labels, "quality", Scratch(spark, "quality"), rows)
+    scratch = Scratch(spark, "quality")
+    sample, weight = labelled_sample(docs, labels, "quality", scratch, rows)
     vectors = context_vectors(docs)
     if len(weight) < 2:
         return Model(vectors, float(next(iter(weight), 0.5)))
@@ -174,10 +181,12 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
         for batch in chunks(batches, "text"):
             x = pooled(batch.column("text"), shared.value)
             yield pa.RecordBatch.from_pydict({"x": pa.array(list(x), pa.list_(pa.float64())),
-                                              "label": batch.column("label"), "fold": batch.column("fold")})
+                                              "label": batch.column("label"), "fold": batch.column("fold"),
+                                              "gram": batch.column("gram")})
 
-    # one vector for each document of the sample
-    found = sample.mapInArrow(run, "x array<double>, label int, fold int").collect()
+    # one vector for each document of the sample, in an order of its own
+    found = sample.mapInArrow(run, "x array<double>, label int, fold int, gram long").orderBy("gram", "label").collect()
+    scratch.clear()
     x = np.array([r["x"] for r in found])
     y = np.array([r["label"] for r in found], dtype=float)
     w = np.array([weight[r["label"]] for r in found])

@@ -250,7 +250,8 @@ class Model:
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
     """Lexicon and weights from at most ``rows`` documents of each label."""
-    sample, weight = labelled_sample(docs, labels, "toxic", Scratch(docs.sparkSession, "toxicity"), rows)
+    scratch = Scratch(docs.sparkSession, "toxicity")
+    sample, weight = labelled_sample(docs, labels, "toxic", scratch, rows)
     x, y = [np.zeros((0, len(TYPES)))], [np.zeros(0)]
     for fold in (0, 1):  # weights come from documents that the lexicon has not seen
         lexicon = Lexicon(learn_insults(sample.filter(F.col("fold") % 2 != fold)))
@@ -260,16 +261,19 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
             for batch in chunks(batches, "text"):
                 counts = clause_counts(batch.column("text"), shared.value)
                 yield pa.RecordBatch.from_pydict({"counts": pa.array(list(counts), pa.list_(pa.float64())),
-                                                  "label": batch.column("label")})
+                                                  "label": batch.column("label"), "gram": batch.column("gram")})
 
-        # one short row for each document of the sample
-        found = sample.filter(F.col("fold") % 2 == fold).mapInArrow(run, "counts array<double>, label int").collect()
+        # one short row for each document of the sample, in an order of its own
+        found = sample.filter(F.col("fold") % 2 == fold).mapInArrow(
+            run, "counts array<double>, label int, gram long").orderBy("gram", "label").collect()
         x.append(np.array([r["counts"] for r in found]).reshape(len(found), len(TYPES)))
         y.append(np.array([r["label"] for r in found], dtype=float))
     y = np.concatenate(y)
     row_weight = np.where(y > 0, weight.get(1, 1.0), weight.get(0, 1.0))
     weights = fit_weights(_inputs(np.concatenate(x)), y, row_weight)
-    return Model(Lexicon(learn_insults(sample)), weights)
+    model = Model(Lexicon(learn_insults(sample)), weights)
+    scratch.clear()
+    return model
 
 
 def score_documents(docs: DataFrame, model: Model) -> DataFrame:
