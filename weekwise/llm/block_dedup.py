@@ -94,20 +94,21 @@ def name_documents(docs: DataFrame, scratch: Scratch, block_bytes: int = BLOCK_B
         keys = ["first", "second", "alone"]
         names = scratch.save(_named(pairs.groupBy(*keys).agg(F.count("*").alias("weight")), keys), "pair-names")
         level += 1
+        scratch.sweep()
         rows = scratch.save(
             salted_lookup(pairs, names, keys, "weight", ["doc_id", "pair"])
             .select("doc_id", "sha", F.ceil(F.col("n_blocks") / 2).cast("int").alias("n_blocks"),
                     F.col("pair").cast("int").alias("pos"), "name", "copies"), "level")
+        scratch.drop(pairs, names)
     out = done[0]
     for part in done[1:]:
         out = out.unionByName(part)
     return out
 
 
-def duplicate_groups(docs: DataFrame, block_bytes: int = BLOCK_BYTES,
+def duplicate_groups(docs: DataFrame, scratch: Scratch, block_bytes: int = BLOCK_BYTES,
                      route: Callable[[Column], Column] = F.xxhash64) -> DataFrame:
     """(doc_id, sha, keep_id, group_size, copies) per distinct (doc_id, text)."""
-    scratch = Scratch(docs.sparkSession, "dedup")
     rows = name_documents(docs, scratch, block_bytes, route)
     groups = scratch.save(rows.groupBy("level", "name").agg(
         F.max("doc_id").alias("keep_id"), F.sum("copies").alias("group_size"),
@@ -119,7 +120,7 @@ def duplicate_groups(docs: DataFrame, block_bytes: int = BLOCK_BYTES,
 def exact_duplicates(docs: DataFrame, block_bytes: int = BLOCK_BYTES,
                      route: Callable[[Column], Column] = F.xxhash64) -> DataFrame:
     """One row per document row: doc_id, keep_id, group_size, kept, text_sha256."""
-    groups = duplicate_groups(docs, block_bytes, route)
+    groups = duplicate_groups(docs, Scratch(docs.sparkSession, "dedup"), block_bytes, route)
     return (groups.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
             .select("doc_id", "keep_id", F.col("group_size").cast("long").alias("group_size"),
                     (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("copy") == 1)).alias("kept"),
@@ -132,10 +133,12 @@ def drop_duplicates(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFram
     Of rows that are equal in doc_id and text any one stays.
     """
     scratch = Scratch(docs.sparkSession, "dedup-kept")
-    groups = duplicate_groups(docs, block_bytes)
+    naming = Scratch(docs.sparkSession, "dedup")
+    groups = duplicate_groups(docs, naming, block_bytes)
     id_, sha, copies = (fresh(docs.columns, c) for c in ("kept_id", "kept_sha", "copies"))
     kept = scratch.save(groups.filter(F.col("doc_id").eqNullSafe(F.col("keep_id"))).select(
         F.col("doc_id").alias(id_), F.col("sha").alias(sha), F.col("copies").alias(copies)), "kept")
+    naming.clear()
     own = F.unhex(F.sha2(F.encode(lower_ascii(docs["text"]), "UTF-8"), 256))
     same = docs["doc_id"].eqNullSafe(F.col(id_)) & (own == F.col(sha))
     repeated = F.col(copies) > 1

@@ -92,6 +92,10 @@ class Scratch:
         gc.collect()
         self.spark._jvm.System.gc()
 
+    def clear(self) -> None:
+        """Free all tables, when no pending plan reads any."""
+        self.drop(self.root)
+
     def drop(self, *frames_or_paths) -> None:
         jvm = self.spark._jvm
         conf = self.spark._jsc.hadoopConfiguration()
