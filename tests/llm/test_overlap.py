@@ -45,8 +45,10 @@ def test_equals_brute_force(spark, monkeypatch, shingle, threshold, block_sets):
         for _ in range(r.randint(0, 3)):
             copy[r.randrange(90)] = f"c{r.randint(0, 5)}"
         rows.append((1000 + k, " ".join(copy[:r.randint(84, 90)])))
-    got = overlap_join.near_duplicates(documents(spark, rows), shingle, threshold, block_sets)
-    assert ordered(got.collect()) == brute(rows, shingle, threshold)
+    expected = brute(rows, shingle, threshold)
+    for slice_bytes in (overlap_join.SLICE_BYTES, 20_000):
+        got = overlap_join.near_duplicates(documents(spark, rows), shingle, threshold, block_sets, slice_bytes)
+        assert ordered(got.collect()) == expected
 
 
 def test_linked_sets_share_a_bucket():
@@ -96,3 +98,40 @@ def test_empty_table_and_dropping(spark):
     kept = overlap_join.drop_near_duplicates(docs)
     assert kept.columns == docs.columns
     assert sorted(r.doc_id for r in kept.collect()) == [1, 3, 4, 5]
+
+
+def test_parity_bits_never_overstate_a_difference():
+    r = np.random.default_rng(5)
+    for _ in range(2000):
+        a = np.unique(r.integers(0, 2**63, int(r.integers(1, 300)), dtype=np.uint64))
+        b = np.unique(np.concatenate([a[:int(r.integers(0, len(a) + 1))],
+                                      r.integers(0, 2**63, int(r.integers(1, 90)), dtype=np.uint64)]))
+        least = overlap_join.least_difference(overlap_join.parity_bits(a), overlap_join.parity_bits(b))
+        assert least <= len(np.setxor1d(a, b))
+    assert overlap_join.least_difference(overlap_join.parity_bits(a), overlap_join.parity_bits(a)) == 0
+
+
+def test_regular_long_words_are_told_apart(spark):
+    """Thue-Morse words and their complements, which a polynomial modulo 2**64 cannot tell apart."""
+    word = "a"
+    while len(word) < 4096:
+        word += word.translate(str.maketrans("ab", "ba"))
+    rows = [(1, word), (2, word.translate(str.maketrans("ab", "ba"))), (3, word), (4, word[:1024]),
+            (5, word[:1024].translate(str.maketrans("ab", "ba"))), (6, "b " + word), (7, "x" * 255), (8, "x" * 256)]
+    assert ordered(overlap_join.near_duplicates(documents(spark, rows)).collect()) == brute(rows)
+
+
+@pytest.mark.parametrize("written", [False, True])
+def test_dropping_with_repeated_and_null_ids(spark, tmp_path, written):
+    text, near = "one two three four five six seven eight nine ten " * 3, "a b c d e f g h i j k l m n o p q r s t u v"
+    rows = [(1, text), (1, text), (5, text), (5, "linked with nothing here"), (None, text), (None, near), (None, near),
+            (9, near + " w x"), (None, "alone and without an id"), (8, ""), (8, ""), (None, None), (3, None)]
+    docs = documents(spark, rows)
+    if written:
+        docs.write.parquet(str(tmp_path / "docs"))
+        docs = spark.read.parquet(str(tmp_path / "docs"))
+    kept = overlap_join.drop_near_duplicates(docs)
+    assert kept.columns == docs.columns
+    assert ordered((r.doc_id, r.text) for r in kept.collect()) == ordered(
+        [(1, text), (5, "linked with nothing here"), (9, near + " w x"), (None, "alone and without an id"),
+         (8, ""), (8, ""), (None, None), (3, None)])

@@ -46,9 +46,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weekwise.llm.bloom import FILTER_BYTES, BlockedBloom
 from weekwise.llm.common import Scratch, fresh, salted_lookup
 from weekwise.llm.components import components
 from weekwise.llm.text_arrays import Words, chunks, mix, space_words
@@ -62,6 +65,9 @@ BLOCK_SETS = 8192        # sets of one index in step 4
 INDEX_GRAMS = 4_000_000  # grams of one index, about
 PROBED = 256             # long lists that are probed at once
 HEAP_ENTRIES = 2000      # entries of short lists that a heap merges
+ENTRY_BYTES = 24         # of a bucket entry in a shuffle, before compression
+SLICE_BYTES = 64 << 20   # of bucket entries that are not worth a further slice
+SLICE_ENTRIES = 1 << 26  # bucket entries of a slice, at most about
 
 _HALVES = np.array([0x452821E638D01377, 0xBE5466CF34E90C6C], dtype=np.uint64)
 _SEED_A, _SEED_B = np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344)
@@ -176,8 +182,31 @@ def _as_long(x: np.uint64) -> int:
     return int(np.array([x], dtype=np.uint64).view(np.int64)[0])
 
 
+def parity_bits(grams: np.ndarray) -> bytes:
+    """A bit per cell, for cells that an odd number of grams falls into.
+
+    There are at least two cells a gram, a power of two, so that a longer
+    row of bits folds to a shorter one.
+    """
+    cells = max(64, 1 << (2 * len(grams) - 1).bit_length())
+    cell = (grams >> np.uint64(20)) & np.uint64(cells - 1)
+    odd = np.bincount(cell.astype(np.int64), minlength=cells) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def least_difference(a: bytes, b: bytes) -> int:
+    """Grams that are in one of two sets only: at least so many, by their parity bits."""
+    x, y = sorted((np.frombuffer(v, np.uint8) for v in (a, b)), key=len)
+    while len(y) > len(x):
+        y = y[:len(y) // 2] ^ y[len(y) // 2:]
+    return int(np.bitwise_count(x ^ y).sum(dtype=np.int64))
+
+
 def describe_sets(docs: DataFrame, shingle: int, threshold: tuple[int, int]) -> DataFrame:
-    """(doc_id, n, k1, k2, buckets, need) per row: size, 128-bit name and buckets of its set."""
+    """(doc_id, size, n, k1, k2, buckets, need, bits) per row.
+
+    Bytes of the text; size, 128-bit name, buckets and parity bits of its set.
+    """
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,22 +217,70 @@ def describe_sets(docs: DataFrame, shingle: int, threshold: tuple[int, int]) ->
                 named = [bucket_names(s, bands) if len(s) else ([], 0) for s in sets]
                 yield pa.RecordBatch.from_pydict({
                     "doc_id": batch.column("doc_id"),
+                    "size": pc.fill_null(pc.binary_length(batch.column("text")), 0).cast(pa.int64()),
                     "n": pa.array([len(s) for s in sets], pa.int64()),
                     "k1": pa.array([_as_long(np.sum(mix(s ^ _SEED_A), dtype=np.uint64)) for s in sets], pa.int64()),
                     "k2": pa.array([_as_long(np.sum(mix(s ^ _SEED_B), dtype=np.uint64)) for s in sets], pa.int64()),
                     "buckets": pa.array([b for b, _ in named], pa.list_(pa.int64())),
                     "need": pa.array([n for _, n in named], pa.int32()),
+                    "bits": pa.array([parity_bits(s) for s in sets], pa.binary()),
                 })
 
     return docs.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {kind}, n long, k1 long, k2 long, buckets array<long>, need int")
+        run, f"doc_id {kind}, size long, n long, k1 long, k2 long, buckets array<long>, need int, bits binary")
+
+
+def _shared_buckets(described: DataFrame, scratch: Scratch, slice_bytes: int) -> DataFrame:
+    """(rid, bucket): entries of buckets that different sets name, and few others.
+
+    Nearly all entries are alone in their bucket.  The buckets are worked in
+    slices, so that the shuffle of one slice is at most about half as large
+    as the texts, and freed before the next.  A slice finds its buckets with
+    two different sets; a Bloom filter of these is all that the entries meet,
+    so they are not shuffled again.  A filter belongs to its slice, and slices
+    follow the number of entries, so it stays as small and as exact at any
+    size of the input.
+    """
+    entries, size = described.agg(F.sum(F.size("buckets")), F.sum("size")).head()
+    volume = ENTRY_BYTES * (entries or 0)
+    slices = max(1, -(-(entries or 0) // SLICE_ENTRIES), min(-(-2 * volume // max(1, size or 0)), -(-volume // slice_bytes)))
+    out = None
+    for k in range(slices):
+        inside = described.select("k1", F.explode("buckets").alias("h")).filter(F.pmod("h", F.lit(slices)) == k)
+        shared = scratch.save(inside.groupBy("h").agg(F.min("k1").alias("lo"), F.max("k1").alias("hi"))
+                              .filter("lo <> hi").select("h"), "shared")
+        held = described.sparkSession.sparkContext.broadcast(BlockedBloom.build(shared, FILTER_BYTES).words)
+
+        def run(batches: Iterator[pa.RecordBatch], k: int = k, held=held) -> Iterator[pa.RecordBatch]:
+            bloom = BlockedBloom(held.value)
+            for batch in batches:
+                lists = batch.column("buckets")
+                flat = lists.flatten().to_numpy()
+                owner = np.repeat(batch.column("rid").to_numpy(), np.diff(lists.offsets.to_numpy()))
+                mine = np.flatnonzero(flat % slices == k)
+                mine = mine[bloom.may_hold(flat[mine])]
+                yield pa.RecordBatch.from_pydict({"rid": owner[mine], "bucket": flat[mine]})
+
+        hits = scratch.save(described.select("rid", "buckets").mapInArrow(run, "rid long, bucket long"), "hits")
+        scratch.drop(shared)
+        scratch.sweep()
+        out = hits if out is None else out.unionByName(hits)
+    return out
+
 
+def _set_grams(docs: DataFrame, shingle: int, wanted: DataFrame) -> DataFrame:
+    """(n, k1, k2, grams) of the rows whose doc_id is a ``rep`` of ``wanted``, and of few others.
 
-def _set_grams(docs: DataFrame, shingle: int) -> DataFrame:
-    """(n, k1, k2, grams) per row with a set."""
+    A Bloom filter tells them where the texts are, so no text is shuffled.
+    """
+    key = F.xxhash64(F.lit(7), F.col("doc_id"))
+    words = docs.sparkSession.sparkContext.broadcast(BlockedBloom.build(
+        wanted.select(F.xxhash64(F.lit(7), F.col("rep")).alias("h")), 4 * FILTER_BYTES).words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches, "text"):
+        bloom = BlockedBloom(words.value)
+        held = (batch.filter(pa.array(bloom.may_hold(batch.column("h").to_numpy()))) for batch in batches)
+        for batch in chunks(held, "text"):
             sets = [s for s in gram_sets(Words(batch.column("text"), space_words()), shingle) if len(s)]
             yield pa.RecordBatch.from_pydict({
                 "n": pa.array([len(s) for s in sets], pa.int64()),
@@ -212,7 +289,7 @@ def _set_grams(docs: DataFrame, shingle: int) -> DataFrame:
                 "grams": pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
             })
 
-    return docs.select("text").mapInArrow(run, "n long, k1 long, k2 long, grams array<long>")
+    return docs.select(key.alias("h"), "text").mapInArrow(run, "n long, k1 long, k2 long, grams array<long>")
 
 
 def _merge_skip(lists: list[list[int]], count: int) -> Iterator[tuple[int, int]]:
@@ -330,16 +407,43 @@ def _links(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
                                        "b": pa.array([b for _, b in pairs], pa.int64())})
 
 
-def _pivot_links(members: DataFrame, needs: DataFrame, grams: DataFrame, threshold: tuple[int, int],
-                 scratch: Scratch) -> DataFrame:
-    """Links between members of buckets and a pivot they have in as many buckets as they need to share.
+def _may_link(threshold: tuple[int, int]):
+    """Pairs whose parity bits do not rule the link out."""
+    num, den = threshold
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = zip(*(batch.column(c).to_pylist() for c in ("n", "m", "bits", "other")))
+            able = [min(n, m) * den >= num * max(n, m)
+                    and least_difference(x, y) <= n + m - 2 * needed(n, m, threshold) for n, m, x, y in rows]
+            yield batch.select(["pivot", "sid"]).filter(pa.array(able, pa.bool_()))
+
+    return run
+
+
+def _pivot_pairs(members: DataFrame, sets: DataFrame, threshold: tuple[int, int], scratch: Scratch) -> DataFrame:
+    """(pivot, sid): members with a pivot they have in as many buckets as they need to share, and may be linked with.
+
+    Each differing gram turns one parity bit, so two sets differ in at least
+    as many grams as bits differ.  Pairs that so differ in too many to be
+    linked go, before any gram is sent.
+    """
+    often = members.filter("sid <> pivot").groupBy("pivot", "sid").agg(F.count("*").alias("has"))
+    own = sets.select("sid", "need", "n", "bits")
+    pairs = scratch.save(often.join(own.hint("merge"), "sid").filter("has >= need").select("pivot", "sid"), "met")
+    heads = pairs.groupBy("pivot").agg(F.count("*").alias("weight")).join(
+        sets.select(F.col("sid").alias("pivot"), F.col("n").alias("m"), F.col("bits").alias("other")), "pivot")
+    both = salted_lookup(pairs, scratch.save(heads, "heads"), ["pivot"], "weight", ["sid"]).join(
+        own.drop("need").hint("merge"), "sid")
+    return scratch.save(both.mapInArrow(_may_link(threshold), "pivot long, sid long"), "pivot-pairs")
+
+
+def _pivot_links(pairs: DataFrame, grams: DataFrame, threshold: tuple[int, int], scratch: Scratch) -> DataFrame:
+    """Links between pivots and the sets paired with them.
 
     Linked sets that share buckets of two only are found here, as they have
     each other in all of them; other links are found here or in the blocks.
     """
-    often = members.filter("sid <> pivot").groupBy("pivot", "sid").agg(F.count("*").alias("has"))
-    pairs = scratch.save(often.join(needs.hint("merge"), "sid").filter("has >= need").select("pivot", "sid"),
-                         "pivot-pairs")
     sizes = pairs.join(grams.select("sid", "n").hint("merge"), "sid").groupBy("pivot").agg(
         F.count("*").alias("weight"), F.sum("n").alias("n"))
     sizes = sizes.withColumn("parts", F.ceil(F.greatest(
@@ -351,8 +455,7 @@ def _pivot_links(members: DataFrame, needs: DataFrame, grams: DataFrame, thresho
                          F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
     rows = (dealt.select("pivot", "sid", "part").unionByName(heads)
             .join(grams.select("sid", "grams").hint("merge"), "sid")
-            .select(F.struct("pivot", "part").alias("at"), "pivot", "sid", "grams"))
-    rows = rows.withColumn("at", F.concat_ws(":", "at.pivot", "at.part"))
+            .select(F.concat_ws(":", "pivot", "part").alias("at"), "pivot", "sid", "grams"))
     dealt_out = rows.repartition("at").sortWithinPartitions("at")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -429,49 +532,56 @@ def _block_links(blocks: DataFrame, grams: DataFrame, threshold: tuple[int, int]
     return dealt_out.mapInArrow(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, threshold: tuple[int, int] = THRESHOLD,
-                    block_sets: int = BLOCK_SETS) -> DataFrame:
-    """(doc_id, n_shingles, component_id) per row of ``docs``.
+def _grams_of(docs: DataFrame, shingle: int, sids: DataFrame, sets: DataFrame, scratch: Scratch) -> DataFrame:
+    """(sid, n, grams) of the sets asked for; any document of a set serves."""
+    wanted = scratch.save(sids.distinct().join(sets.select("sid", "rep", "n", "k1", "k2"), "sid"), "wanted")
+    found = _set_grams(docs, shingle, wanted).join(wanted.select("sid", "n", "k1", "k2").hint("merge"), ["n", "k1", "k2"])
+    grams = scratch.save(found.select("sid", "n", "grams").dropDuplicates(["sid"]), "grams")
+    scratch.drop(wanted)
+    scratch.sweep()
+    return grams
 
-    The component is named by the smallest doc_id that links reach.
+
+def labelled_rows(docs: DataFrame, shingle: int = SHINGLE, threshold: tuple[int, int] = THRESHOLD,
+                  block_sets: int = BLOCK_SETS, slice_bytes: int = SLICE_BYTES) -> tuple[DataFrame, Scratch]:
+    """(doc_id, n, k1, k2, root, component_id) per row of ``docs`` with a set, and the rows without one.
+
+    ``root`` names the component; ``component_id`` is the smallest doc_id that links reach.
     """
     scratch = Scratch(docs.sparkSession, "near-duplicates")
-    described = scratch.save(describe_sets(docs, shingle, threshold), "described")
+    described = scratch.save(describe_sets(docs, shingle, threshold).withColumn(
+        "rid", F.monotonically_increasing_id()), "described")
+    rows = scratch.save(described.select("doc_id", "n", "k1", "k2"), "rows")
     sets = described.filter("n > 0").groupBy("n", "k1", "k2").agg(
-        F.min("doc_id").alias("rep"), F.count("*").alias("weight"), F.any_value("buckets").alias("buckets"),
-        F.max("need").alias("need"))
-    bucketed = scratch.save(sets.withColumn("sid", F.monotonically_increasing_id()), "bucketed")
-    rows = scratch.save(described.drop("buckets", "need"), "rows")
-    sets = scratch.save(bucketed.drop("buckets"), "sets")
+        F.min("doc_id").alias("rep"), F.count("*").alias("weight"), F.min("rid").alias("rid"))
+    sets = scratch.save(sets.withColumn("sid", F.monotonically_increasing_id()), "sets")
+    hits = _shared_buckets(described, scratch, slice_bytes)
+    # one row of each set; a set without as many shared buckets as it needs has no partner
+    named = hits.join(sets.select("rid", "sid").hint("merge"), "rid").select("rid", "sid", "bucket")
+    named = scratch.save(named, "named")
+    there = named.groupBy("rid", "sid").agg(F.count("*").alias("has"))
+    known = scratch.save(described.select("rid", "n", "need", "bits").join(there.hint("merge"), "rid")
+                         .filter("has >= need").drop("has", "rid"), "known")
     scratch.drop(described)
     scratch.sweep()
-    entries = bucketed.select("sid", F.explode("buckets").alias("bucket"))
-    shared = scratch.save(entries.groupBy("bucket").agg(F.count("*").alias("weight")).filter("weight > 1"), "shared")
-    scratch.sweep()
-    members = scratch.save(salted_lookup(entries, shared, ["bucket"], "weight", ["sid"]), "members")
-    scratch.drop(bucketed, shared)
-    scratch.sweep()
-    for _ in range(FILTER_ROUNDS):
-        able = (members.groupBy("sid").agg(F.count("*").alias("has")).join(sets.select("sid", "need"), "sid")
-                .filter("has >= need").select("sid"))
-        left = scratch.save(members.select("bucket", "sid").join(able.hint("merge"), "sid"), "able")
+    left = scratch.save(named.select("bucket", "sid").join(known.select("sid").hint("merge"), "sid"), "able")
+    scratch.drop(named)
+    for again in range(1 + FILTER_ROUNDS):
         shared = left.groupBy("bucket").agg(F.count("*").alias("weight"), F.min("sid").alias("pivot"))
         shared = scratch.save(shared.filter("weight > 1").withColumn("size", F.col("weight")), "shared")
-        scratch.drop(members)
         members = scratch.save(salted_lookup(left, shared, ["bucket"], "weight", ["sid"]), "members")
         scratch.drop(left, shared)
-    # any document of a candidate set serves; the text is read again for these only
-    wanted = scratch.save(members.select("sid").distinct().join(sets.select("sid", "rep", "n", "k1", "k2"), "sid"),
-                          "wanted")
-    texts = docs.select("doc_id", "text").join(
-        wanted.select("rep").hint("merge"), F.col("doc_id").eqNullSafe(F.col("rep")), "left_semi")
-    grams = scratch.save(_set_grams(texts, shingle).join(wanted.select("sid", "n", "k1", "k2"), ["n", "k1", "k2"])
-                         .select("sid", "n", "grams").dropDuplicates(["sid"]), "grams")
-    scratch.drop(wanted)
+        if again < FILTER_ROUNDS:
+            able = (members.groupBy("sid").agg(F.count("*").alias("has")).join(known.select("sid", "need"), "sid")
+                    .filter("has >= need").select("sid"))
+            left = scratch.save(members.select("bucket", "sid").join(able.hint("merge"), "sid"), "able")
+            scratch.drop(members)
     scratch.sweep()
-
-    links = scratch.save(_pivot_links(members, sets.select("sid", "need"), grams, threshold, scratch),
-                         "pivot-links")
+    pairs = _pivot_pairs(members, known, threshold, scratch)
+    asked = pairs.select("sid").unionByName(pairs.select(F.col("pivot").alias("sid")))
+    grams = _grams_of(docs, shingle, asked, sets, scratch)
+    links = scratch.save(_pivot_links(pairs, grams, threshold, scratch), "pivot-links")
+    scratch.drop(grams)
     roots = components(links, scratch)
     rooted = scratch.save(members.filter("size > 2")
                           .join(roots.withColumnRenamed("id", "sid"), "sid", "left")
@@ -488,32 +598,63 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, threshold: tuple[in
         blocks = scratch.save(undecided.select("sid", "root").distinct()
                               .join(named.select(F.col("id").alias("sid"), F.col("root").alias("block")), "sid", "left")
                               .withColumn("block", F.coalesce("block", "sid")), "blocks")
+        scratch.drop(undecided)
+        grams = _grams_of(docs, shingle, blocks.select("sid"), sets, scratch)
         more = _block_links(blocks, grams, threshold, block_sets)
         links = scratch.save(links.unionByName(more), "links")
+        scratch.drop(grams, blocks)
         roots = components(links, scratch)
-    scratch.drop(rooted, grams)
+    scratch.drop(rooted, open_, known)
+    scratch.sweep()
 
     named = (sets.join(roots.withColumnRenamed("id", "sid"), "sid", "left")
              .withColumn("root", F.coalesce("root", "sid")))
     named = scratch.save(named, "named")
     first = named.groupBy("root").agg(F.min("rep").alias("component_id"), F.count("*").alias("groups"))
     named = scratch.save(salted_lookup(named, first, ["root"], "groups", ["sid"])
-                         .select("n", "k1", "k2", "weight", "component_id"), "components")
+                         .select("n", "k1", "k2", "weight", "root", "component_id"), "components")
+    scratch.drop(sets)
     scratch.sweep()
     out = salted_lookup(rows.filter("n > 0"), named, ["n", "k1", "k2"], "weight", ["doc_id"])
-    alone = rows.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"),
-                                        F.col("doc_id").alias("component_id"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), "component_id").unionByName(alone)
+    alone = rows.filter("n = 0").withColumns({"root": F.lit(None).cast("long"), "component_id": F.col("doc_id")})
+    return out.select(*alone.columns).unionByName(alone), scratch
+
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, threshold: tuple[int, int] = THRESHOLD,
+                    block_sets: int = BLOCK_SETS, slice_bytes: int = SLICE_BYTES) -> DataFrame:
+    """(doc_id, n_shingles, component_id) per row of ``docs``.
+
+    The component is named by the smallest doc_id that links reach.
+    """
+    found, _ = labelled_rows(docs, shingle, threshold, block_sets, slice_bytes)
+    return found.select("doc_id", F.col("n").alias("n_shingles"), "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE,
                          threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` of which each group keeps one, in its columns.
+    """The rows of ``docs`` of which each component keeps one, in its columns.
 
-    The smallest doc_id of a component stays; rows without words stay, and a
-    component without any doc_id stays whole.
+    The row with the smallest doc_id stays, null ids after all others; of
+    several such rows the one that stands first.  Rows without words stay.
+    Rows are told apart by their place in the files they are read from, so an
+    id that several rows have, or none, drops no other row.
     """
-    found = near_duplicates(docs, shingle, threshold)
-    gone = found.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias(
-        fresh(docs.columns, "gone_id")))
-    return docs.join(gone, docs["doc_id"] == gone[gone.columns[0]], "left_anti")
+    scratch = Scratch(docs.sparkSession, "near-copies")
+    file, row = fresh(docs.columns, "file"), fresh(docs.columns, "row")
+
+    def placed(df: DataFrame) -> DataFrame:
+        return df.select(*[df[c] for c in docs.columns], F.col("_metadata.file_path").alias(file),
+                         F.col("_metadata.row_index").alias(row))
+
+    try:
+        whole = placed(docs)
+    except AnalysisException:    # not read from Parquet files as it stands: a copy of it is
+        whole = placed(scratch.save(docs, "whole"))
+    keyed = whole.select(F.struct(F.col("doc_id").isNull().alias("null_id"), F.col("doc_id").alias("id"),
+                                  F.col(file).alias("file"), F.col(row).alias("row")).alias("doc_id"), "text")
+    found, inner = labelled_rows(keyed, shingle, threshold)
+    gone = found.filter((F.col("n") > 0) & (F.col("doc_id") != F.col("component_id"))).select(
+        F.col("doc_id.file").alias(file), F.col("doc_id.row").alias(row))
+    gone = scratch.save(gone, "gone")
+    inner.clear()
+    return whole.join(gone, [file, row], "left_anti").select(*[whole[c] for c in docs.columns])

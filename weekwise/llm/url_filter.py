@@ -33,12 +33,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from weekwise.llm.bloom import FILTER_BYTES, BlockedBloom
 from weekwise.llm.common import LOWER, UPPER, Scratch, salted_lookup
 
-FILTER_BYTES = 16 << 20    # of the filter that tasks receive, at most
-BITS_PER_ENTRY = 16        # of a filter below that size
-WORDS = 8                  # 32-bit words of a block; a hash names a bit in each, and by its other bits the block
-
 
 def url_host(url: Column) -> Column:
     """From the first ``://`` up to ``/``, ``?``, ``#`` or the end, A-Z lower-cased."""
@@ -70,43 +67,6 @@ def listed_entries(entries: DataFrame) -> DataFrame:
             .agg(F.max("verdict").alias("verdict")))
 
 
-class BlockedBloom:
-    """Blocks of eight 32-bit words; a key sets one bit in every word of one block."""
-
-    def __init__(self, words: np.ndarray) -> None:
-        self.words = words
-
-    @staticmethod
-    def build(listed: DataFrame, max_bytes: int = FILTER_BYTES) -> "BlockedBloom":
-        """The filter of all entries; only its blocks come to the driver."""
-        entries = listed.count()
-        blocks = max(1, min(max_bytes // (4 * WORDS), -(-entries * BITS_PER_ENTRY // (32 * WORDS))))
-        h = F.col("h")
-
-        def bit(k: int) -> Column:
-            place = F.shiftright(h, 5 * k).bitwiseAND(F.lit(31)).cast("int")
-            return F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), place)).alias(f"w{k}")
-
-        rows = (listed.select(_key_hash(F.col("l_host"), F.col("l_path")).alias("h"))
-                .groupBy((F.shiftrightunsigned(h, 5 * WORDS) % blocks).alias("b"))
-                .agg(*[bit(k) for k in range(WORDS)])).toArrow()
-        words = np.zeros((blocks, WORDS), dtype=np.uint32)
-        at = rows.column("b").to_numpy()
-        for k in range(WORDS):
-            words[at, k] = rows.column(f"w{k}").to_numpy().astype(np.uint32)
-        return BlockedBloom(words)
-
-    def may_hold(self, hashes: np.ndarray) -> np.ndarray:
-        """Whether each 64-bit key hash may be an entry's; never false for one that is."""
-        h = hashes.view(np.uint64)
-        block = (h >> np.uint64(5 * WORDS)) % np.uint64(len(self.words))
-        found = np.ones(len(hashes), dtype=bool)
-        for k in range(WORDS):
-            place = (h >> np.uint64(5 * k) & np.uint64(31)).astype(np.uint32)
-            found &= self.words[block, k] >> place & np.uint32(1) == 1
-        return found
-
-
 def _shapes(listed: DataFrame) -> list[tuple[int, int]]:
     """Distinct (labels, path length) of the entries: no more than their lengths allow, whatever their number."""
     rows = listed.select(F.size(_labels(F.col("l_host"))).alias("n"), F.length("l_path").alias("m")).distinct()
@@ -165,7 +125,7 @@ def judge(pages: DataFrame, entries: DataFrame, otherwise: str = "allow",
             return F.when(c.isNotNull(), _key_hash(c["l_host"], c["l_path"]))
         return F.transform(fixed, one)
 
-    bloom = BlockedBloom.build(listed, filter_bytes)
+    bloom = BlockedBloom.build(listed.select(_key_hash(F.col("l_host"), F.col("l_path")).alias("h")), filter_bytes)
     probed = scratch.save(_probe(urls.withColumn("hashes", hashes(_labels(F.col("host")), F.col("path"))), bloom),
                           "probed")
     at = probed.filter(F.size("hits") > 0).withColumn("hit", F.explode("hits"))
