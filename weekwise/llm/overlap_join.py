@@ -26,9 +26,17 @@ Spark decides which documents meet in one index:
 3. In every bucket the smallest member is a pivot; it searches the members
    that have it as pivot in as many buckets as they need to share.  That is
    linear in the buckets, and joins most groups of copies.
-4. Only buckets whose members then belong to several components go on.  They
-   form blocks, in which every member queries the members of other components.
-   Blocks of more than ``BLOCK_SETS`` sets are dealt to pairs of chunks.
+4. Only buckets whose members then belong to several components go on.  A
+   search over the lists of these buckets, still without grams, finds which
+   sets may be linked across components; they form blocks, in which every
+   member queries the members of other components.  Blocks of more than
+   ``BLOCK_SETS`` sets are dealt to pairs of chunks.
+
+Grams are sent last.  A set has a row of parity bits, a thirtieth of its grams:
+two sets differ in at least as many grams as bits, so most pairs that merely
+share a passage go without a gram.  Bucket entries, nearly all of which are
+alone in their bucket, are counted in slices of which each is freed before the
+next.
 
 So the work follows the buckets that are still undecided, no pair within a
 decided group is made, and nothing is capped.  Tests hold it to brute force.
@@ -370,34 +378,38 @@ class Index:
         self.members = owner[order]
         self.bounds = np.append(first, len(order))
 
+    def sharing(self, query: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+        """Members that have at least ``least`` entries of the query, and how many they have."""
+        at = np.minimum(np.searchsorted(self.values, query), len(self.values) - 1)
+        at = at[self.values[at] == query]
+        found = [self.members[a:b] for a, b in zip(self.bounds[at].tolist(), self.bounds[at + 1].tolist())]
+        return divide_skip(found, least)
+
     def search(self, query: np.ndarray, threshold: tuple[int, int]) -> list[int]:
         num, den = threshold
         n = len(query)
         fit = self.sizes[(self.sizes * den >= num * n) & (n * den >= num * self.sizes)]
         if not len(fit):
             return []
-        at = np.minimum(np.searchsorted(self.values, query), len(self.values) - 1)
-        at = at[self.values[at] == query]
-        found = [self.members[a:b] for a, b in zip(self.bounds[at].tolist(), self.bounds[at + 1].tolist())]
-        members, seen = divide_skip(found, needed(n, int(fit.min()), threshold))
+        members, seen = self.sharing(query, needed(n, int(fit.min()), threshold))
         return [m for m, s in zip(members.tolist(), seen.tolist()) if s >= needed(n, int(self.sizes[m]), threshold)]
 
 
-def _groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[list[dict]]:
-    """Rows of one key at a time, from batches sorted by it."""
+def _groups(batches: Iterator[pa.RecordBatch], key: str, array: str = "grams") -> Iterator[list[dict]]:
+    """Rows of one key at a time, from batches sorted by it; ``array`` is a column of numbers."""
     rows: list[dict] = []
     for batch in batches:
         columns = {c: batch.column(c) for c in batch.schema.names}
         keys = columns[key].to_pylist()
-        grams = columns["grams"]
-        flat, offs = grams.flatten().to_numpy(), grams.offsets.to_numpy()
+        lists = columns[array]
+        flat, offs = lists.flatten().to_numpy(), lists.offsets.to_numpy()
         offs = offs - offs[0]
-        others = {c: v.to_pylist() for c, v in columns.items() if c not in ("grams", key)}
+        others = {c: v.to_pylist() for c, v in columns.items() if c not in (array, key)}
         for i, k in enumerate(keys):
             if rows and rows[-1][key] != k:
                 yield rows
                 rows = []
-            rows.append({key: k, "grams": flat[offs[i]:offs[i + 1]].copy()} | {c: v[i] for c, v in others.items()})
+            rows.append({key: k, array: flat[offs[i]:offs[i + 1]].copy()} | {c: v[i] for c, v in others.items()})
     if rows:
         yield rows
 
@@ -501,37 +513,90 @@ def _cross_links(asking: list[dict], answering: list[dict], often: int, roots: _
     return pairs
 
 
+def _dealt(rows: DataFrame, sizes: DataFrame, block_sets: int) -> DataFrame:
+    """``rows`` of blocks, dealt to pairs of chunks (at, part) by the blocks' ``sizes`` (block, weight, n)."""
+    sizes = sizes.withColumn("parts", F.ceil(F.greatest(
+        F.col("weight") / block_sets, F.col("n") / INDEX_GRAMS)).cast("int"))
+    rows = salted_lookup(rows, sizes.select("block", "parts", "weight"), ["block"], "weight", ["sid"])
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("sid"), F.col("parts")).cast("int")).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    return rows.withColumn("at", F.concat_ws(":", "block", F.least("part", "other"), F.greatest("part", "other")))
+
+
+def _chunks_of(group: list[dict]) -> Iterator[tuple[list[dict], list[dict]]]:
+    """(asking, answering) rows of a group: a chunk with itself, or two chunks both ways."""
+    lo, hi = map(int, group[0]["at"].split(":")[1:])
+    first, second = ([r for r in group if r["part"] == p] for p in (lo, hi))
+    yield first, second
+    if lo != hi:
+        yield second, first
+
+
+def _candidate_links(blocks: DataFrame, threshold: tuple[int, int], block_sets: int) -> DataFrame:
+    """A forest (a, b) over the sets of blocks that may be linked across components.
+
+    ``blocks`` has (block, sid, root, need, n, bits, buckets).  The search is
+    the same T-occurrence search, over the lists of buckets: sets that may be
+    linked share as many of these as they need, and their parity bits allow it.
+    """
+    sizes = blocks.groupBy("block").agg(F.count("*").alias("weight"), F.sum(F.size("buckets")).alias("n"))
+    rows = _dealt(blocks, sizes, block_sets)
+    columns = ["at", "part", "sid", "root", "need", "n", "bits", "buckets"]
+    dealt_out = rows.select(*columns).repartition("at").sortWithinPartitions("at")
+    num, den = threshold
+
+    def able(q: dict, r: dict, shared: int) -> bool:
+        n, m = q["n"], r["n"]
+        return (q["root"] != r["root"] and shared >= r["need"] and min(n, m) * den >= num * max(n, m)
+                and least_difference(q["bits"], r["bits"]) <= n + m - 2 * needed(n, m, threshold))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _groups(batches, "at", "buckets"):
+            if len({r["root"] for r in group}) == 1:
+                continue
+            forest, pairs = _Roots(r["sid"] for r in group), []
+            for asking, answering in _chunks_of(group):
+                index = Index([np.sort(r["buckets"]) for r in answering])
+                for q in asking if answering else ():
+                    members, shared = index.sharing(q["buckets"], q["need"])
+                    for i, k in zip(members.tolist(), shared.tolist()):
+                        r = answering[i]
+                        if forest.top(q["sid"]) != forest.top(r["sid"]) and able(q, r, k):
+                            forest.join(q["sid"], r["sid"])
+                            pairs.append((q["sid"], r["sid"]))
+            yield _links(pairs)
+
+    return dealt_out.mapInArrow(run, "a long, b long")
+
+
 def _block_links(blocks: DataFrame, grams: DataFrame, threshold: tuple[int, int], block_sets: int) -> DataFrame:
     """Links within blocks (block, sid, root) between sets of different roots."""
     sizes = blocks.join(grams.select("sid", "n").hint("merge"), "sid").groupBy("block").agg(
         F.count("*").alias("weight"), F.sum("n").alias("n"))
-    sizes = sizes.withColumn("parts", F.ceil(F.greatest(
-        F.col("weight") / block_sets, F.col("n") / INDEX_GRAMS)).cast("int"))
-    rows = salted_lookup(blocks, sizes.select("block", "parts", "weight"), ["block"], "weight", ["sid"])
-    rows = rows.withColumn("part", F.pmod(F.xxhash64("sid"), F.col("parts")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    rows = (rows.withColumn("other", other).join(grams.select("sid", "grams").hint("merge"), "sid")
-            .withColumn("at", F.concat_ws(":", "block", F.least("part", "other"), F.greatest("part", "other")))
-            .select("at", "part", "root", "grams"))
-    dealt_out = rows.repartition("at").sortWithinPartitions("at")
+    rows = _dealt(blocks, sizes, block_sets).join(grams.select("sid", "grams").hint("merge"), "sid")
+    dealt_out = rows.select("at", "part", "root", "grams").repartition("at").sortWithinPartitions("at")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _groups(batches, "at"):
-            lo, hi = map(int, group[0]["at"].split(":")[1:])
             count = Counter(r["root"] for r in group)
             if len(count) == 1:
                 continue
             # of two sets of different components one is not of the most frequent one
             often, roots = count.most_common(1)[0][0], _Roots(count)
-            first, second = ([r for r in group if r["part"] == p] for p in (lo, hi))
-            pairs = _cross_links(first, second, often, roots, threshold)
-            if lo != hi:
-                pairs += _cross_links(second, first, often, roots, threshold)
+            pairs = []
+            for asking, answering in _chunks_of(group):
+                pairs += _cross_links(asking, answering, often, roots, threshold)
             yield _links(pairs)
 
     return dealt_out.mapInArrow(run, "a long, b long")
 
 
+def _in_blocks(sets: DataFrame, named: DataFrame, how: str) -> DataFrame:
+    """``sets`` with the name of their component in ``named`` (id, root) as ``block``."""
+    named = named.select(F.col("id").alias("sid"), F.col("root").alias("block"))
+    return sets.join(named.hint("merge"), "sid", how).withColumn("block", F.coalesce("block", "sid"))
+
+
 def _grams_of(docs: DataFrame, shingle: int, sids: DataFrame, sets: DataFrame, scratch: Scratch) -> DataFrame:
     """(sid, n, grams) of the sets asked for; any document of a set serves."""
     wanted = scratch.save(sids.distinct().join(sets.select("sid", "rep", "n", "k1", "k2"), "sid"), "wanted")
@@ -568,7 +633,7 @@ def labelled_rows(docs: DataFrame, shingle: int = SHINGLE, threshold: tuple[int,
     scratch.drop(named)
     for again in range(1 + FILTER_ROUNDS):
         shared = left.groupBy("bucket").agg(F.count("*").alias("weight"), F.min("sid").alias("pivot"))
-        shared = scratch.save(shared.filter("weight > 1").withColumn("size", F.col("weight")), "shared")
+        shared = scratch.save(shared.filter("weight > 1"), "shared")
         members = scratch.save(salted_lookup(left, shared, ["bucket"], "weight", ["sid"]), "members")
         scratch.drop(left, shared)
         if again < FILTER_ROUNDS:
@@ -583,26 +648,34 @@ def labelled_rows(docs: DataFrame, shingle: int = SHINGLE, threshold: tuple[int,
     links = scratch.save(_pivot_links(pairs, grams, threshold, scratch), "pivot-links")
     scratch.drop(grams)
     roots = components(links, scratch)
-    rooted = scratch.save(members.filter("size > 2")
-                          .join(roots.withColumnRenamed("id", "sid"), "sid", "left")
+    rooted = scratch.save(members.join(roots.withColumnRenamed("id", "sid"), "sid", "left")
                           .select("bucket", "sid", F.coalesce("root", "sid").alias("root")), "rooted")
     scratch.drop(members)
     scratch.sweep()
     open_ = rooted.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"),
-                                         F.min("sid").alias("first"), F.count("*").alias("weight"))
-    open_ = scratch.save(open_.filter("lo <> hi").select("bucket", "first", "weight"), "open")
+                                         F.count("*").alias("weight"))
+    open_ = scratch.save(open_.filter("lo <> hi").select("bucket", "weight"), "open")
     if not open_.isEmpty():
-        undecided = scratch.save(salted_lookup(rooted, open_, ["bucket"], "weight", ["sid"])
-                                 .select("sid", "root", "first").distinct(), "undecided")
-        named = components(undecided.select(F.col("sid").alias("a"), F.col("first").alias("b")), scratch)
-        blocks = scratch.save(undecided.select("sid", "root").distinct()
-                              .join(named.select(F.col("id").alias("sid"), F.col("root").alias("block")), "sid", "left")
-                              .withColumn("block", F.coalesce("block", "sid")), "blocks")
-        scratch.drop(undecided)
+        # linked sets of two components share open buckets only, as many as they need
+        undecided = salted_lookup(rooted, open_, ["bucket"], "weight", ["sid"])
+        asking = scratch.save(undecided.groupBy("sid", "root").agg(F.collect_list("bucket").alias("buckets"))
+                              .join(known.hint("merge"), "sid").filter(F.size("buckets") >= F.col("need")), "asking")
+        entries = asking.select("sid", F.explode("buckets").alias("bucket"))
+        firsts = entries.groupBy("bucket").agg(F.min("sid").alias("first"), F.count("*").alias("weight"))
+        firsts = scratch.save(firsts.filter("weight > 1"), "firsts")
+        met = salted_lookup(entries, firsts, ["bucket"], "weight", ["sid"])
+        coarse = components(met.select(F.col("sid").alias("a"), F.col("first").alias("b")), scratch)
+        wide = scratch.save(_in_blocks(asking, coarse, "left"), "wide")
+        forest = scratch.save(_candidate_links(wide, threshold, block_sets), "forest")
+        scratch.drop(wide, firsts)
+        scratch.sweep()
+        fine = components(forest, scratch)
+        fine = fine.unionByName(fine.select(F.col("root").alias("id"), "root").distinct())
+        blocks = scratch.save(_in_blocks(asking.select("sid", "root"), fine, "inner"), "blocks")
         grams = _grams_of(docs, shingle, blocks.select("sid"), sets, scratch)
         more = _block_links(blocks, grams, threshold, block_sets)
         links = scratch.save(links.unionByName(more), "links")
-        scratch.drop(grams, blocks)
+        scratch.drop(grams, blocks, asking, forest)
         roots = components(links, scratch)
     scratch.drop(rooted, open_, known)
     scratch.sweep()
