@@ -306,9 +306,27 @@ def decode_documents(encoded: DataFrame, tokenizer: str) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, ids binary, text string")
 
 
+def encode_and_decode(docs: DataFrame, tokenizer: str) -> DataFrame:
+    """(doc_id, ids, text): the ids of every text and what they decode to.
+
+    One worker of a task does both, so a table's entries are held once.
+    """
+    table = docs.sparkSession.sparkContext.broadcast((tokenizer, BpeTable(tokenizer)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = _codec(table)
+        for batch in chunks(batches, "text"):
+            ids = codec.encode([t or "" for t in batch.column("text").to_pylist()])
+            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "ids": pa.array(ids, pa.binary()),
+                                              "text": pa.array([codec.decode(x) for x in ids], pa.string())})
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, ids binary, text string")
+
+
 def round_trip(docs: DataFrame, tokenizer: str) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every text."""
-    return decode_documents(encode_documents(docs, tokenizer), tokenizer).select(
+    return encode_and_decode(docs, tokenizer).select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
