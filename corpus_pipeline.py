@@ -38,8 +38,7 @@ def cut_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens, ids, decoded): ids as little-endian 32-bit integers and what they decode to."""
-    file = word_bpe_file()
-    return trie_bpe.decode_documents(trie_bpe.encode_documents(docs, file), file).select(
+    return trie_bpe.encode_and_decode(docs, word_bpe_file()).select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids", F.col("text").alias("decoded"))
 
 
