@@ -1,13 +1,14 @@
 """Reusable operators and scalar functions."""
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from weekwise.functions import scalar as S
 from weekwise.operators.cohort import count_flags, entity_flags, with_subtotal
-from weekwise.operators.joins import CalendarSide
-from weekwise.operators.temporal import day_buckets, next_after, prev_before, range_join
+from weekwise.operators.joins import CalendarSide, possible_keys
+from weekwise.operators.temporal import TimeParts, day_buckets, next_after, prev_before, range_join
 
 D = dt.datetime
 
@@ -97,3 +98,50 @@ def test_documented_formats(spark):
         S.date_text_slash("d").alias("ds"), S.compact_text("v").alias("ci"),
         S.compact_text("v", "en").alias("ce"), S.compact_text(F.lit(999.0)).alias("small")).first()
     assert tuple(r) == ("Rp 1.234.567", "+12,5%", "22 Mei 2026", "22/05/2026", "1,2 Jt", "1.2M", "999")
+
+
+def test_range_join_by_ranges_of_time(spark):
+    """Equal rows whichever way it runs; a day is repeated in the ranges it touches; a hot time has shares."""
+    r = random.Random(3)
+    start = D(2025, 1, 1)
+    times = [start + dt.timedelta(seconds=r.randint(0, 30 * 86400)) for _ in range(300)] + [D(2025, 1, 8)] * 300
+    pts = spark.createDataFrame([(k % 7, ts) for k, ts in enumerate(times)] + [(9, None)], "key int, ts timestamp")
+    ivs = [(start + dt.timedelta(days=k), start + dt.timedelta(days=k + r.randint(0, 9))) for k in range(25)]
+    ivs += [ivs[3], (D(2025, 1, 5), D(2025, 1, 4)), (None, start)]
+    iv = spark.createDataFrame(ivs, "lo timestamp, hi timestamp")
+    expected = sorted((k % 7, ts, lo, hi) for k, ts in enumerate(times) for lo, hi in ivs if lo and lo <= ts <= hi)
+    for max_rows in (100_000, 0):
+        side = CalendarSide(day_buckets(iv, "lo", "hi"), max_rows)
+        assert sorted(map(tuple, range_join(pts, "ts", side, "lo", "hi").collect())) == expected
+    parts = TimeParts(pts, "ts", 16)
+    hot = max(parts.shares)
+    assert 6 <= hot <= 9 and sum(parts.shares) == 16
+    dealt = parts.deal(pts.withColumn("_day", F.to_date("ts")), "ts")
+    sizes = dealt.where("ts is not null").groupBy("_range", "_share").count().toPandas()["count"]
+    assert sizes.max() < 300
+    borders = [None, *parts.borders, None]
+    for row in parts.repeat(side.df, "lo", "hi").collect():
+        day = D.combine(row["_day"], dt.time())
+        first, last = (int(x.replace(tzinfo=dt.timezone.utc).timestamp() * 1_000_000)
+                       for x in (max(row.lo, day), min(row.hi, day + dt.timedelta(days=1))))
+        low, high = borders[row["_range"]], borders[row["_range"] + 1]
+        assert (low is None or last >= low) and (high is None or first < high)
+    empty = range_join(pts.where("false"), "ts", side, "lo", "hi")
+    assert empty.collect() == [] and TimeParts(pts.where("false"), "ts").shares == [1]
+    side.unpersist()
+
+
+def test_possible_keys_keep_all_members_and_few_others(spark):
+    members = spark.range(2000).select((F.col("id") * 7).alias("m")).unionByName(
+        spark.createDataFrame([(None,), (-5,)], "m bigint"))
+    rows = spark.range(200_000).withColumnRenamed("id", "k").unionByName(
+        spark.createDataFrame([(None,), (-5,), (-5,)], "k bigint"))
+    kept = possible_keys(rows, "k", members, "m", words=1024)
+    wanted = rows.join(members, rows.k == members.m, "left_semi")
+    assert kept.join(wanted.distinct(), "k", "left_semi").count() == wanted.count() == 2002
+    assert wanted.count() <= kept.count() < wanted.count() + 2000            # under one of a hundred others
+    assert kept.where("k is null").count() == 0
+    assert possible_keys(rows, "k", members, "m", words=1).join(wanted, "k", "left_anti").count() >= 0
+    assert possible_keys(rows, "k", members.where("false"), "m").count() == 0
+    with pytest.raises(ValueError, match="StringType"):
+        possible_keys(rows.withColumn("k", F.col("k").cast("string")), "k", members, "m")

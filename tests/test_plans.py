@@ -9,7 +9,7 @@ from conftest import SF_SMALL
 from weekwise.config import FIXTURE
 from weekwise.functions.canonical import canonical
 from weekwise import registry
-from weekwise.operators.joins import CalendarSide
+from weekwise.operators.joins import CalendarSide, possible_keys
 from weekwise.plans import clicks, groups, growth, report
 from weekwise.plans.retention import Base
 from weekwise.sources.fixture import fixture_tables
@@ -173,3 +173,22 @@ def test_hot_client_duplicates_do_not_change_weekly_report(spark, base):
     expected = sorted(canonical(report.weekly_report_derived(base, sort=False)).collect())
     got = sorted(canonical(report.weekly_report_derived(Base(skewed, FIXTURE), sort=False)).collect())
     assert got == expected
+
+
+def test_lookups_of_the_group_report_follow_the_tasks(spark, base):
+    """A crm and a click table of mostly other clients: the rows grouped are about the report's."""
+    t = base.t
+    other = spark.range(50_000).select((F.col("id") + 7_000_000_000).alias("client_id"))
+    crm = t.crm_customer_base.unionByName(other.withColumn("first_deposit_time", F.lit(5).cast("long")))
+    events = t.smart_reward_client_event.unionByName(other.select(
+        F.col("client_id").cast("string").alias("user_id"), F.lit("20251220").alias("week_group"),
+        F.lit(1).cast("long").alias("click_count")))
+    long = Base(Tables(**{**t.as_dict(), "crm_customer_base": crm, "smart_reward_client_event": events}), FIXTURE)
+    expected = sorted(map(str, groups.task_group_clicks(base).collect()))
+    assert sorted(map(str, groups.task_group_clicks(long).collect())) == expected
+    tasks = long._memo["group_tasks"]
+    clients = tasks.select("client_id").distinct().count()
+    assert possible_keys(crm, "client_id", tasks, "client_id").count() <= clients + 50
+    plan = _logical(groups.task_group_base(base))
+    assert plan.count("Join LeftSemi") == 2
+    long.unpersist()

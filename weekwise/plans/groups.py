@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weekwise.functions.scalar import epoch_ms_to_ts, safe_div
+from weekwise.operators.joins import possible_keys
 from weekwise.plans.retention import Base
 
 
@@ -17,16 +18,20 @@ def task_group_base(b: Base) -> DataFrame:
 
     Click rows match on the numeric value of ``user_id`` (string vs number
     comparison, F6); text that is not a number matches nothing.  Both
-    lookups are pre-aggregated to one row per key before the join.
+    lookups are cut to rows of possible clients of the report and
+    pre-aggregated to one row per key before the join, so what is shuffled
+    follows the tasks and not the length of the tables.
     """
-    tasks = (b.t.rebate_user_task_detail
-             .where(F.col("award_period") >= F.lit(b.cfg.group_period_from))
-             .groupBy("client_id", "group_name", "award_period")
-             .agg(F.min("start_date").alias("start_date"), F.max("end_date").alias("end_date")))
-    crm = (b.t.crm_customer_base.groupBy("client_id")
+    tasks = b.kept("group_tasks", lambda: (
+        b.t.rebate_user_task_detail
+        .where(F.col("award_period") >= F.lit(b.cfg.group_period_from))
+        .groupBy("client_id", "group_name", "award_period")
+        .agg(F.min("start_date").alias("start_date"), F.max("end_date").alias("end_date"))))
+    crm = (possible_keys(b.t.crm_customer_base, "client_id", tasks, "client_id").groupBy("client_id")
            .agg(F.min(epoch_ms_to_ts("first_deposit_time")).alias("first_deposit_time")))
-    clicks = (b.t.smart_reward_client_event
-              .groupBy(F.expr("try_cast(user_id AS BIGINT)").alias("_uid"), F.col("week_group"))
+    events = b.t.smart_reward_client_event.where(F.col("week_group") >= F.lit(b.cfg.group_period_from)).withColumn(
+        "_uid", F.expr("try_cast(user_id AS BIGINT)"))
+    clicks = (possible_keys(events, "_uid", tasks, "client_id").groupBy("_uid", "week_group")
               .agg(F.count(F.lit(1)).alias("_n")))
     out = (tasks.join(crm, "client_id", "left")
            .join(clicks, (F.col("client_id") == F.col("_uid")) & (F.col("award_period") == F.col("week_group")),
