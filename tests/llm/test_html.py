@@ -74,6 +74,56 @@ def test_other_layouts(spark):
     assert field.extract(page) == f"The title\n{LONG}\nShort."
 
 
+def said(n):
+    return (f"<p>This is a sentence of the main text, number {n}. It goes on for a while, as such texts do, "
+            "and then it ends.</p>")
+
+
+TWO = said(1) + said(2)
+HOME = '<nav><ul><li><a href="/">Home</a></li></ul></nav>'
+# page, what its text holds, what it does not hold
+BY_HAND = {
+    "unordered list": (f"<article><h1>Title</h1>{TWO}<ul><li>First point<li>Second point</ul>{said(3)}</article>",
+                       ["Title", "First point", "Second point", "number 3"], []),
+    "only a list": ("<body><article><h1>How to</h1><ol><li>First point</li><li>Second point</li></ol></article></body>",
+                    ["How to", "First point", "Second point"], []),
+    "form": (f"<body><article><h1>Title</h1>{TWO}<form><p>Sign up now for our newsletter, it is free.</p>"
+             f"<button>Go</button></form>{said(3)}</article></body>", ["number 1", "number 3"], ["Sign up", "Go"]),
+    "form at the end": (f'{HOME}<article><h1>Title</h1>{TWO}<form action="/s"><p>Sign up for the letter of the week. It '
+                        "is free, and you can leave at any time you like.</p></form></article>",
+                        ["number 2"], ["Sign up", "Home"]),
+    "page in a form": (f'<form id="f"><div class="menu"><a href="/">Home</a></div><article><h1>Title</h1>{TWO}</article>'
+                       "</form>", ["Title", "number 1"], ["Home"]),
+    "advert slot": (f'<article><h1>Title</h1>{TWO}<div class="ad-slot">Buy the best shoes of the season today.</div>'
+                    f"{said(3)}</article>", ["number 2", "number 3"], ["shoes"]),
+    "comments area": (f'<article><h1>Title</h1>{TWO}<div class="comments-area"><p>I liked this text very much. Thank you '
+                      f"for it.</p></div></article>{HOME}", ["number 2"], ["liked", "Home"]),
+    "list, then comments": (f'<article><h1>Title</h1>{TWO}<ul><li>One thing</li></ul><section class="comments"><h2>Comments'
+                            "</h2><ul><li><p>I read this, and I did not like it. Sorry.</p></ul></section></article>",
+                            ["One thing"], ["Sorry", "Comments"]),
+    "plain div": (f"<body><div><div><h1>Title</h1><div>{TWO}</div></div></div></body>", ["Title", "number 1", "number 2"], []),
+    "bare text": ("<body><div>This is a sentence of the main text. It goes on for a while.</div><div>And this one follows "
+                  "it, with a comma. It ends here.</div></body>", ["main text", "follows"], []),
+    "table": (f"{HOME}<article><h1>Title</h1>{TWO}<table><tr><th>Year<th>Sales<tr><td>2020<td>15</table></article>"
+              "<footer>Contact us</footer>", ["Year", "Sales", "2020", "15"], ["Home", "Contact"]),
+    "paragraph of a link": (f'{HOME}<article><h1>Title</h1>{TWO}<p><a href="/x">See the whole report here.</a></p>'
+                            "</article>", ["whole report"], ["Home"]),
+    "sections": (f"<header>{HOME}</header><main><section><h2>Part one</h2>{said(1)}</section><section><h2>Part two</h2>"
+                 f"{said(2)}</section></main><footer>Imprint</footer>", ["Part one", "Part two", "number 2"],
+                 ["Home", "Imprint"]),
+    "kinds of blocks": (f"<article><h1>Title</h1>{TWO}<h2>Second part</h2><pre>code line</pre><blockquote>Someone said this."
+                        "</blockquote><figure><figcaption>A caption</figcaption></figure><dl><dt>Term<dd>Its meaning</dl>"
+                        "</article>", ["Second part", "code line", "Someone", "A caption", "Term", "Its meaning"], []),
+}
+
+
+def test_pages_by_hand(spark):
+    field = html_crf.fit(importable(spark).read.parquet(f"{SF}/pages.parquet"))
+    for name, (page, inside, outside) in BY_HAND.items():
+        text = field.extract(page)
+        assert [x for x in inside if x not in text] == [] and [x for x in outside if x in text] == [], name
+
+
 def test_viterbi_is_the_best_labelling():
     r = random.Random(1)
     field = html_crf.Field.__new__(html_crf.Field)

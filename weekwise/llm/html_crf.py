@@ -56,8 +56,9 @@ SIDE_WORDS = set("""ad ads advert advertisement banner sponsor sponsored promo c
     consent notice newsletter sidebar menu nav navbar breadcrumb breadcrumbs share social related widget footer""".split())
 
 # Layouts of labelled pages.  $T and $P are a title and
-# paragraphs of the main text; the others are not: $L links, $S a short line,
-# $Q a paragraph that a reader or advertiser wrote.
+# paragraphs of the main text, $B, $I and $D a quotation, a list and bare
+# blocks of it; the others are not: $L links, $S a short line, $Q a paragraph
+# that a reader or advertiser wrote.
 LAYOUTS = [
     '<div id="header"><div class="logo">$S</div><ul class="menu">$L</ul></div><div id="content"><h1>$T</h1>$P</div>'
     '<div id="sidebar"><h3>$S</h3><ul>$L</ul></div><div id="footer"><p>$S</p></div>',
@@ -88,6 +89,15 @@ LAYOUTS = [
     '<form><p>$S</p></form></article>',
     '<div class="header">$S</div><article>$P<div class="ad">$Q</div>$P<footer><p>$S</p></footer></article>'
     '<aside>$Q</aside>',
+    '<article><h1>$T</h1>$P<form><p>$Q</p><label>$S</label><button>$S</button></form>$P</article>',
+    '<body><article><h1>$T</h1><ol>$I</ol></article></body>',
+    '<body><article><h1>$T</h1>$P<div class="ad-slot">$Q</div><ul>$I</ul></article></body>',
+    '<article><h1>$T</h1>$P<div class="comments-area"><p>$Q</p><p>$Q</p></div></article><nav><ul>$L</ul></nav>',
+    '<header><nav><ul>$L</ul></nav></header><main><section><h2>$T</h2>$P</section><section><h2>$T</h2>$P</section></main>'
+    '<footer>$S</footer>',
+    '<form><div class="menu"><ul>$L</ul></div><article><h1>$T</h1>$P</article><div class="footer">$S</div></form>',
+    '<body><div>$D</div></body>',
+    '<html><body><div class="top">$L</div><div><div><h1>$T</h1>$D</div></div><div class="bottom">$S</div></body></html>',
 ]
 
 _TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""")
@@ -99,10 +109,23 @@ _PART = re.compile(r"[a-z]+")
 class Block:
     """Text with the element path above it."""
 
-    __slots__ = ("text", "path", "names", "linked", "label")
+    __slots__ = ("text", "path", "names", "linked", "label", "kind", "near")
 
-    def __init__(self, text: str, path: list[str], names: list[str], linked: int, label: str | None) -> None:
+    def __init__(self, text: str, path: list[str], names: list[str], linked: int, label: str | None,
+                 kind: str = "", depth: int = 0) -> None:
         self.text, self.path, self.names, self.linked, self.label = text, path, names, linked, label
+        self.kind, self.near = kind, path[depth:]
+
+
+def _nearest(stack: list[tuple[str, list[str], str | None]]) -> tuple[str, int]:
+    """Kind and depth of the nearest element that says what its text is: a form in an article, an article in a form."""
+    for depth in range(len(stack) - 1, -1, -1):
+        tag, names, _ = stack[depth]
+        if tag in SIDE or any(n in SIDE_WORDS for n in names):
+            return "side", depth
+        if tag in MAIN:
+            return "main", depth
+    return "", 0
 
 
 def blocks(page: str) -> list[Block]:
@@ -117,7 +140,8 @@ def blocks(page: str) -> list[Block]:
         text = " ".join("".join(parts).split())
         if text:
             label = next((x[2] for x in reversed(stack) if x[2] is not None), None)
-            out.append(Block(text, [x[0] for x in stack], [n for x in stack for n in x[1]], linked, label))
+            out.append(Block(text, [x[0] for x in stack], [n for x in stack for n in x[1]], linked, label,
+                             *_nearest(stack)))
         parts.clear()
         linked = 0
 
@@ -220,18 +244,16 @@ def features(found: list[Block]) -> list[list[str]]:
     for i, b in enumerate(found):
         size = len(b.text)
         words = b.text.count(" ") + 1
-        f = {f"in:{t}" for t in b.path} | {f"named:{w}" for w in b.names}
+        f = {f"in:{t}" for t in b.near if t not in ("html", "body")} | {f"named:{w}" for w in b.names}
         f |= {f"leaf:{b.path[-1] if b.path else ''}", f"chars:{_bucket(size)}", f"words:{_bucket(words)}",
               f"linked:{int(4 * b.linked / size)}", f"stops:{_bucket(b.text.count('.') + b.text.count(','))}",
-              f"place:{int(4 * i / n)}", "bias"}
+              f"place:{int(4 * i / n)}", f"nearest:{b.kind}", "bias"}
         if b.text[-1] in ".!?;:":
             f.add("ends")
         if "©" in b.text:
             f.add("copyright")
-        if any(w in SIDE_WORDS for w in b.names) or any(t in SIDE for t in b.path):
-            f.add("side")
-        if any(t in MAIN for t in b.path):
-            f.add("main")
+        if b.kind == "main" and (any(w in SIDE_WORDS for w in b.names) or any(t in SIDE for t in b.path)):
+            f.add("main in side")
         out.append(sorted(f))
     return out
 
@@ -239,8 +261,8 @@ def features(found: list[Block]) -> list[list[str]]:
 class Field:
     """Weights of main text against the rest by feature, and transitions."""
 
-    def __init__(self, pages: list[tuple[list[list[str]], np.ndarray]], steps: int = 100, rate: float = 0.2,
-                 decay: float = 0.005) -> None:
+    def __init__(self, pages: list[tuple[list[list[str]], np.ndarray]], steps: int = 100, rate: float = 0.5,
+                 decay: float = 0.002) -> None:
         self.index: dict[str, int] = {}
         known = []
         for feats, labels in pages:
@@ -344,8 +366,9 @@ def labelled_pages(pages: list[str]) -> list[tuple[list[list[str]], np.ndarray]]
         body = "".join(f'<p data-main="1">{text(p)}</p>' for p in paragraphs[:size])
         fill = {"$T": f'<span data-main="1">{text(title)}</span>', "$P": body, "$L": links, "$S": other(9),
                 "$Q": text(foreign[k % len(foreign)]), "$B": f'<p data-main="1">{text(paragraphs[-1])}</p>',
-                "$I": "".join(f'<li data-main="1">{text(p[:90])}</li>' for p in paragraphs[:3])}
-        page = re.sub(r"\$[TPLSQBI]", lambda m: fill[m[0]], LAYOUTS[k % len(LAYOUTS)])
+                "$I": "".join(f'<li data-main="1">{text(p[:90])}</li>' for p in paragraphs[:3]),
+                "$D": "".join(f'<div data-main="1">{text(p)}</div>' for p in paragraphs[:size])}
+        page = re.sub(r"\$[TPLSQBID]", lambda m: fill[m[0]], LAYOUTS[k % len(LAYOUTS)])
         page = page.replace('<h1><span data-main="1">', '<h1 data-main="1"><span>')
         page = page.replace('<h2><span data-main="1">', '<h2 data-main="1"><span>')
         found = blocks(page)
