@@ -23,6 +23,7 @@ from weekwise.sources.files import work_folder
 from weekwise.sources.fixture import fixture_tables
 from weekwise.sources.publish import publish_reports
 from weekwise.sources.sinks import read_report_json
+from weekwise.sources.snapshots import load_snapshot, write_snapshot
 from weekwise.sources.state import FirstActiveState
 
 
@@ -160,13 +161,26 @@ def _published(name: str, build: Callable[[Base], DataFrame]) -> Callable[[Base]
     return run
 
 
+def _of_snapshot(fn: Callable[[Base], DataFrame]) -> Callable[[Base], DataFrame]:
+    """A relation made from a written snapshot of the seven tables."""
+    def run(b: Base) -> DataFrame:
+        spark = b.t.report_business.sparkSession
+        root = f"{work_folder(spark, 'snapshots')}/{uuid.uuid4().hex}"
+        write_snapshot(b.t, root, dt.date(2026, 1, 5))
+        return fn(Base(load_snapshot(spark, root), b.cfg))
+    return run
+
+
 STORED: dict[str, Callable[[Base], DataFrame]] = {
     "first_active_incremental": _first_active_day_by_day,
+    "snapshot_first_active": _of_snapshot(lambda b: b.first_active),
+    "snapshot_trading_weeks": _of_snapshot(lambda b: b.trading_weeks),
     "published_weekly_report": _published("data_raw.json", report.weekly_report_derived),
     "published_click_report": _published("data_raw_click.json", clicks.click_report_derived),
     "published_task_groups": _published("task_group_click.json", groups.task_group_clicks_derived),
 }
-STORED_AS = {"first_active_incremental": "first_active", "published_weekly_report": "weekly_report_derived",
+STORED_AS = {"first_active_incremental": "first_active", "snapshot_first_active": "first_active",
+             "snapshot_trading_weeks": "trading_weeks", "published_weekly_report": "weekly_report_derived",
              "published_click_report": "click_report_derived", "published_task_groups": "task_group_clicks_derived"}
 
 
