@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from weekwise.config import DEPOSIT_TASK, TRADING_TASK, WEEKLY
 from weekwise.functions.scalar import safe_div, yyyymmdd
 from weekwise.operators.cohort import label_customer
-from weekwise.plans.base import cid
 from weekwise.plans.retention import Base
 
 # Parts of a task type's customers: assigned to it, free of it though active,
@@ -32,9 +31,9 @@ def _rows(df: DataFrame, part: str, ref: str = "start_date", status: Column | No
 
 def _assignments(b: Base, types: Sequence[int]) -> DataFrame:
     """Task rows of the types by (client, week, status), with their number."""
-    return (b.report_weeks.where(F.col("task_type").isin(*types) & (F.col("start_date") >= F.lit(b.cfg.tasks_from)))
-            .groupBy("task_type", cid().alias("cid"), "start_date", "end_date",
-                     F.col("award_period").alias("period"), "task_status").agg(F.count(F.lit(1)).alias("_n")))
+    return (b.task_weeks.where(F.col("task_type").isin(*types) & (F.col("start_date") >= F.lit(b.cfg.tasks_from)))
+            .groupBy("task_type", "cid", "start_date", "end_date", F.col("award_period").alias("period"), "task_status")
+            .agg(F.sum("_n").alias("_n")))
 
 
 def _free(b: Base, types: Sequence[int], assigned: DataFrame) -> DataFrame:

@@ -32,11 +32,11 @@ def trading_growth_base(b: Base) -> DataFrame:
     (start - 6) and the Monday week inside (start + 1); labelled by the
     month of the week start."""
     cfg = b.cfg
-    t1 = b.report_weeks.where(F.col("task_type") == TRADING_TASK).withColumn("_day", F.to_date("start_date"))
+    t1 = b.task_weeks.where(F.col("task_type") == TRADING_TASK).withColumn("_day", F.to_date("start_date"))
     weeks = (t1.where(F.col("_day") >= F.lit(cfg.tasks_from))
-             .groupBy(cid().alias("cid"), "client_id", F.col("_day").alias("start_date"))
+             .groupBy("cid", "client_id", F.col("_day").alias("start_date"))
              .agg(F.max("task_status").alias("task_status")))
-    prev = t1.select(cid().alias("cid"), F.date_add("_day", 7).alias("start_date")).distinct() \
+    prev = t1.select("cid", F.date_add("_day", 7).alias("start_date")).distinct() \
         .withColumn("last_week", F.lit(1))
     lots = (b.trading_weeks.groupBy(F.col("customer_id").alias("cid"), "report_time")
             .agg(F.sum("rt_lot_open_sa").cast("decimal(28,2)").alias("rt_lot_open_sa")))
@@ -84,10 +84,9 @@ def deposit_growth_base(b: Base) -> DataFrame:
     deposits x task weeks.
     """
     cfg = b.cfg
-    tasks = (b.report_weeks.where((F.col("task_type") == DEPOSIT_TASK)
+    tasks = (b.task_weeks.where((F.col("task_type") == DEPOSIT_TASK)
                                  & (F.to_date("start_date") >= F.lit(cfg.growth_tasks_from)))
-             .select("client_id", "task_status", "start_date", "end_date").distinct()
-             .withColumn("cid", cid()))
+             .select("cid", "client_id", "task_status", "start_date", "end_date").distinct())
     weeks = tasks.select("start_date", "end_date").distinct()
     # no window starts before this, so older deposits need not be read
     first = cfg.growth_tasks_from - dt.timedelta(days=7)
@@ -103,10 +102,10 @@ def deposit_growth_base(b: Base) -> DataFrame:
                      plus_days_ts("start_date", -7).alias("_lo"), F.col("start_date").alias("_hi")))
     buckets = b.memo("deposit_growth_buckets", lambda: CalendarSide(
         day_buckets(windows, "_lo", "_hi"), cfg.broadcast_max_rows))
-    hits = range_join(deposits, "create_date", buckets, "_lo", "_hi")
-    sums = (hits.groupBy("cid", "start_date", "end_date")
-            .agg(F.sum(F.when(F.col("_this"), F.col("amount_converted"))).alias("amount_this_week"),
-                 F.sum(F.when(~F.col("_this"), F.col("amount_converted"))).alias("amount_last_week")))
+    sums = b.by_customer("deposit_sums", lambda: (
+        range_join(deposits, "create_date", buckets, "_lo", "_hi").groupBy("cid", "start_date", "end_date")
+        .agg(F.sum(F.when(F.col("_this"), F.col("amount_converted"))).alias("amount_this_week"),
+             F.sum(F.when(~F.col("_this"), F.col("amount_converted"))).alias("amount_last_week"))))
     keys = ["cid", "start_date", "end_date"]
     with_amounts = (tasks.join(sums, keys, "left")
                     .withColumn("amount_this_week", F.coalesce("amount_this_week", F.lit(0).cast("decimal(28,2)")))

@@ -14,25 +14,33 @@ from weekwise.operators.cohort import count_flags, entity_flags, label_customer,
 from weekwise.operators.joins import CalendarSide
 from weekwise.operators.temporal import day_buckets, next_after, range_join
 from weekwise.plans.base import award_bounds, award_weeks, cid, first_active, trading_weeks
+from weekwise.sources.buckets import BucketedTables
 from weekwise.sources.tables import Tables
 
+# The shared relations and their customer key; each has few rows per customer and week.
+PER_CUSTOMER = {"first_active": "customer_id", "task_weeks": "cid", "trading_weeks": "customer_id",
+                "click_sums": "user_id"}
+
 
 class Base:
     """The shared relations of one report run, built once per run.
 
     ``persist()`` keeps them for the run: ``"cache"`` (executor memory and
-    disk; lost blocks are recomputed from lineage) or ``"checkpoint"``
+    disk; lost blocks are recomputed from lineage), ``"checkpoint"``
     (written to the cluster's ``spark.checkpoint.dir``, lineage cut, so a
-    lost executor costs no recomputation of the source scans).
+    lost executor costs no recomputation of the source scans) or
+    ``"buckets"`` (written there too, all in the same buckets by customer, so
+    that windows, joins and aggregations by customer need no exchange).
     """
 
     def __init__(self, t: Tables, cfg: ReportConfig, first_active: DataFrame | None = None):
         """``first_active`` is a kept M1 (``sources.state.FirstActiveState``); without it, M1 is made from the tables."""
         self.t, self.cfg = t, cfg
         self._given_fa = self._fa = first_active
-        self._aw = self._rw = self._tw = self._cs = None
+        self._aw = self._rw = self._tk = self._tw = self._cs = None
         self._memo: dict[str, DataFrame | CalendarSide] = {}
         self._persisted: list[DataFrame] = []
+        self._buckets: BucketedTables | None = None
 
     def memo(self, key: str, build) -> DataFrame | CalendarSide:
         """A cached relation built once per run; ``unpersist`` releases it."""
@@ -44,35 +52,59 @@ class Base:
         """``memo`` of a relation that several plans of the run read."""
         return self.memo(key, lambda: build().persist(StorageLevel.MEMORY_AND_DISK))
 
+    def by_customer(self, key: str, build) -> DataFrame:
+        """A relation with a ``cid``, kept in the buckets of the others; as it is where there are none."""
+        if not self.in_buckets:
+            return build()
+        return self.memo(key, lambda: self._buckets.write(build(), key, "cid"))
+
+    @property
+    def in_buckets(self) -> bool:
+        return self._buckets is not None
+
     @property
     def is_persisted(self) -> bool:
-        return bool(self._persisted)
+        return bool(self._persisted) or self.in_buckets
 
     def unpersist(self) -> None:
         for df in self._persisted:
             df.unpersist()
         for df in self._memo.values():
             df.unpersist()
+        if self._buckets is not None:
+            self._buckets.drop()
         self._persisted.clear()
         self._memo.clear()
+        self._buckets = None
         self._fa = self._given_fa
-        self._aw = self._rw = self._tw = self._cs = None
+        self._aw = self._rw = self._tk = self._tw = self._cs = None
 
     def is_stored(self) -> bool:
         """Whether Spark still holds every relation that this base has asked it to keep."""
-        asked = [*self._persisted, *(x.df if isinstance(x, CalendarSide) else x for x in self._memo.values())]
-        return all(df.storageLevel.useMemory or df.storageLevel.useDisk for df in asked)
-
-    def persist(self, mode: str = "cache") -> "Base":
-        """Keep the shared relations; ``"checkpoint"`` needs the session's ``spark.checkpoint.dir``."""
-        for attr in ("first_active", "report_weeks", "trading_weeks", "click_sums"):
+        kept = [*self._persisted, *(x.df if isinstance(x, CalendarSide) else x for x in self._memo.values())]
+        asked = [df for df in kept if self._buckets is None or not self._buckets.has(df)]
+        return (all(df.storageLevel.useMemory or df.storageLevel.useDisk for df in asked)
+                and (self._buckets is None or self._buckets.are_stored()))
+
+    def persist(self, mode: str = "cache", buckets: int | None = None) -> "Base":
+        """Keep the shared relations; ``"checkpoint"`` needs the session's ``spark.checkpoint.dir``.
+
+        ``"buckets"`` writes ``buckets`` files a relation; by default, as many as the session has shuffle partitions.
+        """
+        if mode not in ("cache", "checkpoint", "buckets"):
+            raise ValueError(f"no such mode: {mode}")
+        if mode == "buckets":
+            self._buckets = BucketedTables(self.t.report_business.sparkSession, buckets)
+        for attr, key in PER_CUSTOMER.items():
             df = getattr(self, attr)
-            if mode == "checkpoint":
+            if mode == "buckets":
+                df = self._buckets.write(df, attr, key)
+            elif mode == "checkpoint":
                 df = df.checkpoint(eager=True)
             else:
                 df = df.persist(StorageLevel.MEMORY_AND_DISK)
                 self._persisted.append(df)
-            setattr(self, "_" + {"first_active": "fa", "report_weeks": "rw",
+            setattr(self, "_" + {"first_active": "fa", "task_weeks": "tk",
                                  "trading_weeks": "tw", "click_sums": "cs"}[attr], df)
         return self
 
@@ -115,6 +147,16 @@ class Base:
             self._rw = award_weeks(self.t, self.award_bounds, first)
         return self._rw
 
+    @property
+    def task_weeks(self) -> DataFrame:
+        """``report_weeks`` without groups: one row per (client, type, status, award week), with the number ``_n`` of
+        its task rows, which are combined map-side, so that a client with very many task rows holds few rows here."""
+        if self._tk is None:
+            self._tk = (self.report_weeks.groupBy(cid().alias("cid"), "client_id", "task_type", "task_status",
+                                                  "award_period", "start_date", "end_date")
+                        .agg(F.count(F.lit(1)).alias("_n")))
+        return self._tk
+
     @property
     def trading_weeks(self) -> DataFrame:
         if self._tw is None:
@@ -137,10 +179,10 @@ def click_periods(b: Base) -> DataFrame:
 def assigned_tasks(b: Base, task_type: int | None) -> DataFrame:
     """Distinct (client, award week) assignments from the first award week
     on; ``task_type=None`` keeps every type."""
-    aw = b.report_weeks.where(F.col("start_date") >= F.lit(b.cfg.tasks_from))
+    aw = b.task_weeks.where(F.col("start_date") >= F.lit(b.cfg.tasks_from))
     if task_type is not None:
         aw = aw.where(F.col("task_type") == task_type)
-    return aw.select("client_id", "start_date", "end_date", "award_period").distinct()
+    return aw.select("cid", "client_id", "start_date", "end_date", "award_period").distinct()
 
 
 def trading_task_match(b: Base) -> DataFrame:
@@ -148,7 +190,7 @@ def trading_task_match(b: Base) -> DataFrame:
     award week contains the following Monday, labelled new/old by the month
     of ``report_time + 6``."""
     tw = b.trading_weeks
-    tasks = assigned_tasks(b, TRADING_TASK).withColumn("_cid", cid())
+    tasks = assigned_tasks(b, TRADING_TASK).withColumnRenamed("cid", "_cid")
     next_monday = plus_days("report_time", 7)
     matched = tw.join(tasks, (tw["customer_id"] == tasks["_cid"])
                       & (F.to_date(tasks["start_date"]) <= next_monday)
@@ -184,37 +226,55 @@ def deposit_boundaries(b: Base) -> DataFrame:
     return starts.unionByName(extra)
 
 
-def deposit_week_events(b: Base) -> DataFrame:
-    """M7: (boundary, client, 1) for every client with a successful deposit in
-    the closed 7 days up to the boundary (boundaries without one keep a row
-    with NULL client, N5), plus (week start, client, 0) for every assignment
-    of any task type (N3)."""
+def _client_events(b: Base) -> DataFrame:
+    """The rows of M7 that belong to a client, with ``cid``: boundaries with a
+    successful deposit in the closed 7 days up to them, and assignments.
+
+    Kept, as the boundaries without a deposit are found from the same pass.
+    """
     cfg = b.cfg
-    bounds = deposit_boundaries(b)
     deposits = (b.t.bo_client_deposit_proposal
                 .where((F.col("proposal_status") == SUCCESS_PROPOSAL_STATUS)
                        & (F.col("create_date") >= F.lit(cfg.deposits_from)))
                 .select("create_date", "client_id"))
-    windows = bounds.select("start_date", plus_days_ts("start_date", -7).alias("_lo"))
-    buckets = b.memo("deposit_week_buckets", lambda: CalendarSide(
+    windows = deposit_boundaries(b).select("start_date", plus_days_ts("start_date", -7).alias("_lo"))
+    days = b.memo("deposit_week_buckets", lambda: CalendarSide(
         day_buckets(windows, "_lo", "start_date"), cfg.broadcast_max_rows))
-    # kept: the boundaries without a deposit are found from the same pass
-    hits = b.kept("deposit_hits", lambda: range_join(deposits, "create_date", buckets, "_lo", "start_date")
-                  .select("start_date", "client_id").distinct())
-    hit_bounds = hits.select("start_date").distinct()
-    empty = (bounds.join(hit_bounds, bounds["start_date"] == hit_bounds["start_date"], "left_anti")
-             .select("start_date", F.lit(None).cast("bigint").alias("client_id")))
-    deposit_rows = hits.unionByName(empty).withColumn("deposit", F.lit(1))
-    task_rows = (b.report_weeks.where(F.col("start_date") >= F.lit(cfg.tasks_from))
-                 .select("start_date", "client_id").distinct().withColumn("deposit", F.lit(0)))
-    return deposit_rows.unionByName(task_rows)
+
+    def events() -> DataFrame:
+        hits = (range_join(deposits, "create_date", days, "_lo", "start_date")
+                .select(cid().alias("cid"), "client_id", "start_date").distinct())
+        assigned = (b.task_weeks.where(F.col("start_date") >= F.lit(cfg.tasks_from))
+                    .select("cid", "client_id", "start_date").distinct())
+        return hits.withColumn("deposit", F.lit(1)).unionByName(assigned.withColumn("deposit", F.lit(0)))
+
+    return b.by_customer("client_events", events) if b.in_buckets else b.kept("client_events", events)
+
+
+def _boundaries_without_deposit(b: Base) -> DataFrame:
+    """The rows of M7 that belong to no client."""
+    bounds = deposit_boundaries(b)
+    hit_bounds = _client_events(b).where(F.col("deposit") == 1).select("start_date").distinct()
+    empty = bounds.join(hit_bounds, bounds["start_date"] == hit_bounds["start_date"], "left_anti")
+    return empty.select(F.lit(None).cast("string").alias("cid"), F.lit(None).cast("bigint").alias("client_id"),
+                        "start_date", F.lit(1).alias("deposit"))
+
+
+def deposit_week_events(b: Base) -> DataFrame:
+    """M7: (boundary, client, 1) for every client with a successful deposit in
+    the closed 7 days up to the boundary (boundaries without one keep a row
+    with NULL client, N5), plus (week start, client, 0) for every assignment
+    of any task type (N3)."""
+    events = _client_events(b)
+    return events.unionByName(_boundaries_without_deposit(b)).select("start_date", "client_id", "deposit")
 
 
 def next_deposit_week(b: Base) -> DataFrame:
     """M8: M7 plus ``lead_time``, the client's next later boundary at which
-    they had deposited (J12)."""
-    ev = deposit_week_events(b).withColumn("cid", cid())
-    return next_after(ev, "cid", "start_date", "lead_time", only_if=F.col("deposit") == 1)
+    they had deposited (J12).  Rows without a client have none, so they join after the window."""
+    events = next_after(_client_events(b), "cid", "start_date", "lead_time", only_if=F.col("deposit") == 1)
+    none = _boundaries_without_deposit(b).withColumn("lead_time", F.lit(None).cast("timestamp"))
+    return events.unionByName(none).select("start_date", "client_id", "deposit", "cid", "lead_time")
 
 
 def deposit_client_weeks(b: Base) -> DataFrame:

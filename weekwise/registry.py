@@ -38,21 +38,21 @@ def _state(spark: SparkSession, path: str) -> tuple:
     return tuple(sorted((s.getPath().toString(), s.getLen(), s.getModificationTime()) for s in fs.listStatus(root)))
 
 
-def fixture_base(spark: SparkSession, sf_dir: str, cfg: ReportConfig = FIXTURE) -> Base:
-    """One persisted ``Base`` per (application, folder, config): the source
+def fixture_base(spark: SparkSession, sf_dir: str, cfg: ReportConfig = FIXTURE, mode: str = "cache") -> Base:
+    """One persisted ``Base`` per (application, folder, config, mode): the source
     tables of a folder are a daily snapshot, so every report query shares the
     award weeks, first-active dates, trading weeks and click totals instead of
     recomputing them per branch.  When the folder's files change, or when
     Spark no longer stores what the base has kept (``clearCache``), that base
     is released and a new one is made."""
-    key = (spark.sparkContext.applicationId, sf_dir, cfg)
+    key = (spark.sparkContext.applicationId, sf_dir, cfg, mode)
     state = _state(spark, f"{sf_dir}/events.parquet")
     kept = _BASES.get(key)
     if kept is not None and kept[0] == state and kept[1].is_stored():
         return kept[1]
     if kept is not None:
         kept[1].unpersist()
-    base = Base(fixture_tables(spark, sf_dir), cfg).persist("cache")
+    base = Base(fixture_tables(spark, sf_dir), cfg).persist(mode)
     _BASES[key] = (state, base)
     return base
 
@@ -64,9 +64,9 @@ def reset() -> None:
     _BASES.clear()
 
 
-def _q(fn: Callable[[Base], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+def _q(fn: Callable[[Base], DataFrame], mode: str = "cache") -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return canonical(fn(fixture_base(report_session(spark), sf_dir)))
+        return canonical(fn(fixture_base(report_session(spark), sf_dir, mode=mode)))
     run.__name__ = getattr(fn, "__name__", "query")
     run.__doc__ = fn.__doc__
     return run
@@ -183,12 +183,22 @@ STORED_AS = {"first_active_incremental": "first_active", "snapshot_first_active"
              "snapshot_trading_weeks": "trading_weeks", "published_weekly_report": "weekly_report_derived",
              "published_click_report": "click_report_derived", "published_task_groups": "task_group_clicks_derived"}
 
+# The per-customer relations written once in buckets by customer.
+BUCKETED: dict[str, Callable[[Base], DataFrame]] = {
+    "bucketed_weekly_report": report.weekly_report_derived,
+    "bucketed_click_report": clicks.click_report_derived,
+    "bucketed_next_deposit_week": lambda b: retention.next_deposit_week(b).drop("cid"),
+}
+STORED_AS |= {"bucketed_weekly_report": "weekly_report_derived", "bucketed_click_report": "click_report_derived",
+              "bucketed_next_deposit_week": "next_deposit_week"}
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out = {}
     for table in (WEEKLY, CLICKS, GROUPS, PRESENT, STORED):
         for name, fn in table.items():
             out[name] = _q(fn)
+    out.update({name: _q(fn, "buckets") for name, fn in BUCKETED.items()})
     return out
 
 

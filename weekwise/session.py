@@ -10,7 +10,9 @@ from pyspark.sql import SparkSession
 
 # Settings the reports rely on: UTC session zone (dates are derived from
 # timestamps), ANSI mode (overflow and bad casts raise), AQE with skew-join
-# splitting and partition coalescing.
+# splitting and partition coalescing.  Joins on (customer, week) use a
+# partitioning by customer where both sides have one: the relations hold few
+# rows per customer by then.
 REPORT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
@@ -18,6 +20,7 @@ REPORT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
 
 
