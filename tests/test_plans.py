@@ -126,6 +126,16 @@ def test_pivot_is_one_pass_over_the_kept_report(spark):
     registry.reset()
 
 
+@pytest.mark.parametrize("name", ["indicator_long", "indicator_long_2_weeks"])
+def test_indicators_read_the_kept_report_once(spark, name):
+    registry.reset()
+    above = _logical(registry.queries()[name](spark, SF_SMALL))
+    assert above.count("+- InMemoryRelation [period#") == 1, above
+    top = above.split("InMemoryRelation")[0]
+    assert "Join" not in top and "Expand" not in top
+    registry.reset()
+
+
 def test_nothing_stays_persisted_after_a_reset(spark):
     registry.reset()
     spark.catalog.clearCache()

@@ -125,6 +125,23 @@ def test_group_table_keeps_old_groups_and_empty_cells(spark):
     assert present.task_group_long(df, 2).count() == 2 * 2 * 2
 
 
+def test_indicator_cells_without_or_with_several_report_rows(spark):
+    from weekwise.plans import present
+    codes = sorted({r[6] for r in present.weekly_layout()})
+    row = lambda period, kind, value: (period, kind, *[value] * len(codes))
+    df = spark.createDataFrame(
+        [row("20251213", "New customer", 9.0), row("20251220", "New customer", 0.5), row("20251220", None, 7.0),
+         row("20251227", "All customer", 2.0), row("20251227", "All customer", 3.0), row(None, "New customer", 8.0)],
+        "period string, customer_type string, " + ", ".join(f"{c} double" for c in codes))
+    rows = present.indicator_long(df, 2).collect()
+    assert {r.period for r in rows} == {"20251220", "20251227"}
+    cells = sorted((r.period, r.customer_type, r.value) for r in rows if r.value is not None)
+    assert cells == [("20251220", "New customer", 0.5)] * 10 + [("20251227", "All customer", x)
+                                                               for x in (2.0, 3.0) for _ in range(6)]
+    assert len(rows) == 26 + 26 + 6
+    assert present.indicator_long(df, 0).count() == 3 * 26 + 6
+
+
 def test_layouts_are_the_dashboards(spark):
     from weekwise.plans import present
     new, old, every = "New customer", "Old Customer", "All customer"
