@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_helpers import documents, edge_rows, importable
 from tokenizers import Tokenizer
@@ -50,5 +51,22 @@ def test_documents(spark, library):
     assert all(r.text == library.decode(np.frombuffer(r.ids, "<u4").tolist(), skip_special_tokens=False) for r in found)
 
 
+def test_an_idle_worker_keeps_no_table(spark):
+    """The dictionaries of a table are many; what a worker still holds after its tasks are none of them."""
+    def held(batches):
+        import gc
+        for batch in batches:
+            gc.collect()
+            found = sum(isinstance(x, (trie_bpe.BpeTable, trie_bpe.TrieEncoder)) for x in gc.get_objects())
+            yield pa.RecordBatch.from_pydict({"n": pa.array([found] * batch.num_rows)})
+
+    importable(spark)
+    rows = [(i, f"some words {i}") for i in range(200)]
+    assert trie_bpe.encode_and_decode(documents(spark, rows).repartition(4), word_bpe_file()).count() == 200
+    assert trie_bpe.encode_documents(documents(spark, rows).repartition(4), word_bpe_file()).count() == 200
+    left = spark.range(0, 400, 1, 8).mapInArrow(held, "n long").collect()
+    assert {r.n for r in left} == {0}
+
+
 def test_empty_table(spark):
     assert trie_bpe.round_trip(documents(importable(spark), []), word_bpe_file()).collect() == []

@@ -10,8 +10,10 @@ prefix before it.  Each shared prefix is computed once.
 The trie is walked depth-first: the words of a chunk are sorted, which is
 that order, and a stack holds the states of the current path, so memory is
 the words of a chunk and the length of one of them.  Chunks are independent;
-there is no shuffle and nothing is gathered.  A worker keeps the encodings of
+there is no shuffle and nothing is gathered.  A task keeps the encodings of
 words it has met, up to ``KEPT_WORDS``, and beyond that those of the last chunk.
+They go when it ends: a Python worker lives on idle, and an executor may have
+more of them than it runs tasks.
 
 Encoding equals that of the tokenizers library with the same file and
 ``add_special_tokens=False``: special tokens written in a text count as such.
@@ -23,16 +25,17 @@ Defined cases: null and empty texts have no tokens and decode to "".
 from __future__ import annotations
 
 import json
+import pickle
 import unicodedata
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weekwise.llm.text_arrays import chunks
+from weekwise.llm.text_arrays import chunks, give_back
 
 KEPT_WORDS = 300_000
 KEPT_PAIRS = 500_000
@@ -265,28 +268,32 @@ class Codec:
         return decode_ids(ids, self.token_text)
 
 
-_CODECS: dict[str, Codec] = {}
+class PackedTable:
+    """A table on its way to the workers, as bytes: only a running task holds its entries."""
 
+    def __init__(self, spark: SparkSession, tokenizer: str) -> None:
+        self.packed = spark.sparkContext.broadcast(pickle.dumps(BpeTable(tokenizer), pickle.HIGHEST_PROTOCOL))
 
-def _codec(broadcast) -> Codec:
-    """One codec per worker and table: its known words last over tasks."""
-    key = broadcast.value[0]
-    if key not in _CODECS:
-        _CODECS.clear()
-        _CODECS[key] = Codec(broadcast.value[1])
-    return _CODECS[key]
+    def handle(self, batches: Iterator[pa.RecordBatch], column: str, one) -> Iterator[pa.RecordBatch]:
+        """``one(codec, batch)`` of each chunk, with a codec that lasts as long as the task."""
+        codec = Codec(pickle.loads(self.packed.value))
+        for batch in chunks(batches, column):
+            yield one(codec, batch)
+        del codec
+        give_back()
 
 
 def encode_documents(docs: DataFrame, tokenizer: str) -> DataFrame:
     """(doc_id, ids): the ids of every text, little-endian 32-bit integers."""
-    table = docs.sparkSession.sparkContext.broadcast((tokenizer, BpeTable(tokenizer)))
+    table = PackedTable(docs.sparkSession, tokenizer)
+
+    def encoded(codec: Codec, batch: pa.RecordBatch) -> pa.RecordBatch:
+        texts = [t or "" for t in batch.column("text").to_pylist()]
+        return pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"),
+                                           "ids": pa.array(codec.encode(texts), pa.binary())})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(table)
-        for batch in chunks(batches, "text"):
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"),
-                                              "ids": pa.array(codec.encode(texts), pa.binary())})
+        return table.handle(batches, "text", encoded)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, ids binary")
@@ -311,14 +318,15 @@ def encode_and_decode(docs: DataFrame, tokenizer: str) -> DataFrame:
 
     One worker of a task does both, so a table's entries are held once.
     """
-    table = docs.sparkSession.sparkContext.broadcast((tokenizer, BpeTable(tokenizer)))
+    table = PackedTable(docs.sparkSession, tokenizer)
+
+    def coded(codec: Codec, batch: pa.RecordBatch) -> pa.RecordBatch:
+        ids = codec.encode([t or "" for t in batch.column("text").to_pylist()])
+        return pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "ids": pa.array(ids, pa.binary()),
+                                           "text": pa.array([codec.decode(x) for x in ids], pa.string())})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(table)
-        for batch in chunks(batches, "text"):
-            ids = codec.encode([t or "" for t in batch.column("text").to_pylist()])
-            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "ids": pa.array(ids, pa.binary()),
-                                              "text": pa.array([codec.decode(x) for x in ids], pa.string())})
+        return table.handle(batches, "text", coded)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, ids binary, text string")
