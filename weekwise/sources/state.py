@@ -74,9 +74,10 @@ class FirstActiveState:
 
     def smaller_minima(self, report_business: DataFrame, first: dt.date | None, last: dt.date) -> DataFrame:
         """Customers whose minimum the days ``first`` to ``last`` make smaller; rows of these days alone are read."""
-        rows = daily_activity(report_business, self.cfg).where(F.col("report_time") <= F.lit(last))
+        rows = daily_activity(report_business, self.cfg)
         if first is not None:
             rows = rows.where(F.col("report_time") >= F.lit(first))
+        rows = rows.where(F.col("report_time") <= F.lit(last))
         new = rows.groupBy("customer_id").agg(F.min("report_time").alias("first_active"))
         known = self.read().withColumnRenamed("first_active", "_known")
         smaller = F.col("_known").isNull() | (F.col("first_active") < F.col("_known"))
